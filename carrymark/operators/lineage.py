@@ -1,0 +1,29 @@
+"""Cutting a plan that several jobs read."""
+
+from __future__ import annotations
+
+import tempfile
+
+from pyspark.sql import DataFrame, SparkSession
+
+
+def _has_checkpoint_dir(spark: SparkSession) -> bool:
+    context = spark.sparkContext
+    if context.getCheckpointDir() is not None:
+        return True
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None and context.master.startswith("local"):
+        folder = tempfile.mkdtemp(prefix="carrymark-checkpoint-")
+    if folder is None:
+        return False
+    context.setCheckpointDir(folder)
+    return True
+
+
+def computed_once(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint of ``df`` in the cluster's shared folder.
+
+    The folder comes from ``spark.checkpoint.dir``. Only a local session may
+    fall back to a folder of its own; a cluster without one keeps the plan.
+    """
+    return df.checkpoint() if _has_checkpoint_dir(df.sparkSession) else df

@@ -1,0 +1,100 @@
+"""Names to DataFrames, and DataFrames to stored tables."""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Mapping
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from carrymark.functions.dates import AsOf
+from carrymark.sources.schemas import INPUTS, input_schema
+
+InputReader = Callable[[str], DataFrame]
+
+
+class Catalog:
+    """Resolves input relations, models and marts by name.
+
+    ``inputs`` is a mapping or a function from input name to DataFrame. Every
+    input is narrowed to its declared columns and types. ``as_of`` is the
+    valuation date of all marts; ``None`` means today.
+    """
+
+    def __init__(self, spark: SparkSession, inputs: Mapping[str, DataFrame] | InputReader,
+                 *, as_of: AsOf = None):
+        self.spark = spark
+        self.as_of = as_of
+        self._read: InputReader = inputs.__getitem__ if isinstance(inputs, Mapping) else inputs
+        self._resolved: dict[str, DataFrame] = {}
+
+    @classmethod
+    def from_parquet(cls, spark: SparkSession, root: str, *, as_of: AsOf = None) -> Catalog:
+        """Inputs stored as ``<root>/<input name>`` parquet directories."""
+        return cls(spark, lambda name: spark.read.parquet(f"{root}/{name}"), as_of=as_of)
+
+    @classmethod
+    def from_database(cls, spark: SparkSession, database: str, *, as_of: AsOf = None) -> Catalog:
+        """Inputs stored as metastore tables of one database."""
+        return cls(spark, lambda name: spark.table(f"{database}.{name}"), as_of=as_of)
+
+    def table(self, name: str) -> DataFrame:
+        if name not in self._resolved:
+            self._resolved[name] = self._input(name) if name in INPUTS else self._model(name)
+        return self._resolved[name]
+
+    def replace(self, name: str, df: DataFrame) -> Catalog:
+        """Use ``df`` for ``name`` from now on, e.g. a stored copy of a mart."""
+        self._resolved[name] = df
+        return self
+
+    def _input(self, name: str) -> DataFrame:
+        source = self._read(name)
+        return source.select(*[
+            F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in input_schema(name).fields
+        ])
+
+    def _model(self, name: str) -> DataFrame:
+        from carrymark.plans.registry import TABLES
+
+        if name not in TABLES:
+            raise KeyError(f"unknown table {name!r}")
+        return TABLES[name].build(self)
+
+    def register_views(self, *names: str) -> None:
+        """Expose tables as temporary views, so SQL can query them by name."""
+        from carrymark.plans.registry import TABLES
+
+        for name in names or TABLES:
+            self.table(name).createOrReplaceTempView(name)
+
+    def save(self, name: str, *, buckets: int | None = None, database: str | None = None) -> DataFrame:
+        """Materialize one table the way its spec says and read it from there on.
+
+        Tables go to ``<namespace>.<name>``; views become temporary views;
+        inlined helpers stay plans. With ``buckets``, tables that have a bucket
+        key are hash-bucketed and sorted by it, so that joins and aggregations
+        on that key need no shuffle.
+        """
+        from carrymark.plans.registry import TABLES
+
+        spec = TABLES[name]
+        df = spec.build(self)
+        if spec.stored_as == "view":
+            df.createOrReplaceTempView(name)
+        elif spec.stored_as == "table":
+            namespace = database or spec.namespace
+            self.spark.sql(f"create database if not exists `{namespace}`")
+            writer = df.write.mode("overwrite").format("parquet")
+            if buckets and spec.bucket_key:
+                writer = writer.bucketBy(buckets, spec.bucket_key).sortBy(spec.bucket_key)
+            writer.saveAsTable(f"`{namespace}`.`{name}`")
+            self.replace(name, self.spark.table(f"`{namespace}`.`{name}`"))
+        return self.table(name)
+
+    def save_all(self, *names: str, buckets: int | None = None) -> None:
+        """Materialize tables in dependency order, so marts read stored tables."""
+        from carrymark.plans.registry import TABLES
+
+        wanted = set(names or TABLES)
+        for name in (n for n in TABLES if n in wanted):
+            self.save(name, buckets=buckets)
