@@ -146,5 +146,14 @@ class SampleInputs:
     }
 
 
-def sample_catalog(spark: SparkSession, directory: str, as_of: str = SAMPLE_AS_OF) -> Catalog:
-    return Catalog(spark, SampleInputs(spark, directory), as_of=as_of)
+class SampleCatalog(Catalog):
+    """A catalog over sample inputs that also gives access to the files behind them."""
+
+    def __init__(self, spark: SparkSession, directory: str, as_of: str = SAMPLE_AS_OF):
+        inputs = SampleInputs(spark, directory)
+        super().__init__(spark, inputs, as_of=as_of)
+        self.file = inputs.file
+
+
+def sample_catalog(spark: SparkSession, directory: str, as_of: str = SAMPLE_AS_OF) -> SampleCatalog:
+    return SampleCatalog(spark, directory, as_of)
