@@ -4,14 +4,12 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql.types import DecimalType, StructType
-
-from carrymark.plans.core import PROJECTIONS
+from carrymark.plans.core import PROJECTIONS, Projection
 from carrymark.queries import COMPANY, FUND, INSTRUMENT, SINCE, STAGE
 from carrymark.quality.rules import (
     CHECKED_TABLES, OverlapRule, ReferenceRule, RowCountRule, RowRule, Rule, SinglePrimaryRule,
     UniqueRule, rules_for)
-from carrymark.sources.schemas import input_schema
+from carrymark.sources.schemas import INPUTS as INPUT_SCHEMAS
 from verification.marts import BLOCKS, FIRST, TODAY
 from verification.relations import INPUTS, MODELS, complete
 
@@ -37,9 +35,10 @@ def rows_of(relation: str, numbers: str = "", columns: str = "*") -> str:
 
 # --- models ------------------------------------------------------------------
 
-def _decimals(schema: StructType, dropped=(), renames=None) -> str:
-    return " ".join((renames or {}).get(f.name, f.name) for f in schema.fields
-                    if isinstance(f.dataType, DecimalType) and f.name not in dropped)
+def _decimals(projection: Projection) -> str:
+    """Declared decimal columns under their output names; needs no session."""
+    names = re.findall(r"(\w+) decimal", INPUT_SCHEMAS[projection.source])
+    return " ".join(projection.renames.get(n, n) for n in names if n not in projection.drops)
 
 
 _SNAPSHOT_NUMBERS = {
@@ -56,7 +55,7 @@ _SNAPSHOT_NUMBERS = {
 def _models() -> dict[str, str]:
     numbers = dict(_SNAPSHOT_NUMBERS)
     for name, p in PROJECTIONS.items():
-        numbers[name] = _decimals(input_schema(p.source), p.drops, p.renames)
+        numbers[name] = _decimals(p)
     return {f"core_{name}": rows_of(name, numbers.get(name, "")) for name in MODELS}
 
 
