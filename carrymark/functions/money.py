@@ -31,7 +31,3 @@ def allocation_share(pct: Column) -> Column:
 def sum_when(condition: Column, amount: Column) -> Column:
     """Sum of the matching amounts; null, not zero, when none match."""
     return F.sum(F.when(condition, amount))
-
-
-def sum_or_zero_when(condition: Column, amount: Column) -> Column:
-    return F.sum(F.when(condition, amount).otherwise(F.lit(0)))

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from typing import TYPE_CHECKING
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from carrymark.functions.money import fx_convert, sum_when
 from carrymark.operators.reporting import SnapshotPolicy, recency
@@ -31,22 +31,32 @@ def latest_positions(catalog: Catalog, policy: SnapshotPolicy | None = None) ->
 
     The latest credit row is the newest snapshot with a principal and may be
     older than the latest snapshot; likewise for the stake. One aggregation with
-    map-side partials replaces three ranked scans.
+    map-side partials replaces three ranked scans. Where no row qualifies, the
+    fields of ``credit`` are null.
     """
-    newest = recency("period_end_date", "instrument_snapshot_id")
-    current = F.struct(
-        "period_end_date", "fair_value", "fx_rate",
-        fx_convert("fair_value").alias("fair_value_converted"))
-    credit = F.struct(
-        "period_end_date",
-        fx_convert("principal_outstanding").alias("principal_outstanding_converted"),
-        fx_convert("undrawn_commitment").alias("undrawn_commitment_converted"),
-        fx_convert("accrued_interest").alias("accrued_interest_converted"))
+    newest = recency("period_end_date", "instrument_snapshot_id").alias("recency")
+
+    def row(*columns: str) -> Column:
+        return F.struct(newest, *columns)
+
+    reports_credit = F.col("principal_outstanding").isNotNull()
+    reports_stake = F.col("equity_stake_pct").isNotNull()
+    measures = ("principal_outstanding", "undrawn_commitment", "accrued_interest")
+    # Amounts are converted after the reduction, on one row per instrument.
     return curated_snapshots(catalog, policy).groupBy("instrument_id").agg(
-        F.max_by(current, newest).alias("latest"),
-        F.max_by(credit, F.when(F.col("principal_outstanding").isNotNull(), newest)).alias("credit"),
-        F.max_by("equity_stake_pct",
-                 F.when(F.col("equity_stake_pct").isNotNull(), newest)).alias("stake"))
+        F.max(row("period_end_date", "fair_value", "fx_rate")).alias("_latest"),
+        F.max(F.when(reports_credit, row("period_end_date", "fx_rate", *measures)))
+        .alias("_credit"),
+        F.max(F.when(reports_stake, row("equity_stake_pct"))).alias("_stake"),
+    ).select(
+        "instrument_id",
+        F.struct("_latest.period_end_date", "_latest.fair_value", "_latest.fx_rate",
+                 fx_convert("_latest.fair_value", "_latest.fx_rate")
+                 .alias("fair_value_converted")).alias("latest"),
+        F.struct("_credit.period_end_date",
+                 *[fx_convert(f"_credit.{m}", "_credit.fx_rate").alias(f"{m}_converted")
+                   for m in measures]).alias("credit"),
+        F.col("_stake.equity_stake_pct").alias("stake"))
 
 
 def period_positions(catalog: Catalog, policy: SnapshotPolicy | None = None) -> DataFrame:

@@ -13,7 +13,7 @@ from typing import TYPE_CHECKING
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from carrymark.functions.dates import clock, month_spine, month_start
-from carrymark.functions.money import allocation_share
+from carrymark.functions.money import allocation_share, sum_when
 from carrymark.functions.vocab import CLOSED_STAGES, CREDIT, EQUITY
 from carrymark.operators.reporting import SnapshotPolicy
 from carrymark.operators.snapshots import latest_positions
@@ -107,8 +107,9 @@ def deployed_base(catalog: Catalog, policy: SnapshotPolicy | None = None, *,
     # Labels come after the sums: codes determine them, and the sums are small.
     sums = held.groupBy("fund_id", "instrument_type", "country_code", "industry_id",
                         "maturity_year", "security_rank").agg(
-        F.sum((F.col("exposure_usd") * F.coalesce("_industry_share", whole)).cast(AMOUNT)
-              * F.coalesce("_country_share", whole)).cast(AMOUNT).alias("deployed_capital_usd"),
+        F.sum(F.col("exposure_usd")
+              * (F.coalesce("_industry_share", whole) * F.coalesce("_country_share", whole)))
+        .cast(AMOUNT).alias("deployed_capital_usd"),
         F.max("period_end_date").alias("as_of_date"))
     labelled = _with_place(catalog, sums).join(_funds(catalog), "fund_id")
     # A code missing from its link and a code spelled UNKNOWN share one label.
@@ -127,7 +128,11 @@ def open_stages(catalog: Catalog) -> DataFrame:
 
 
 def stage_reach(catalog: Catalog) -> DataFrame:
-    """For each open stage, the stages a deal in it has reached: itself and all before."""
+    """For each open stage, the stages a deal in it has reached: itself and all before.
+
+    Stages are configuration, a handful of rows, so one ordered window over the
+    stage list is enough; the deals meet the result by an equality join.
+    """
     up_to = Window.orderBy("stage_order").rangeBetween(
         Window.unboundedPreceding, Window.currentRow)
     return (open_stages(catalog).where("stage_order is not null")
@@ -188,22 +193,28 @@ def _month_labels(first: Column) -> dict[str, Column]:
 def _deal_months(catalog: Catalog, first: Column) -> DataFrame:
     """Per deal key, the value closed up to each month of the spine.
 
-    Each month is one conditional sum of the same aggregation. Closings before
-    the spine count from its first month on; later ones never do.
+    Deals are first summed per own stage and close month. Closings before the
+    spine fall into its first month; later ones into one month past its end, so
+    that their keys keep rows. Each month's running total is then a conditional
+    sum over at most fourteen values per key.
     """
-    amounts = [f"_m{i}" for i in range(MONTHS_AHEAD + 1)]
-    own = _deal_values(catalog).groupBy(
-        "fund_id", "deal_stage", "country_code", "industry_id",
-    ).agg(*[F.sum(F.when(F.col("close_month") <= F.add_months(first, i), F.col("value"))).alias(a)
-            for i, a in enumerate(amounts)])
+    past_end = F.add_months(first, MONTHS_AHEAD + 1)
+    on_spine = F.greatest(first, F.least(F.col("close_month"), past_end))
+    own = (_deal_values(catalog)
+           .groupBy("fund_id", "deal_stage", "country_code", "industry_id",
+                    on_spine.alias("close_month"))
+           .agg(F.sum("value").cast(AMOUNT).alias("value")))
+    zero = F.lit(0).cast(AMOUNT)
+    totals = {f"_m{i}": sum_when(F.col("close_month") <= F.add_months(first, i), F.col("value"))
+              for i in range(MONTHS_AHEAD + 1)}
     keyed = _reached(catalog, own).groupBy(*DEAL_GRAIN).agg(
-        *[F.coalesce(F.sum(a).cast(AMOUNT), F.lit(0).cast(AMOUNT)).alias(a) for a in amounts])
+        *[F.coalesce(total, zero).cast(AMOUNT).alias(name) for name, total in totals.items()])
     months = F.array(*[
         F.struct(F.add_months(first, i).alias("exposure_month"),
-                 F.col(a).alias("closed_pipeline_usd"))
-        for i, a in enumerate(amounts)])
+                 F.col(name).alias("closed_pipeline_usd"))
+        for i, name in enumerate(totals)])
     return keyed.select(*DEAL_GRAIN, F.explode(months).alias("_month")).select(
-        *DEAL_GRAIN, "_month.*", F.lit(0).cast(AMOUNT).alias("deployed_capital_usd"))
+        *DEAL_GRAIN, "_month.*", zero.alias("deployed_capital_usd"))
 
 
 def exposure_timeseries(catalog: Catalog, policy: SnapshotPolicy | None = None, *,

@@ -7,7 +7,7 @@ from typing import TYPE_CHECKING
 from pyspark.sql import Column, DataFrame, functions as F
 
 from carrymark.functions.dates import clock, years_between
-from carrymark.functions.money import ratio, sum_or_zero_when
+from carrymark.functions.money import ratio, sum_when
 from carrymark.functions.vocab import (
     CREDIT, CREDIT_DRAWS, CREDIT_REPAYMENTS, EQUITY, EQUITY_REALISED, INTEREST)
 from carrymark.operators.reporting import SnapshotPolicy
@@ -19,10 +19,10 @@ if TYPE_CHECKING:
 
 def instrument_flows(catalog: Catalog) -> DataFrame:
     """Cash-flow totals per instrument in one pass."""
-    amount = F.col("amount_converted")
 
     def total(types: tuple[str, ...]) -> Column:
-        return sum_or_zero_when(F.col("instrument_cashflow_type").isin(*types), amount)
+        matching = F.col("instrument_cashflow_type").isin(*types)
+        return F.coalesce(sum_when(matching, F.col("amount_converted")), F.lit(0))
 
     return catalog.table("fct_instrument_cashflows").groupBy("instrument_id").agg(
         (total(CREDIT_DRAWS) - total(CREDIT_REPAYMENTS)).alias("drawn_amount"),

@@ -30,7 +30,7 @@ class TableSpec:
     """``grain`` names the columns of one row; it is declared, not enforced."""
 
     name: str
-    role: Literal["dimension", "fact", "bridge", "metrics", "helper"]
+    role: Literal["seed", "dimension", "fact", "bridge", "metrics", "helper"]
     build: Builder
     grain: tuple[str, ...] = ()
     stored_as: Literal["table", "view", "inline"] = "table"
@@ -38,7 +38,7 @@ class TableSpec:
 
     @property
     def namespace(self) -> str:
-        return "metrics" if self.role == "metrics" else "public"
+        return {"seed": "reference", "metrics": "metrics"}.get(self.role, "public")
 
 
 _ROLES = {"dim": "dimension", "fct": "fact", "br": "bridge"}
@@ -76,7 +76,13 @@ def _metrics(name: str, build: Builder, *grain: str) -> TableSpec:
     return TableSpec(f"metrics_{name}", "metrics", build, grain)
 
 
+def _seed(name: str, key: str) -> TableSpec:
+    return TableSpec(name, "seed", lambda catalog: catalog.input(name), (key,))
+
+
 _SPECS = [
+    _seed("ref_countries", "iso2"),
+    _seed("ref_currencies", "currency_code"),
     *[_core(n, p) for n, p in {**core.PROJECTIONS, **_SNAPSHOT_FACTS}.items()],
     TableSpec("int_expect_instruments_equity", "helper", core.expected_equity_instruments,
               ("instrument_id",), "inline"),

@@ -332,6 +332,14 @@ _NOTED_LIST: list[Rule] = [
     _key("dim_instruments_credit", "facility_id", "tranche_label"),
     _key("br_opportunity_countries", "opportunity_id", "country_code"),
     _key("br_opportunity_industries", "opportunity_id", "industry_id"),
+    # Declared grains; the cash-flow mart's key does not identify its rows.
+    _key("metrics_fund_performance", "fund_id", "period_end_date"),
+    _key("metrics_position_performance", "instrument_id", "period_end_date"),
+    _key("metrics_company_performance", "company_id", "period_end_date"),
+    _key("metrics_pipeline_by_stage", "fund_id", "stage_id"),
+    _key("metrics_company_financials_trend", "company_id", "period_end_date"),
+    _key("metrics_investment_activity_monthly", "fund_id", "activity_month", "transaction_type"),
+    _key("metrics_loan_portfolio_summary", "fund_id", "maturity_year"),
     *_bridge("br_instrument_countries", "instrument_id", "country_code"),
     *_bridge("br_instrument_industries", "instrument_id", "industry_id"),
     *_bridge("br_company_countries", "company_id", "country_code"),

@@ -16,6 +16,9 @@ RECOMMENDED = {
     # owns a large share of all rows; AQE splits such partitions at run time.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Joins whose build side turns out to fit per partition hash instead of
+    # sorting the fact; AQE checks the measured sizes first.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
 }
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -39,7 +39,7 @@ class Catalog:
 
     def table(self, name: str) -> DataFrame:
         if name not in self._resolved:
-            self._resolved[name] = self._input(name) if name in INPUTS else self._model(name)
+            self._resolved[name] = self.input(name) if name in INPUTS else self._model(name)
         return self._resolved[name]
 
     def replace(self, name: str, df: DataFrame) -> Catalog:
@@ -47,7 +47,8 @@ class Catalog:
         self._resolved[name] = df
         return self
 
-    def _input(self, name: str) -> DataFrame:
+    def input(self, name: str) -> DataFrame:
+        """An input relation as delivered, narrowed to its declared columns."""
         source = self._read(name)
         return source.select(*[
             F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in input_schema(name).fields
@@ -67,13 +68,15 @@ class Catalog:
         for name in names or TABLES:
             self.table(name).createOrReplaceTempView(name)
 
-    def save(self, name: str, *, buckets: int | None = None, database: str | None = None) -> DataFrame:
+    def save(self, name: str, *, buckets: int | None = None, partition_by: Sequence[str] = (),
+             database: str | None = None) -> DataFrame:
         """Materialize one table the way its spec says and read it from there on.
 
         Tables go to ``<namespace>.<name>``; views become temporary views;
         inlined helpers stay plans. With ``buckets``, tables that have a bucket
         key are hash-bucketed and sorted by it, so that joins and aggregations
-        on that key need no shuffle.
+        on that key need no shuffle. ``partition_by`` lets later filters on
+        those columns, such as the period, skip whole folders.
         """
         from carrymark.plans.registry import TABLES
 
@@ -82,13 +85,15 @@ class Catalog:
         if spec.stored_as == "view":
             df.createOrReplaceTempView(name)
         elif spec.stored_as == "table":
-            namespace = database or spec.namespace
-            self.spark.sql(f"create database if not exists `{namespace}`")
+            target = f"`{database or spec.namespace}`.`{name}`"
+            self.spark.sql(f"create database if not exists `{database or spec.namespace}`")
             writer = df.write.mode("overwrite").format("parquet")
+            if partition_by:
+                writer = writer.partitionBy(*partition_by)
             if buckets and spec.bucket_key:
                 writer = writer.bucketBy(buckets, spec.bucket_key).sortBy(spec.bucket_key)
-            writer.saveAsTable(f"`{namespace}`.`{name}`")
-            self.replace(name, self.spark.table(f"`{namespace}`.`{name}`"))
+            writer.saveAsTable(target)
+            self.replace(name, self.spark.table(target))
         return self.table(name)
 
     def save_all(self, *names: str, buckets: int | None = None) -> None:

@@ -110,7 +110,7 @@ def test_inputs_are_narrowed_and_cast(spark):
 
 def test_every_input_and_table_has_rows_and_a_schema(spark):
     catalog = sample_catalog(spark, SMALL)
-    assert len(INPUTS) == 28 and len(TABLES) == 43
+    assert len(INPUTS) == 28 and len(TABLES) == 45
     for name in (*INPUTS, *TABLES):
         assert catalog.table(name).columns
     with pytest.raises(KeyError):
@@ -129,11 +129,12 @@ def test_parquet_and_database_inputs(spark, tmp_path):
 def test_saved_tables_views_and_sql(spark):
     catalog = sample_catalog(spark, SMALL)
     expected = catalog.table("metrics_portfolio_overview").count()
-    catalog.save_all("dim_funds", "fct_fund_snapshots", "int_expect_instruments_equity",
+    catalog.save_all("ref_currencies", "dim_funds", "fct_fund_snapshots", "int_expect_instruments_equity",
                      "metrics_fund_performance", "metrics_returns_cashflows",
                      "metrics_portfolio_overview")
     assert spark.table("metrics.metrics_portfolio_overview").count() == expected
     assert spark.table("public.dim_funds").count() == 25
+    assert spark.table("reference.ref_currencies").count() == 3
     assert spark.sql("select * from fct_fund_snapshots").count() > 0
     # The overview was built from the stored fund mart.
     assert "metrics_fund_performance" in catalog.table("metrics_fund_performance").inputFiles()[0]
@@ -144,6 +145,13 @@ def test_saved_tables_views_and_sql(spark):
     assert latest.first()[0] > 0
 
 
+def test_partitioned_table_prunes_folders(spark):
+    catalog = sample_catalog(spark, SMALL)
+    mart = catalog.save("metrics_fund_performance", partition_by=["period_end_date"])
+    plan = mart.where("period_end_date = '1998-06-30'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(period_end_date" in plan
+
+
 def test_bucketed_tables_join_without_a_shuffle(spark):
     catalog = sample_catalog(spark, SMALL)
     catalog.save_all("dim_instruments", "dim_instruments_credit", buckets=4)

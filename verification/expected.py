@@ -9,7 +9,7 @@ from carrymark.queries import COMPANY, FUND, INSTRUMENT, SINCE, STAGE
 from carrymark.quality.rules import (
     CHECKED_TABLES, OverlapRule, ReferenceRule, RowCountRule, RowRule, Rule, SinglePrimaryRule,
     UniqueRule, rules_for)
-from carrymark.sources.schemas import INPUTS as INPUT_SCHEMAS
+from carrymark.sources.schemas import INPUTS as INPUT_SCHEMAS, SEEDS
 from verification.marts import BLOCKS, FIRST, TODAY
 from verification.relations import INPUTS, MODELS, complete
 
@@ -56,7 +56,7 @@ def _models() -> dict[str, str]:
     numbers = dict(_SNAPSHOT_NUMBERS)
     for name, p in PROJECTIONS.items():
         numbers[name] = _decimals(p)
-    return {f"core_{name}": rows_of(name, numbers.get(name, "")) for name in MODELS}
+    return {f"core_{name}": rows_of(name, numbers.get(name, "")) for name in (*SEEDS, *MODELS)}
 
 
 # --- building blocks and marts -----------------------------------------------
