@@ -27,6 +27,8 @@ class Projection:
 
     def __call__(self, catalog: Catalog) -> DataFrame:
         df = catalog.table(self.source)
+        if not (self.renames or self.drops or self.extra):
+            return df
         kept = [F.col(f"`{c}`").alias(self.renames.get(c, c))
                 for c in df.columns if c not in self.drops]
         return df.select(*kept, *[F.expr(e).alias(c) for c, e in self.extra.items()])

@@ -25,6 +25,7 @@ if TYPE_CHECKING:
 MONTHS_AHEAD = 12
 PLACE = ["region", "country_code", "country_name", "industry_id", "industry_name"]
 AMOUNT = "decimal(38,6)"
+SHARE = "decimal(12,4)"
 
 
 # --- deployed capital --------------------------------------------------------
@@ -81,6 +82,17 @@ def _with_place(catalog: Catalog, df: DataFrame) -> DataFrame:
     }).drop("_region", "_country", "_industry")
 
 
+def link_shares(bridge: DataFrame, entity: str, code: str, share: str, *bounds: str) -> DataFrame:
+    """Total share per entity and code, and validity interval where given.
+
+    Shares act linearly, so repeated links can be added up before the join. An
+    entity then has at most one row per code and interval, however many link
+    rows it owns.
+    """
+    return bridge.groupBy(entity, code, *bounds).agg(
+        F.sum(allocation_share(F.col("allocation_pct"))).cast(SHARE).alias(share))
+
+
 def deployed_base(catalog: Catalog, policy: SnapshotPolicy | None = None, *,
                   country_validity: bool = False) -> DataFrame:
     """Deployed capital by fund, type, place, industry, maturity year and rank.
@@ -91,19 +103,19 @@ def deployed_base(catalog: Catalog, policy: SnapshotPolicy | None = None, *,
     """
     held = deployed_by_instrument(catalog, policy)
 
-    def links(bridge: str, code: str, share: str, only_valid: bool) -> DataFrame:
-        df = catalog.table(bridge).select(
-            F.col("instrument_id").alias("_linked"), code,
-            allocation_share(F.col("allocation_pct")).alias(share),
-            F.col("valid_from"), F.col("valid_to"))
+    def allocated(df: DataFrame, bridge: str, code: str, share: str, only_valid: bool) -> DataFrame:
+        bounds = ["valid_from", "valid_to"] if only_valid else []
+        links = link_shares(catalog.table(bridge), "instrument_id", code, share, *bounds)
+        links = links.withColumnRenamed("instrument_id", "_linked")
         on = F.col("instrument_id") == F.col("_linked")
         if only_valid:
             on &= valid_at(F.col("period_end_date"), F.col("valid_from"), F.col("valid_to"))
-        return held.join(df, on, "left").drop("_linked", "valid_from", "valid_to")
+        return df.join(links, on, "left").drop("_linked", *bounds)
 
-    held = links("br_instrument_countries", "country_code", "_country_share", country_validity)
-    held = links("br_instrument_industries", "industry_id", "_industry_share", True)
-    whole = F.lit(1).cast("decimal(8,4)")
+    held = allocated(held, "br_instrument_countries", "country_code", "_country_share",
+                     country_validity)
+    held = allocated(held, "br_instrument_industries", "industry_id", "_industry_share", True)
+    whole = F.lit(1).cast(SHARE)
     # Labels come after the sums: codes determine them, and the sums are small.
     sums = held.groupBy("fund_id", "instrument_type", "country_code", "industry_id",
                         "maturity_year", "security_rank").agg(
@@ -145,17 +157,20 @@ def _deal_values(catalog: Catalog) -> DataFrame:
     deals = (catalog.table("dim_opportunities").where(F.col("close_date").isNotNull())
              .select("opportunity_id", "fund_id", "stage_id", "amount", "close_date")
              .join(open_stages(catalog).select("stage_id"), "stage_id"))
-    countries = catalog.table("br_opportunity_countries").select(
-        "opportunity_id", "country_code", allocation_share(F.col("allocation_pct")).alias("share"))
+    countries = link_shares(catalog.table("br_opportunity_countries"), "opportunity_id",
+                            "country_code", "share")
+    # Industry links carry no percentage: each one counts the deal in full.
     industries = (catalog.table("br_opportunity_industries")
                   .where(F.coalesce("primary_flag", F.lit(True)))
-                  .select("opportunity_id", "industry_id"))
-    whole = F.lit(1).cast("decimal(8,4)")
+                  .groupBy("opportunity_id", "industry_id")
+                  .agg(F.count(F.lit(1)).cast(SHARE).alias("links")))
+    whole = F.lit(1).cast(SHARE)
+    weight = F.coalesce("share", whole) * F.coalesce("links", whole)
     return (deals.join(countries, "opportunity_id", "left")
             .join(industries, "opportunity_id", "left")
             .select("fund_id", F.col("stage_id").alias("deal_stage"), "country_code",
                     "industry_id", month_start(F.col("close_date")).alias("close_month"),
-                    (F.col("amount") * F.coalesce("share", whole)).alias("value")))
+                    (F.col("amount") * weight).cast(AMOUNT).alias("value")))
 
 
 def _reached(catalog: Catalog, by_own_stage: DataFrame) -> DataFrame:

@@ -34,7 +34,6 @@ class TableSpec:
     build: Builder
     grain: tuple[str, ...] = ()
     stored_as: Literal["table", "view", "inline"] = "table"
-    bucket_key: str | None = None
 
     @property
     def namespace(self) -> str:
@@ -50,26 +49,11 @@ _SNAPSHOT_FACTS: dict[str, Builder] = {
     "fct_instrument_snapshots_credit": core.instrument_snapshots_credit,
     "fct_instrument_snapshots_equity": core.instrument_snapshots_equity,
 }
-_KEYS = {
-    "fct_instrument_snapshots": ("instrument_snapshot_id", "instrument_id"),
-    "fct_instrument_snapshots_credit": ("instrument_snapshot_id", None),
-    "fct_instrument_snapshots_equity": ("instrument_snapshot_id", None),
-    "dim_instruments": ("instrument_id", "instrument_id"),
-    "dim_instruments_equity": ("instrument_id", "instrument_id"),
-    "dim_instruments_credit": ("instrument_id", "instrument_id"),
-    "br_instrument_countries": (None, "instrument_id"),
-    "br_instrument_industries": (None, "instrument_id"),
-    "dim_opportunities": ("opportunity_id", "opportunity_id"),
-    "br_opportunity_countries": (None, "opportunity_id"),
-    "br_opportunity_industries": (None, "opportunity_id"),
-    "dim_companies": ("company_id", "company_id"),
-}
 
 
 def _core(name: str, build: Builder) -> TableSpec:
-    row_key, bucket = _KEYS.get(name, (None, None))
-    return TableSpec(name, _ROLES[name.split("_")[0]], build, (row_key,) if row_key else (),
-                     "view" if name in _VIEWS else "table", bucket)
+    return TableSpec(name, _ROLES[name.split("_")[0]], build,
+                     stored_as="view" if name in _VIEWS else "table")
 
 
 def _metrics(name: str, build: Builder, *grain: str) -> TableSpec:

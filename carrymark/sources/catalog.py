@@ -7,6 +7,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from carrymark.functions.dates import AsOf
+from carrymark.sources.layout import store
 from carrymark.sources.schemas import INPUTS, input_schema
 
 InputReader = Callable[[str], DataFrame]
@@ -49,9 +50,11 @@ class Catalog:
 
     def input(self, name: str) -> DataFrame:
         """An input relation as delivered, narrowed to its declared columns."""
-        source = self._read(name)
+        source, declared = self._read(name), input_schema(name)
+        delivered = {f.name: f.dataType for f in source.schema.fields}
         return source.select(*[
-            F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in input_schema(name).fields
+            f"`{f.name}`" if delivered.get(f.name) == f.dataType
+            else F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in declared.fields
         ])
 
     def _model(self, name: str) -> DataFrame:
@@ -73,10 +76,9 @@ class Catalog:
         """Materialize one table the way its spec says and read it from there on.
 
         Tables go to ``<namespace>.<name>``; views become temporary views;
-        inlined helpers stay plans. With ``buckets``, tables that have a bucket
-        key are hash-bucketed and sorted by it, so that joins and aggregations
-        on that key need no shuffle. ``partition_by`` lets later filters on
-        those columns, such as the period, skip whole folders.
+        inlined helpers stay plans. ``buckets`` asks for bucketing by the key the
+        table is joined on, so that later joins need no shuffle. ``partition_by``
+        lets filters on those columns, such as the period, skip whole folders.
         """
         from carrymark.plans.registry import TABLES
 
@@ -85,15 +87,8 @@ class Catalog:
         if spec.stored_as == "view":
             df.createOrReplaceTempView(name)
         elif spec.stored_as == "table":
-            target = f"`{database or spec.namespace}`.`{name}`"
-            self.spark.sql(f"create database if not exists `{database or spec.namespace}`")
-            writer = df.write.mode("overwrite").format("parquet")
-            if partition_by:
-                writer = writer.partitionBy(*partition_by)
-            if buckets and spec.bucket_key:
-                writer = writer.bucketBy(buckets, spec.bucket_key).sortBy(spec.bucket_key)
-            writer.saveAsTable(target)
-            self.replace(name, self.spark.table(target))
+            self.replace(name, store(df, database or spec.namespace, name, buckets=buckets,
+                                     partition_by=partition_by))
         return self.table(name)
 
     def save_all(self, *names: str, buckets: int | None = None) -> None:
@@ -103,3 +98,11 @@ class Catalog:
         wanted = set(names or TABLES)
         for name in (n for n in TABLES if n in wanted):
             self.save(name, buckets=buckets)
+
+    def save_inputs(self, *names: str, database: str, buckets: int | None = None) -> None:
+        """Store input relations, bucketed alike, and read them from there on.
+
+        ``Catalog.from_database`` opens them again in another session.
+        """
+        for name in names or INPUTS:
+            self.replace(name, store(self.input(name), database, name, buckets=buckets))

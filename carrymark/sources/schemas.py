@@ -6,6 +6,8 @@ columns, so unread columns of a wider source never leave the scan.
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql.types import StructType
 
 _STAMPS = "created_at timestamp, updated_at timestamp"
@@ -133,5 +135,6 @@ UPSTREAM = {
 INPUTS = {**SEEDS, **UPSTREAM}
 
 
+@cache
 def input_schema(name: str) -> StructType:
     return StructType.fromDDL(INPUTS[name])

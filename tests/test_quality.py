@@ -4,6 +4,7 @@ import pytest
 
 from carrymark.operators.lineage import computed_once
 from carrymark.plans.core import expected_credit_instruments
+from carrymark.plans.registry import TABLES
 from carrymark.quality import checks, rules
 from carrymark.quality.rules import (
     CONTRACTS, ERROR, NOTED, WARN, OverlapRule, ReferenceRule, RowCountRule, SinglePrimaryRule,
@@ -164,3 +165,10 @@ def test_checkpoint_goes_to_the_configured_folder(spark):
     assert df.count() == 10
     configured = spark.conf.get("spark.checkpoint.dir")
     assert configured.rstrip("/") in spark.sparkContext.getCheckpointDir()
+
+
+def test_declared_mart_grains_are_checked():
+    for name, spec in TABLES.items():
+        if spec.role == "metrics" and spec.grain and name != "metrics_returns_cashflows":
+            keys = {r.keys for r in rules.rules_for(name) if isinstance(r, UniqueRule)}
+            assert spec.grain in keys, name

@@ -2,9 +2,11 @@ import pytest
 from pyspark.errors import AnalysisException
 
 from carrymark.functions.dates import date_shift, month_spine, quarter_end
+from carrymark.operators.snapshots import latest_positions, period_positions
 from carrymark.plans.registry import TABLES
 from carrymark.queries import SAMPLE_SPEC
 from carrymark.sources.catalog import Catalog
+from carrymark.sources.layout import buckets_evenly, store
 from carrymark.sources.sample_inputs import sample_catalog
 from carrymark.sources.schemas import INPUTS
 from carrymark.sources.seeds import read_seed
@@ -152,14 +154,49 @@ def test_partitioned_table_prunes_folders(spark):
     assert "PartitionFilters: [isnotnull(period_end_date" in plan
 
 
-def test_bucketed_tables_join_without_a_shuffle(spark):
+@pytest.fixture
+def no_broadcast(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def _exchanges(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return [line for line in plan.splitlines() if " Exchange " in line]
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark, no_broadcast):
     catalog = sample_catalog(spark, SMALL)
     catalog.save_all("dim_instruments", "dim_instruments_credit", buckets=4)
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        joined = catalog.table("dim_instruments").join(
-            catalog.table("dim_instruments_credit"), "instrument_id")
-        plan = joined._jdf.queryExecution().executedPlan().toString()
-        assert "SortMergeJoin" in plan and "Exchange" not in plan
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    joined = catalog.table("dim_instruments").join(
+        catalog.table("dim_instruments_credit"), "instrument_id")
+    assert "SortMergeJoin" in joined._jdf.queryExecution().executedPlan().toString()
+    assert not _exchanges(joined)
+
+
+def test_bucketed_inputs_carry_marts_without_a_fact_shuffle(spark, no_broadcast):
+    """Latest positions and flow totals meet by instrument where they are stored."""
+    sample_catalog(spark, SMALL).save_inputs(database="bucketed", buckets=4)
+    catalog = Catalog.from_database(spark, "bucketed", as_of="1998-07-15")
+    assert not _exchanges(latest_positions(catalog))
+    assert not _exchanges(period_positions(catalog))
+    positions = catalog.table("metrics_position_performance")
+    # Only the fund and company lookups remain.
+    assert not [e for e in _exchanges(positions) if "instrument_id" in e.split("hashpartitioning")[1]]
+    expected = sample_catalog(spark, SMALL).table("metrics_position_performance")
+    assert positions.exceptAll(expected).isEmpty() and positions.count() == expected.count()
+
+
+def test_a_dominant_key_is_not_bucketed(spark):
+    rows = spark.range(1000).select(F.when(F.col("id") < 400, "hot").otherwise(
+        F.concat(F.lit("k"), "id")).alias("instrument_id"))
+    even = rows.where("instrument_id <> 'hot'")
+    assert buckets_evenly(even, "instrument_id", 16)
+    assert not buckets_evenly(rows, "instrument_id", 16)
+    assert buckets_evenly(even.limit(0), "instrument_id", 16)
+    for df, bucketed in ((rows, False), (even, True)):
+        stored = store(df, "layout", "dim_instruments", buckets=16)
+        assert stored.count() == df.count()
+        detail = spark.sql("describe extended layout.dim_instruments").collect()
+        assert any(r.col_name == "Num Buckets" for r in detail) == bucketed
