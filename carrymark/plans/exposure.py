@@ -24,8 +24,11 @@ if TYPE_CHECKING:
 
 MONTHS_AHEAD = 12
 PLACE = ["region", "country_code", "country_name", "industry_id", "industry_name"]
-AMOUNT = "decimal(38,6)"
+# Amounts of six decimals times two shares of four are exact in these types.
+AMOUNT = "decimal(36,14)"
+NATIVE = "decimal(24,6)"
 SHARE = "decimal(12,4)"
+COMBINED_SHARE = "decimal(13,8)"
 
 
 # --- deployed capital --------------------------------------------------------
@@ -46,8 +49,8 @@ def deployed_by_instrument(catalog: Catalog, policy: SnapshotPolicy | None = Non
     is_credit = (F.col("instrument_type") == CREDIT) & F.col("has_terms")
     principal = F.col("credit.principal_outstanding_converted")
     undrawn = F.col("credit.undrawn_commitment_converted")
-    fair, zero = F.col("latest.fair_value"), F.lit(0).cast(AMOUNT)
-    equity_value = F.coalesce(F.col("latest.fair_value_converted"), fair).cast(AMOUNT)
+    fair, zero = F.col("latest.fair_value"), F.lit(0)
+    equity_value = F.coalesce(F.col("latest.fair_value_converted"), fair)
     credit_value = F.coalesce(principal, zero) + F.coalesce(undrawn, zero)
     is_equity = F.col("instrument_type") == EQUITY
     kept = ((is_equity & fair.isNotNull())
@@ -55,7 +58,7 @@ def deployed_by_instrument(catalog: Catalog, policy: SnapshotPolicy | None = Non
     return held.where(kept).select(
         "instrument_id", "fund_id", "company_id", "instrument_type",
         F.col("latest.period_end_date").alias("period_end_date"),
-        F.when(is_equity, equity_value).otherwise(credit_value).cast(AMOUNT).alias("exposure_usd"),
+        F.when(is_equity, equity_value).otherwise(credit_value).cast(NATIVE).alias("exposure_usd"),
         F.when(is_credit, F.col("maturity_date")).alias("maturity_date"),
         F.when(is_credit, F.year("maturity_date")).alias("maturity_year"),
         F.when(is_credit, F.col("security_rank")).alias("security_rank"))
@@ -116,12 +119,12 @@ def deployed_base(catalog: Catalog, policy: SnapshotPolicy | None = None, *,
                      country_validity)
     held = allocated(held, "br_instrument_industries", "industry_id", "_industry_share", True)
     whole = F.lit(1).cast(SHARE)
+    share = (F.coalesce("_industry_share", whole) * F.coalesce("_country_share", whole)).cast(
+        COMBINED_SHARE)
     # Labels come after the sums: codes determine them, and the sums are small.
     sums = held.groupBy("fund_id", "instrument_type", "country_code", "industry_id",
                         "maturity_year", "security_rank").agg(
-        F.sum(F.col("exposure_usd")
-              * (F.coalesce("_industry_share", whole) * F.coalesce("_country_share", whole)))
-        .cast(AMOUNT).alias("deployed_capital_usd"),
+        F.sum(F.col("exposure_usd") * share).cast(AMOUNT).alias("deployed_capital_usd"),
         F.max("period_end_date").alias("as_of_date"))
     labelled = _with_place(catalog, sums).join(_funds(catalog), "fund_id")
     # A code missing from its link and a code spelled UNKNOWN share one label.
@@ -163,14 +166,14 @@ def _deal_values(catalog: Catalog) -> DataFrame:
     industries = (catalog.table("br_opportunity_industries")
                   .where(F.coalesce("primary_flag", F.lit(True)))
                   .groupBy("opportunity_id", "industry_id")
-                  .agg(F.count(F.lit(1)).cast(SHARE).alias("links")))
-    whole = F.lit(1).cast(SHARE)
-    weight = F.coalesce("share", whole) * F.coalesce("links", whole)
+                  .agg(F.count(F.lit(1)).cast("decimal(8,0)").alias("links")))
+    weight = (F.coalesce("share", F.lit(1).cast(SHARE))
+              * F.coalesce("links", F.lit(1).cast("decimal(8,0)")))
     return (deals.join(countries, "opportunity_id", "left")
             .join(industries, "opportunity_id", "left")
             .select("fund_id", F.col("stage_id").alias("deal_stage"), "country_code",
                     "industry_id", month_start(F.col("close_date")).alias("close_month"),
-                    (F.col("amount") * weight).cast(AMOUNT).alias("value")))
+                    (F.col("amount") * weight).alias("value")))
 
 
 def _reached(catalog: Catalog, by_own_stage: DataFrame) -> DataFrame:

@@ -150,7 +150,8 @@ def loan_portfolio_summary(catalog: Catalog) -> DataFrame:
     """Loans per fund and maturity year.
 
     A loan's rate is its fixed rate, else its spread, since there is no base-rate
-    table. Averages weigh by outstanding principal; loans without one do not count.
+    table. Averages weigh by outstanding principal; loans without a principal or
+    without the averaged value do not count.
     """
     loans = catalog.table("dim_instruments_credit").where("maturity_date is not null").select(
         "instrument_id", F.year("maturity_date").alias("maturity_year"),

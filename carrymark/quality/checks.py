@@ -55,10 +55,14 @@ def _orphans(catalog: Catalog, df: DataFrame, rule: ReferenceRule) -> DataFrame:
 
 
 def _overlaps(df: DataFrame, rule: OverlapRule) -> DataFrame:
-    """Start dates per key with the number of intervals that begin inside another."""
-    starts = df.groupBy(*rule.keys, "valid_from").agg(
-        F.count(F.lit(1)).alias("_rows"),
-        F.max(F.coalesce("valid_to", F.lit("9999-12-31").cast("date"))).alias("_reach"))
+    """Start dates per key with the number of intervals that begin inside another.
+
+    A missing start reaches back without limit, a missing end forward.
+    """
+    day = "date"
+    start = F.coalesce("valid_from", F.lit("0001-01-01").cast(day)).alias("valid_from")
+    reach = F.max(F.coalesce("valid_to", F.lit("9999-12-31").cast(day))).alias("_reach")
+    starts = df.groupBy(*rule.keys, start).agg(F.count(F.lit(1)).alias("_rows"), reach)
     earlier = (Window.partitionBy(*rule.keys).orderBy("valid_from")
                .rowsBetween(Window.unboundedPreceding, -1))
     covered = F.coalesce(F.max("_reach").over(earlier) >= F.col("valid_from"), F.lit(False))

@@ -127,9 +127,12 @@ def _blocks() -> dict[str, str]:
         "latest_positions": shown(
             "select s.instrument_id, s.period_end_date, s.fair_value, s.fair_value_converted, "
             "x.period_end_date credit_period_end_date, "
-            "x.principal_outstanding_converted principal_outstanding, "
-            "x.undrawn_commitment_converted undrawn_commitment "
-            "from newest_snapshots s left join newest_credit x using (instrument_id)",
+            "x.principal_outstanding * x.fx_rate principal_outstanding, "
+            "x.undrawn_commitment * x.fx_rate undrawn_commitment "
+            "from newest_snapshots s left join (select * from int_instrument_snapshots_curated "
+            "where principal_outstanding is not null qualify row_number() over ("
+            "partition by instrument_id order by period_end_date desc nulls first, "
+            "instrument_snapshot_id desc) = 1) x using (instrument_id)",
             "fair_value fair_value_converted principal_outstanding undrawn_commitment"),
         "deployed_by_instrument": rows_of("deployed_by_instrument", "exposure_usd"),
         "deployed_base": rows_of("deployed_base", deployed),
@@ -305,13 +308,15 @@ def _failures(rule: Rule) -> str:
                     f"from dim_instruments where {rule.other}))")
         case OverlapRule():
             same = " and ".join(f"a.{k} = b.{k}" for k in rule.keys)
-            numbered = f"(select *, row_number() over (order by valid_from) n from {t})"
+            numbered = (f"(select *, row_number() over (order by valid_from nulls first) n "
+                        f"from {t})")
             return (f"select count(*) from {numbered} b where exists (select 1 from {numbered} a "
-                    f"where {same} and a.n < b.n "
-                    "and coalesce(a.valid_to >= b.valid_from, true))")
+                    f"where {same} and a.n < b.n and (a.valid_to is null or "
+                    "a.valid_to >= coalesce(b.valid_from, date '0001-01-01')))")
         case SinglePrimaryRule():
             return (f"select count(*) from (select {rule.key} from {t} where primary_flag "
-                    f"and valid_from <= {TODAY} and coalesce(valid_to >= {TODAY}, true) "
+                    f"and coalesce(valid_from <= {TODAY}, true) "
+                    f"and coalesce(valid_to >= {TODAY}, true) "
                     f"group by {rule.key} having count(*) > 1)")
     raise TypeError(rule)
 

@@ -451,11 +451,14 @@ BLOCKS = {
                coalesce(sum(x.principal_outstanding_converted), 0) total_outstanding_usd,
                sum(coalesce(cast(l.fixed_rate_pct as double), l.spread_bps / 100.0::double)
                    * cast(x.principal_outstanding_converted as double))
-                   / sum(x.principal_outstanding_converted) weighted_avg_rate_pct,
+                   / nullif(sum(x.principal_outstanding_converted) filter (
+                       coalesce(l.fixed_rate_pct, l.spread_bps) is not null), 0)
+                   weighted_avg_rate_pct,
                sum(l.spread_bps * cast(x.principal_outstanding_converted as double))
-                   / sum(x.principal_outstanding_converted) weighted_avg_spread_bps,
+                   / nullif(sum(x.principal_outstanding_converted) filter (
+                       l.spread_bps is not null), 0) weighted_avg_spread_bps,
                cast(coalesce(sum(x.principal_outstanding_converted), 0) as double)
-                   / sum(l.commitment_amount_converted) * 100 utilization_pct,
+                   / nullif(sum(l.commitment_amount_converted), 0) * 100 utilization_pct,
                'PM' source_system, coalesce(max(x.period_end_date), {TODAY}) as_of_date
         from dim_instruments_credit l
         join dim_instruments h on h.instrument_id = l.instrument_id
