@@ -83,11 +83,12 @@ def _net_flow() -> Column:
                  .otherwise(F.lit(0)))
 
 
-def _owned_flows(catalog: Catalog) -> DataFrame:
+def _owned_flows(catalog: Catalog, *types: str) -> DataFrame:
+    """Flows, of the given types if any, with their fund and instrument type."""
     owners = catalog.table("dim_instruments").select("instrument_id", "fund_id", "instrument_type")
-    return catalog.table("fct_instrument_cashflows").select(
-        "instrument_id", "instrument_cashflow_type", "date", "amount_converted",
-    ).join(owners, "instrument_id")
+    flows = catalog.table("fct_instrument_cashflows").select(
+        "instrument_id", "instrument_cashflow_type", "date", "amount_converted")
+    return (flows.where(_flow_type(types)) if types else flows).join(owners, "instrument_id")
 
 
 def period_net_flows(catalog: Catalog) -> DataFrame:
@@ -123,8 +124,8 @@ def cumulative_flows(catalog: Catalog, measure: str, name: str,
     Funds without an instrument of the set's type have no row. A date reported
     by several snapshots counts each flow once per snapshot.
     """
-    kind, _ = _TO_DATE[measure]
-    daily = (_owned_flows(catalog).groupBy("fund_id", "date")
+    kind, types = _TO_DATE[measure]
+    daily = (_owned_flows(catalog, *types).groupBy("fund_id", "date")
              .agg(_to_date_total(measure).alias(measure)))
     holders = (catalog.table("dim_instruments").where(_is(kind))
                .select("fund_id").distinct())
@@ -151,10 +152,13 @@ def portfolio_company_counts(catalog: Catalog, policy: SnapshotPolicy | None = N
 def _flow_totals(catalog: Catalog, policy: SnapshotPolicy | None) -> DataFrame:
     """All date-dependent totals of a fund from one timeline.
 
-    The cash flows are scanned once and reduced to fund and day before anything
-    is ordered, so a fund that owns most of the flows costs no more than its days.
+    The cash flows are scanned once, without the types no total uses, and reduced
+    to fund and day before anything is ordered, so a fund that owns most of the
+    flows costs no more than its days.
     """
-    daily = _owned_flows(catalog).groupBy("fund_id", "date").agg(
+    used = {*PERIOD_CONTRIBUTIONS, *PERIOD_DISTRIBUTIONS,
+            *(t for _, types in _TO_DATE.values() for t in types)}
+    daily = _owned_flows(catalog, *sorted(used)).groupBy("fund_id", "date").agg(
         _net_flow().alias("net_flows"), *[_to_date_total(m).alias(m) for m in _TO_DATE])
     events = daily.unionByName(_company_changes(catalog), allowMissingColumns=True)
     at_dates = totals_to_date(

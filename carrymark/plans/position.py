@@ -18,13 +18,14 @@ if TYPE_CHECKING:
 
 
 def instrument_flows(catalog: Catalog) -> DataFrame:
-    """Cash-flow totals per instrument in one pass."""
+    """Cash-flow totals per instrument with any flow that counts, in one pass."""
+    kind = F.col("instrument_cashflow_type")
 
     def total(types: tuple[str, ...]) -> Column:
-        matching = F.col("instrument_cashflow_type").isin(*types)
-        return F.coalesce(sum_when(matching, F.col("amount_converted")), F.lit(0))
+        return F.coalesce(sum_when(kind.isin(*types), F.col("amount_converted")), F.lit(0))
 
-    return catalog.table("fct_instrument_cashflows").groupBy("instrument_id").agg(
+    counted = kind.isin(*CREDIT_DRAWS, *CREDIT_REPAYMENTS, *INTEREST, *EQUITY_REALISED)
+    return catalog.table("fct_instrument_cashflows").where(counted).groupBy("instrument_id").agg(
         (total(CREDIT_DRAWS) - total(CREDIT_REPAYMENTS)).alias("drawn_amount"),
         total(INTEREST).alias("interest_income"),
         total(EQUITY_REALISED).alias("realized_proceeds"),

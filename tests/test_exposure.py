@@ -139,3 +139,29 @@ def test_country_validity_is_optional(tables):
     assert [r.country_code for r in exposure.deployed_base(catalog).collect()] == ["DE"]
     strict = exposure.deployed_base(catalog, country_validity=True).collect()
     assert [r.country_code for r in strict] == ["UNKNOWN"]
+
+
+def test_a_rank_spelled_null_is_not_a_missing_rank(tables):
+    catalog = tables(
+        int_funds_unified=FUNDS,
+        int_instruments_unified=[instrument("c1", "CREDIT"), instrument("c2", "CREDIT")],
+        int_instruments_credit_curated=[
+            dict(instrument_id="c1", maturity_date="2025-05-05", security_rank="NULL"),
+            dict(instrument_id="c2", maturity_date="2025-05-05")],
+        int_instrument_snapshots_curated=[
+            snapshot(i, "2020-03-31", principal_outstanding=v, fx_rate=1)
+            for i, v in (("c1", 1), ("c2", 2))])
+    rows = catalog.table("metrics_exposure_timeseries").collect()
+    assert len(rows) == 26
+    assert {(r.security_rank, r.deployed_capital_usd) for r in rows} == {("NULL", 1), (None, 2)}
+
+
+def test_a_snapshot_without_a_period_is_the_latest(tables):
+    catalog = tables(
+        int_funds_unified=FUNDS, int_instruments_unified=[instrument("e1")],
+        int_instrument_snapshots_curated=[
+            snapshot("e1", "2020-03-31", fair_value=1, fx_rate=1),
+            snapshot("e1", None, fair_value=2, fx_rate=1)])
+    row = exposure.deployed_by_instrument(catalog).first()
+    assert row.exposure_usd == 2 and row.period_end_date is None
+    assert catalog.table("metrics_position_performance").count() == 0

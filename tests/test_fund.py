@@ -140,3 +140,18 @@ def test_peak_credit_runs_over_periods(tables):
     assert [got[day(p)]["peak_outstanding_credit"] for p in (Q1, Q2, Q3)] == [5, 9, 9]
     assert [got[day(p)]["total_exposure"] for p in (Q1, Q2, Q3)] == [None] * 3
     assert [got[day(p)]["principal_outstanding"] for p in (Q1, Q2, Q3)] == [5, 9, 7]
+
+
+def test_marts_run_on_todays_date(tables):
+    catalog = tables(
+        as_of=None, int_funds_unified=FUNDS, int_fund_snapshots_curated=[fund_snapshot(Q1)],
+        int_instruments_unified=[instrument("i")],
+        int_instrument_snapshots_curated=[dict(
+            instrument_snapshot_id="s", instrument_id="i", period_end_date=Q1, fair_value=1)])
+    today = catalog.spark.sql("select current_date()").first()[0]
+    assert fund.fund_performance(catalog).first().as_of_date == today
+    for name in ("metrics_portfolio_overview", "metrics_position_performance",
+                 "metrics_pipeline_by_stage", "metrics_loan_portfolio_summary"):
+        catalog.table(name).collect()
+    months = catalog.table("metrics_exposure_timeseries").collect()
+    assert len(months) == 13 and months[0].exposure_month == today.replace(day=1)

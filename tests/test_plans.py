@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from carrymark.plans import fund
 from carrymark.plans.cashflows import returns_cashflows
 from carrymark.plans.registry import TABLES
 from carrymark.queries import BLOCKS
@@ -58,6 +59,18 @@ def test_filters_reach_the_scan(spark, tmp_path):
     assert "fx_rate_source" not in scan.split("ReadSchema")[1]
 
 
+def test_unused_flow_types_stay_in_the_scan(spark, tmp_path):
+    catalog = sample_catalog(spark, SMALL)
+    for name in ("int_instrument_cashflows_curated", "int_instruments_unified"):
+        catalog.table(name).write.parquet(str(tmp_path / name))
+    stored = Catalog.from_parquet(spark, str(tmp_path))
+    stored.replace("fct_fund_snapshots", catalog.table("fct_fund_snapshots"))
+    called = fund.cumulative_flows(stored, "called", "called_capital")
+    scan = next(line for line in plan_of(called).splitlines()
+                if "FileScan" in line and "amount_converted" in line)
+    assert "In(instrument_cashflow_type, [INVESTMENT,PURCHASE])" in scan
+
+
 def test_latest_positions_shuffle_one_row_per_instrument(spark):
     """Map-side partials come before the only shuffle of the snapshots."""
     plan = plan_of(sample_catalog(spark, SMALL).table("metrics_position_performance"))
