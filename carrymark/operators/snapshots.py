@@ -13,7 +13,7 @@ from typing import TYPE_CHECKING
 from pyspark.sql import Column, DataFrame, functions as F
 
 from carrymark.functions.money import fx_convert, sum_when
-from carrymark.operators.reporting import SnapshotPolicy, recency
+from carrymark.operators.reporting import recency
 
 if TYPE_CHECKING:
     from carrymark.sources.catalog import Catalog
@@ -21,12 +21,11 @@ if TYPE_CHECKING:
 CURATED = "int_instrument_snapshots_curated"
 
 
-def curated_snapshots(catalog: Catalog, policy: SnapshotPolicy | None = None) -> DataFrame:
-    snapshots = catalog.table(CURATED)
-    return policy.choose(snapshots, "instrument_id", "instrument_snapshot_id") if policy else snapshots
+def curated_snapshots(catalog: Catalog) -> DataFrame:
+    return catalog.preferred(catalog.table(CURATED), "instrument_id", "instrument_snapshot_id")
 
 
-def latest_positions(catalog: Catalog, policy: SnapshotPolicy | None = None) -> DataFrame:
+def latest_positions(catalog: Catalog) -> DataFrame:
     """One row per instrument: latest snapshot, latest credit row, latest stake.
 
     The latest credit row is the newest snapshot with a principal and may be
@@ -43,7 +42,7 @@ def latest_positions(catalog: Catalog, policy: SnapshotPolicy | None = None) ->
     reports_stake = F.col("equity_stake_pct").isNotNull()
     measures = ("principal_outstanding", "undrawn_commitment", "accrued_interest")
     # Amounts are converted after the reduction, on one row per instrument.
-    return curated_snapshots(catalog, policy).groupBy("instrument_id").agg(
+    return curated_snapshots(catalog).groupBy("instrument_id").agg(
         F.max(row("period_end_date", "fair_value", "fx_rate")).alias("_latest"),
         F.max(F.when(reports_credit, row("period_end_date", "fx_rate", *measures)))
         .alias("_credit"),
@@ -59,7 +58,7 @@ def latest_positions(catalog: Catalog, policy: SnapshotPolicy | None = None) ->
         F.col("_stake.equity_stake_pct").alias("stake"))
 
 
-def period_positions(catalog: Catalog, policy: SnapshotPolicy | None = None) -> DataFrame:
+def period_positions(catalog: Catalog) -> DataFrame:
     """Totals per instrument and period, with the owning fund and type.
 
     Reducing before the join keeps an instrument with very many snapshot rows
@@ -68,7 +67,7 @@ def period_positions(catalog: Catalog, policy: SnapshotPolicy | None = None) ->
     """
     principal = fx_convert("principal_outstanding")
     reported = F.col("principal_outstanding").isNotNull()
-    totals = curated_snapshots(catalog, policy).groupBy("instrument_id", "period_end_date").agg(
+    totals = curated_snapshots(catalog).groupBy("instrument_id", "period_end_date").agg(
         F.sum(fx_convert("fair_value")).alias("fair_value"),
         F.max(fx_convert("fair_value") > 0).alias("has_value"),
         F.sum(principal).alias("principal"),

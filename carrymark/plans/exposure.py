@@ -15,7 +15,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from carrymark.functions.dates import clock, month_spine, month_start
 from carrymark.functions.money import allocation_share, sum_when
 from carrymark.functions.vocab import CLOSED_STAGES, CREDIT, EQUITY
-from carrymark.operators.reporting import SnapshotPolicy
 from carrymark.operators.snapshots import latest_positions
 from carrymark.operators.validity import valid_at
 
@@ -33,7 +32,7 @@ COMBINED_SHARE = "decimal(13,8)"
 
 # --- deployed capital --------------------------------------------------------
 
-def deployed_by_instrument(catalog: Catalog, policy: SnapshotPolicy | None = None) -> DataFrame:
+def deployed_by_instrument(catalog: Catalog) -> DataFrame:
     """Current exposure of each instrument with a reported value.
 
     Equity counts its converted fair value, or the native value where no rate is
@@ -44,7 +43,7 @@ def deployed_by_instrument(catalog: Catalog, policy: SnapshotPolicy | None = Non
         "instrument_id", "fund_id", "company_id", "instrument_type")
     terms = catalog.table("dim_instruments_credit").select(
         "instrument_id", "maturity_date", "security_rank", F.lit(True).alias("has_terms"))
-    held = (latest_positions(catalog, policy).join(instruments, "instrument_id")
+    held = (latest_positions(catalog).join(instruments, "instrument_id")
             .join(terms, "instrument_id", "left"))
     is_credit = (F.col("instrument_type") == CREDIT) & F.col("has_terms")
     principal = F.col("credit.principal_outstanding_converted")
@@ -96,7 +95,7 @@ def link_shares(bridge: DataFrame, entity: str, code: str, share: str, *bounds:
         F.sum(allocation_share(F.col("allocation_pct"))).cast(SHARE).alias(share))
 
 
-def deployed_base(catalog: Catalog, policy: SnapshotPolicy | None = None, *,
+def deployed_base(catalog: Catalog, *,
                   country_validity: bool = False) -> DataFrame:
     """Deployed capital by fund, type, place, industry, maturity year and rank.
 
@@ -104,7 +103,7 @@ def deployed_base(catalog: Catalog, policy: SnapshotPolicy | None = None, *,
     percentage takes the whole amount. Industry links must be valid at the
     snapshot date; country links only with ``country_validity``.
     """
-    held = deployed_by_instrument(catalog, policy)
+    held = deployed_by_instrument(catalog)
 
     def allocated(df: DataFrame, bridge: str, code: str, share: str, only_valid: bool) -> DataFrame:
         bounds = ["valid_from", "valid_to"] if only_valid else []
@@ -235,12 +234,12 @@ def _deal_months(catalog: Catalog, first: Column) -> DataFrame:
         *DEAL_GRAIN, "_month.*", zero.alias("deployed_capital_usd"))
 
 
-def exposure_timeseries(catalog: Catalog, policy: SnapshotPolicy | None = None, *,
+def exposure_timeseries(catalog: Catalog, *,
                         country_validity: bool = False) -> DataFrame:
     """Thirteen months of exposure from the month of the valuation date."""
     today = clock(catalog.as_of)
     first = month_start(today)
-    deployed = (deployed_base(catalog, policy, country_validity=country_validity)
+    deployed = (deployed_base(catalog, country_validity=country_validity)
                 .withColumn("exposure_month", F.explode(month_spine(today, MONTHS_AHEAD)))
                 .withColumn("closed_pipeline_usd", F.lit(0).cast(AMOUNT)))
     rows = deployed.unionByName(_deal_months(catalog, first), allowMissingColumns=True)

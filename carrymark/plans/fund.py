@@ -11,7 +11,6 @@ from carrymark.functions.money import ratio, sum_when
 from carrymark.functions.vocab import (
     CREDIT, CUMULATIVE_CALLED, CUMULATIVE_DISTRIBUTIONS, EQUITY, INTEREST,
     PERIOD_CONTRIBUTIONS, PERIOD_DISTRIBUTIONS)
-from carrymark.operators.reporting import SnapshotPolicy
 from carrymark.operators.snapshots import period_positions
 from carrymark.operators.timeline import presence_changes, totals_to_date
 
@@ -25,16 +24,15 @@ def _is(kind: str, column: str = "instrument_type") -> Column:
     return F.col(column) == kind
 
 
-def _fund_snapshots(catalog: Catalog, policy: SnapshotPolicy | None) -> DataFrame:
-    snapshots = catalog.table("fct_fund_snapshots")
-    return policy.choose(snapshots, "fund_id", "fund_snapshot_id") if policy else snapshots
+def _fund_snapshots(catalog: Catalog) -> DataFrame:
+    return catalog.preferred(catalog.table("fct_fund_snapshots"), "fund_id", "fund_snapshot_id")
 
 
 # --- snapshot side -----------------------------------------------------------
 
-def instrument_valuations(catalog: Catalog, policy: SnapshotPolicy | None = None) -> DataFrame:
+def instrument_valuations(catalog: Catalog) -> DataFrame:
     """Converted fair value of equity instruments."""
-    return (period_positions(catalog, policy).where(_is(EQUITY)).groupBy(*GRAIN)
+    return (period_positions(catalog).where(_is(EQUITY)).groupBy(*GRAIN)
             .agg(F.sum("fair_value").alias("total_instrument_fair_value")))
 
 
@@ -42,14 +40,14 @@ def _positions() -> Column:
     return F.count_if((_is(EQUITY) & F.col("has_value")) | (_is(CREDIT) & F.col("has_principal")))
 
 
-def position_counts(catalog: Catalog, policy: SnapshotPolicy | None = None) -> DataFrame:
+def position_counts(catalog: Catalog) -> DataFrame:
     """Instruments with exposure: equity by fair value, credit by principal."""
-    return (period_positions(catalog, policy).groupBy(*GRAIN)
+    return (period_positions(catalog).groupBy(*GRAIN)
             .agg(_positions().alias("number_of_positions")))
 
 
-def credit_exposure(catalog: Catalog, policy: SnapshotPolicy | None = None) -> DataFrame:
-    credit = period_positions(catalog, policy).where(_is(CREDIT) & F.col("has_credit"))
+def credit_exposure(catalog: Catalog) -> DataFrame:
+    credit = period_positions(catalog).where(_is(CREDIT) & F.col("has_credit"))
     return credit.groupBy(*GRAIN).agg(
         F.sum("principal").alias("total_principal_outstanding"),
         F.sum("undrawn").alias("total_undrawn_commitment"),
@@ -60,10 +58,10 @@ def credit_exposure(catalog: Catalog, policy: SnapshotPolicy | None = None) -> D
     })
 
 
-def _snapshot_totals(catalog: Catalog, policy: SnapshotPolicy | None) -> DataFrame:
+def _snapshot_totals(catalog: Catalog) -> DataFrame:
     """The three aggregates above in one pass over the snapshots."""
     credit = _is(CREDIT)
-    return period_positions(catalog, policy).groupBy(*GRAIN).agg(
+    return period_positions(catalog).groupBy(*GRAIN).agg(
         sum_when(_is(EQUITY), F.col("fair_value")).alias("instrument_fair_value"),
         _positions().alias("positions"),
         sum_when(credit, F.col("principal")).alias("principal"),
@@ -110,15 +108,14 @@ def _to_date_total(measure: str) -> Column:
     return sum_when(_is(kind) & _flow_type(types), F.col("amount_converted"))
 
 
-def _markers(catalog: Catalog, policy: SnapshotPolicy | None) -> DataFrame:
+def _markers(catalog: Catalog) -> DataFrame:
     """Reporting dates of each fund, with the number of snapshots on each."""
-    return (_fund_snapshots(catalog, policy)
+    return (_fund_snapshots(catalog)
             .groupBy("fund_id", F.col("period_end_date").alias("date"))
             .agg(F.count(F.lit(1)).alias("copies")))
 
 
-def cumulative_flows(catalog: Catalog, measure: str, name: str,
-                     policy: SnapshotPolicy | None = None) -> DataFrame:
+def cumulative_flows(catalog: Catalog, measure: str, name: str,) -> DataFrame:
     """Total of one cash-flow set up to each reporting date of a fund.
 
     Funds without an instrument of the set's type have no row. A date reported
@@ -129,7 +126,7 @@ def cumulative_flows(catalog: Catalog, measure: str, name: str,
              .agg(_to_date_total(measure).alias(measure)))
     holders = (catalog.table("dim_instruments").where(_is(kind))
                .select("fund_id").distinct())
-    markers = _markers(catalog, policy).join(holders, "fund_id", "left_semi")
+    markers = _markers(catalog).join(holders, "fund_id", "left_semi")
     return totals_to_date(daily, markers, "fund_id", "date", [measure]).select(
         "fund_id", F.col("date").alias("period_end_date"),
         (F.col(measure) * F.col("copies")).alias(name))
@@ -140,16 +137,16 @@ def _company_changes(catalog: Catalog) -> DataFrame:
                             "inception_date", "termination_date", "date", "companies")
 
 
-def portfolio_company_counts(catalog: Catalog, policy: SnapshotPolicy | None = None) -> DataFrame:
+def portfolio_company_counts(catalog: Catalog) -> DataFrame:
     """Distinct companies with an active instrument on each reporting date."""
-    counts = totals_to_date(_company_changes(catalog), _markers(catalog, policy),
+    counts = totals_to_date(_company_changes(catalog), _markers(catalog),
                             "fund_id", "date", ["companies"])
     return counts.select(
         "fund_id", F.col("date").alias("period_end_date"),
         F.coalesce("companies", F.lit(0)).alias("number_of_portfolio_companies"))
 
 
-def _flow_totals(catalog: Catalog, policy: SnapshotPolicy | None) -> DataFrame:
+def _flow_totals(catalog: Catalog) -> DataFrame:
     """All date-dependent totals of a fund from one timeline.
 
     The cash flows are scanned once, without the types no total uses, and reduced
@@ -162,7 +159,7 @@ def _flow_totals(catalog: Catalog, policy: SnapshotPolicy | None) -> DataFrame:
         _net_flow().alias("net_flows"), *[_to_date_total(m).alias(m) for m in _TO_DATE])
     events = daily.unionByName(_company_changes(catalog), allowMissingColumns=True)
     at_dates = totals_to_date(
-        events, _markers(catalog, policy), "fund_id", "date", [*_TO_DATE, "companies"],
+        events, _markers(catalog), "fund_id", "date", [*_TO_DATE, "companies"],
         within={"net_flows": quarter_end(F.col("date"))})
     return at_dates.select(
         "fund_id", F.col("date").alias("period_end_date"),
@@ -177,20 +174,16 @@ def _variance(reported: str, calculated: str) -> dict[str, Column]:
     return {"absolute": difference, "pct": ratio(difference, F.col(calculated))}
 
 
-def fund_performance(catalog: Catalog, policy: SnapshotPolicy | None = None) -> DataFrame:
-    """NAV, capital, multiples and credit exposure, reported against calculated.
-
-    ``policy`` picks one snapshot where several bases or sources report the same
-    period; by default every snapshot row is kept.
-    """
+def fund_performance(catalog: Catalog) -> DataFrame:
+    """NAV, capital, multiples and credit exposure, reported against calculated."""
     funds = catalog.table("dim_funds").select(
         "fund_id", F.col("name").alias("fund_name"), F.col("type").alias("fund_type"))
-    reported = _fund_snapshots(catalog, policy).select(
+    reported = _fund_snapshots(catalog).select(
         "fund_id", "period_end_date", "committed_capital", "called_capital", "expected_coc",
         "cash_amount", "total_distributions", "total_interest_income", "nav_amount_converted")
     joined = (reported.join(funds, "fund_id")
-              .join(_snapshot_totals(catalog, policy), GRAIN, "left")
-              .join(_flow_totals(catalog, policy), GRAIN, "left"))
+              .join(_snapshot_totals(catalog), GRAIN, "left")
+              .join(_flow_totals(catalog), GRAIN, "left"))
 
     of_credit, of_equity = _is(CREDIT, "fund_type"), _is(EQUITY, "fund_type")
     zero = F.lit(0)

@@ -10,7 +10,6 @@ from carrymark.functions.dates import clock, years_between
 from carrymark.functions.money import ratio, sum_when
 from carrymark.functions.vocab import (
     CREDIT, CREDIT_DRAWS, CREDIT_REPAYMENTS, EQUITY, EQUITY_REALISED, INTEREST)
-from carrymark.operators.reporting import SnapshotPolicy
 from carrymark.operators.snapshots import latest_positions
 
 if TYPE_CHECKING:
@@ -32,7 +31,7 @@ def instrument_flows(catalog: Catalog) -> DataFrame:
         total(CREDIT_REPAYMENTS).alias("principal_repaid"))
 
 
-def position_performance(catalog: Catalog, policy: SnapshotPolicy | None = None) -> DataFrame:
+def position_performance(catalog: Catalog) -> DataFrame:
     """Cost, proceeds, value and multiples for equity; exposure and terms for credit.
 
     All inputs are reduced to one row per instrument before they meet, so the
@@ -51,7 +50,7 @@ def position_performance(catalog: Catalog, policy: SnapshotPolicy | None = None)
         "instrument_id", "fund_id", "company_id", F.col("name").alias("instrument_name"),
         "instrument_type", "inception_date", "termination_date")
     positions = (
-        latest_positions(catalog, policy)
+        latest_positions(catalog)
         .where(F.col("latest.period_end_date").isNotNull())
         .join(instruments, "instrument_id")
         .join(instrument_flows(catalog), "instrument_id", "left")

@@ -7,6 +7,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from carrymark.functions.dates import AsOf
+from carrymark.operators.reporting import SnapshotPolicy
 from carrymark.sources.layout import store
 from carrymark.sources.schemas import INPUTS, input_schema
 
@@ -18,25 +19,28 @@ class Catalog:
 
     ``inputs`` is a mapping or a function from input name to DataFrame. Every
     input is narrowed to its declared columns and types. ``as_of`` is the
-    valuation date of all marts; ``None`` means today.
+    valuation date of all marts; ``None`` means today. ``policy`` picks one fund
+    or instrument snapshot where several report the same period; by default
+    every snapshot counts.
     """
 
     def __init__(self, spark: SparkSession, inputs: Mapping[str, DataFrame] | InputReader,
-                 *, as_of: AsOf = None):
+                 *, as_of: AsOf = None, policy: SnapshotPolicy | None = None):
         self.spark = spark
         self.as_of = as_of
+        self.policy = policy
         self._read: InputReader = inputs.__getitem__ if isinstance(inputs, Mapping) else inputs
         self._resolved: dict[str, DataFrame] = {}
 
     @classmethod
-    def from_parquet(cls, spark: SparkSession, root: str, *, as_of: AsOf = None) -> Catalog:
+    def from_parquet(cls, spark: SparkSession, root: str, **settings) -> Catalog:
         """Inputs stored as ``<root>/<input name>`` parquet directories."""
-        return cls(spark, lambda name: spark.read.parquet(f"{root}/{name}"), as_of=as_of)
+        return cls(spark, lambda name: spark.read.parquet(f"{root}/{name}"), **settings)
 
     @classmethod
-    def from_database(cls, spark: SparkSession, database: str, *, as_of: AsOf = None) -> Catalog:
+    def from_database(cls, spark: SparkSession, database: str, **settings) -> Catalog:
         """Inputs stored as metastore tables of one database."""
-        return cls(spark, lambda name: spark.table(f"{database}.{name}"), as_of=as_of)
+        return cls(spark, lambda name: spark.table(f"{database}.{name}"), **settings)
 
     def table(self, name: str) -> DataFrame:
         if name not in self._resolved:
@@ -48,6 +52,10 @@ class Catalog:
         self._resolved[name] = df
         return self
 
+    def preferred(self, snapshots: DataFrame, entity: str, row_id: str) -> DataFrame:
+        """The snapshots that count under the catalog's policy."""
+        return self.policy.choose(snapshots, entity, row_id) if self.policy else snapshots
+
     def input(self, name: str) -> DataFrame:
         """An input relation as delivered, narrowed to its declared columns."""
         source, declared = self._read(name), input_schema(name)

@@ -47,8 +47,8 @@ def test_repeated_period_counts_each_flow_per_snapshot(tables):
     got = records(fund.cumulative_flows(catalog, "called", "called"), "period_end_date")
     assert got[day(Q1)]["called"] == Decimal(20)
     assert [r.called_capital_calculated for r in fund.fund_performance(catalog).collect()] == [20, 20]
-    preferred = fund.fund_performance(
-        catalog, SnapshotPolicy(bases=("MANAGEMENT", "AUDITED"))).collect()
+    catalog.policy = SnapshotPolicy(bases=("MANAGEMENT", "AUDITED"))
+    preferred = fund.fund_performance(catalog).collect()
     assert [(r.total_commitments, r.called_capital_calculated) for r in preferred] == [(8, 10)]
 
 

@@ -1,5 +1,7 @@
 import pytest
 
+from carrymark.operators.reporting import SnapshotPolicy
+from carrymark.plans import fund
 from carrymark.plans.company import company_performance
 from carrymark.plans.portfolio import portfolio_overview
 from carrymark.plans.position import position_performance
@@ -156,3 +158,18 @@ def test_loan_summary_weights_by_outstanding(tables):
     assert (row.loan_count, row.total_outstanding_usd, row.utilization_pct) == (3, 40, 20.0)
     assert row.weighted_avg_rate_pct == pytest.approx((6 * 30 + 3 * 10) / 40)
     assert row.weighted_avg_spread_bps == pytest.approx(150)
+
+
+def test_policy_picks_one_of_several_snapshots(tables):
+    catalog = tables(
+        int_funds_unified=FUNDS, int_instruments_unified=[instrument("e")],
+        int_instrument_snapshots_curated=[
+            snapshot("e", "2020-03-31", n, fair_value=v, reporting_basis=b, snapshot_source=s)
+            for n, (v, b, s) in enumerate([
+                (1, "ESTIMATE", "ADMIN"), (2, "AUDITED", "INTERNAL"), (4, "AUDITED", "ADMIN"),
+                (8, "AUDITED", "ADMIN"), (16, None, None)])])
+    everything = fund.instrument_valuations(catalog).first()
+    assert everything.total_instrument_fair_value == 31
+    catalog.policy = SnapshotPolicy(bases=("AUDITED",), sources=("ADMIN", "INTERNAL"))
+    assert fund.instrument_valuations(catalog).first().total_instrument_fair_value == 4
+    assert position_performance(catalog).first().fair_value == 4
