@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column
 
 
 def valid_at(day: Column, valid_from: Column, valid_to: Column) -> Column:

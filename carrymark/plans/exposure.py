@@ -23,7 +23,9 @@ if TYPE_CHECKING:
 
 MONTHS_AHEAD = 12
 PLACE = ["region", "country_code", "country_name", "industry_id", "industry_name"]
-# Amounts of six decimals times two shares of four are exact in these types.
+# Amounts of six decimals times two shares of four are exact in these types. A
+# share adds up the links of one code, which differ in their start dates, so the
+# product stays far below the 100,000 that COMBINED_SHARE holds.
 AMOUNT = "decimal(36,14)"
 NATIVE = "decimal(24,6)"
 SHARE = "decimal(12,4)"
@@ -95,8 +97,7 @@ def link_shares(bridge: DataFrame, entity: str, code: str, share: str, *bounds:
         F.sum(allocation_share(F.col("allocation_pct"))).cast(SHARE).alias(share))
 
 
-def deployed_base(catalog: Catalog, *,
-                  country_validity: bool = False) -> DataFrame:
+def deployed_base(catalog: Catalog, *, country_validity: bool = False) -> DataFrame:
     """Deployed capital by fund, type, place, industry, maturity year and rank.
 
     Exposure is split by the industry and country percentages; a missing
@@ -234,8 +235,7 @@ def _deal_months(catalog: Catalog, first: Column) -> DataFrame:
         *DEAL_GRAIN, "_month.*", zero.alias("deployed_capital_usd"))
 
 
-def exposure_timeseries(catalog: Catalog, *,
-                        country_validity: bool = False) -> DataFrame:
+def exposure_timeseries(catalog: Catalog, *, country_validity: bool = False) -> DataFrame:
     """Thirteen months of exposure from the month of the valuation date."""
     today = clock(catalog.as_of)
     first = month_start(today)

@@ -115,7 +115,7 @@ def _markers(catalog: Catalog) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("copies")))
 
 
-def cumulative_flows(catalog: Catalog, measure: str, name: str,) -> DataFrame:
+def cumulative_flows(catalog: Catalog, measure: str, name: str) -> DataFrame:
     """Total of one cash-flow set up to each reporting date of a fund.
 
     Funds without an instrument of the set's type have no row. A date reported

@@ -115,7 +115,7 @@ def table_report(catalog: Catalog, table: str, rules: list[Rule] | None = None)
     df = catalog.table(table)
     by_row = [r for r in rules if isinstance(r, RowRule)]
     others = [r for r in rules if not isinstance(r, RowRule)]
-    if table.startswith("metrics_") and others and by_row:
+    if table.startswith("metrics_") and table not in catalog.stored and others and by_row:
         df = computed_once(df)
     parts = [_row_checks(df, by_row)] if by_row else []
     parts += [_failure_count(catalog, df, rule) for rule in others]

@@ -31,6 +31,7 @@ class Catalog:
         self.policy = policy
         self._read: InputReader = inputs.__getitem__ if isinstance(inputs, Mapping) else inputs
         self._resolved: dict[str, DataFrame] = {}
+        self.stored: set[str] = set()
 
     @classmethod
     def from_parquet(cls, spark: SparkSession, root: str, **settings) -> Catalog:
@@ -97,6 +98,7 @@ class Catalog:
         elif spec.stored_as == "table":
             self.replace(name, store(df, database or spec.namespace, name, buckets=buckets,
                                      partition_by=partition_by))
+            self.stored.add(name)
         return self.table(name)
 
     def save_all(self, *names: str, buckets: int | None = None) -> None:

@@ -172,3 +172,10 @@ def test_declared_mart_grains_are_checked():
         if spec.role == "metrics" and spec.grain and name != "metrics_returns_cashflows":
             keys = {r.keys for r in rules.rules_for(name) if isinstance(r, UniqueRule)}
             assert spec.grain in keys, name
+
+
+def test_a_stored_mart_is_checked_where_it_is(spark, monkeypatch):
+    catalog = sample_catalog(spark, SMALL)
+    catalog.save("metrics_pipeline_by_stage")
+    monkeypatch.setattr(checks, "computed_once", lambda df: pytest.fail("computed again"))
+    assert not failures(catalog, "metrics_pipeline_by_stage")

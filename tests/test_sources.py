@@ -19,7 +19,8 @@ COUNTRY_HEADER = "id,iso2,iso3,name,phone_code,region,sub_region,income_level,cr
 
 def test_country_seed_keeps_na_and_empty_fields(spark, tmp_path):
     path = tmp_path / "countries.csv"
-    path.write_text(f"{COUNTRY_HEADER}\n1,NA,NAM,Namibia,264,Africa,Southern Africa,UMC,2024-12-01,2025-01-26\n"
+    path.write_text(f"{COUNTRY_HEADER}\n"
+                    "1,NA,NAM,Namibia,264,Africa,Southern Africa,UMC,2024-12-01,2025-01-26\n"
                     "2,QZ,,Nowhere,1,,,,,\n", encoding="utf-8")
     rows = records(read_seed(spark, "ref_countries", str(path)), "id")
     assert rows["1"]["iso2"] == "NA" and rows["1"]["updated_at"] == day("2025-01-26")
