@@ -23,7 +23,8 @@ def shown(query: str, numbers: str = "") -> str:
     """The query with amounts as doubles of six decimals and ratios of nine."""
     if numbers:
         casts = ", ".join(
-            f"round(cast({c} as double), {9 if _RATIO.search(c) else 6}) as {c}"
+            f"round(cast({c} as double), 9) as {c}" if _RATIO.search(c)
+            else f"cast(cast({c} as decimal(30, 6)) as double) as {c}"
             for c in numbers.split())
         query = f"select * replace ({casts}) from ({query})"
     return complete(query, RELATIONS)
@@ -308,8 +309,10 @@ def _failures(rule: Rule) -> str:
                     f"from dim_instruments where {rule.other}))")
         case OverlapRule():
             same = " and ".join(f"a.{k} = b.{k}" for k in rule.keys)
-            numbered = (f"(select *, row_number() over (order by valid_from nulls first) n "
-                        f"from {t})")
+            # Rows that tie are alike in all that matters here, so any order serves.
+            keys = ", ".join(rule.keys)
+            numbered = (f"(select {keys}, valid_from, valid_to, row_number() over (partition by "
+                        f"{keys} order by valid_from nulls first, valid_to) n from {t})")
             return (f"select count(*) from {numbered} b where exists (select 1 from {numbered} a "
                     f"where {same} and a.n < b.n and (a.valid_to is null or "
                     "a.valid_to >= coalesce(b.valid_from, date '0001-01-01')))")
