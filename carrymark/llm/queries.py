@@ -9,7 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from carrymark.llm import sql
 from carrymark.llm.common import documents
 from carrymark.llm.exact import op8_exact_dedup
+from carrymark.llm.packing import op5_best_fit_packing
+from carrymark.llm.quality import op4_quality_rules
 from carrymark.llm.simhash import op10_simhash_neardup
+from carrymark.llm.token_files import op2_token_files
 
 
 def _on_documents(operator: Callable[[DataFrame], DataFrame]):
@@ -17,6 +20,9 @@ def _on_documents(operator: Callable[[DataFrame], DataFrame]):
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_token_files": _on_documents(op2_token_files),
+    "op4_quality_rules": _on_documents(op4_quality_rules),
+    "op5_best_fit_packing": _on_documents(op5_best_fit_packing),
     "op8_exact_dedup": _on_documents(op8_exact_dedup),
     "op10_simhash_neardup": _on_documents(op10_simhash_neardup),
 }
