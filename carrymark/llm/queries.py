@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from carrymark.llm import sql
+from carrymark.llm.byte_bpe import op7_byte_bpe
 from carrymark.llm.common import documents
 from carrymark.llm.exact import op8_exact_dedup
+from carrymark.llm.language import op1_language_id
 from carrymark.llm.packing import op5_best_fit_packing
 from carrymark.llm.quality import op4_quality_rules
 from carrymark.llm.simhash import op10_simhash_neardup
@@ -20,9 +22,11 @@ def _on_documents(operator: Callable[[DataFrame], DataFrame]):
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_language_id": _on_documents(op1_language_id),
     "op2_token_files": _on_documents(op2_token_files),
     "op4_quality_rules": _on_documents(op4_quality_rules),
     "op5_best_fit_packing": _on_documents(op5_best_fit_packing),
+    "op7_byte_bpe": _on_documents(op7_byte_bpe),
     "op8_exact_dedup": _on_documents(op8_exact_dedup),
     "op10_simhash_neardup": _on_documents(op10_simhash_neardup),
 }
