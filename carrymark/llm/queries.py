@@ -15,6 +15,7 @@ from carrymark.llm.packing import op5_best_fit_packing
 from carrymark.llm.quality import op4_quality_rules
 from carrymark.llm.simhash import op10_simhash_neardup
 from carrymark.llm.token_files import op2_token_files
+from carrymark.llm.toxicity import op3_toxicity
 
 
 def _on_documents(operator: Callable[[DataFrame], DataFrame]):
@@ -24,6 +25,7 @@ def _on_documents(operator: Callable[[DataFrame], DataFrame]):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": _on_documents(op1_language_id),
     "op2_token_files": _on_documents(op2_token_files),
+    "op3_toxicity": op3_toxicity,
     "op4_quality_rules": _on_documents(op4_quality_rules),
     "op5_best_fit_packing": _on_documents(op5_best_fit_packing),
     "op7_byte_bpe": _on_documents(op7_byte_bpe),
