@@ -15,12 +15,18 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from carrymark.llm.common import stored
+
 SPACES = r"[\x20\x09-\x0D]+"
 NO_SPACE = r"[^\x20\x09-\x0D]"
 SYMBOLS = r"[#*$%&|<>]"
 #: Character classes besides white space, symbols, and the rest (other letters mostly).
 CLASSES = {"upper": r"\p{Lu}", "digit": r"\p{Nd}", "mark": r"[.,;:!?()'" + '"' + r"\-]"}
 WINDOW = 5
+#: A common word's least share of its language's words. The sketch tracks so many words
+#: that its error is a fifth of that, so all common words are among those it nominates.
+MIN_SHARE = 0.001
+NOMINATED, TRACKED = 2000, 16384
 
 
 @dataclass(frozen=True)
@@ -116,11 +122,35 @@ def distance(p: Column, q: Column) -> Column:
     return F.sqrt(F.least(F.greatest(total, F.lit(0.0)), F.lit(1.0)))
 
 
+def common_words(docs: DataFrame, limits: Limits) -> DataFrame:
+    """(lang, top, total): the most common words with their counts, and all words' number.
+
+    A common word makes up a share of at least MIN_SHARE of its language. A sketch
+    with an error far below that nominates words, and only these are counted, so
+    the many rare words are never shuffled. Ties go to the smaller word.
+    """
+    spoken = docs.select("lang", F.explode(words(F.col("text"))).alias("word"))
+    nominated = spoken.groupBy("lang").agg(
+        F.expr(f"approx_top_k(word, {NOMINATED}, {TRACKED})").alias("found"),
+        F.count("*").alias("total"))
+    nominated = stored(nominated.select("lang", "total", F.transform(
+        "found", lambda f: f["item"]).alias("found")), "common-words")
+    # At most NOMINATED rows for each language.
+    table = F.broadcast(nominated.select("lang", F.explode("found").alias("word")))
+    counted = spoken.join(table, ["lang", "word"]).groupBy("lang", "word").count()
+    order = Window.partitionBy("lang").orderBy(F.desc("count"), "word")
+    best = counted.join(nominated.select("lang", "total"), "lang").filter(
+        F.col("count") >= MIN_SHARE * F.col("total")).withColumn(
+        "rank", F.row_number().over(order)).filter(F.col("rank") <= limits.common_words)
+    return best.groupBy("lang", "total").agg(F.sort_array(F.collect_list(
+        F.struct("word", "count"))).alias("top"))
+
+
 def references(docs: DataFrame, limits: Limits) -> DataFrame:
     """One row per language: shares of character classes, common words and their shares.
 
     Learned from every document of the language; documents without a language form
-    one of their own. Of equally common words the smaller one counts as more common.
+    one of their own.
     """
     docs = docs.select(F.coalesce("lang", F.lit("")).alias("lang"), "text")
     size = len(CLASSES) + 2
@@ -131,20 +161,11 @@ def references(docs: DataFrame, limits: Limits) -> DataFrame:
         F.sum("n").alias("n"), *(F.sum(f"c{i}").alias(f"c{i}") for i in range(size)))
     classes = classes.select("lang", _with_rest(
         F.array(*(f"c{i}" for i in range(size))), F.col("n")).alias("class_shares"))
-    counted = docs.select("lang", F.explode(words(F.col("text"))).alias("word")).groupBy(
-        "lang", "word").count()
-    # Each task sends on its own most common words only, so no language is gathered.
-    order = Window.partitionBy("lang").orderBy(F.desc("count"), "word")
-    common = counted.withColumn("rank", F.row_number().over(order)).filter(
-        F.col("rank") <= limits.common_words)
-    total = counted.groupBy("lang").agg(F.sum("count").alias("total"))
-    lists = common.groupBy("lang").agg(F.sort_array(F.collect_list(
-        F.struct("word", "count"))).alias("top")).join(total, "lang")
-    lists = lists.select(
+    lists = common_words(docs, limits).select(
         "lang", F.transform("top", lambda t: t["word"]).alias("common"),
         _with_rest(F.transform("top", lambda t: t["count"]), F.col("total"))
         .alias("word_shares"))
-    return classes.join(lists, "lang", "left")
+    return stored(classes.join(lists, "lang", "left"), "references")
 
 
 def common_counts(tokens: Column, common: Column) -> Column:
@@ -195,4 +216,5 @@ def quality(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
 def op4_quality_rules(docs: DataFrame) -> DataFrame:
     return quality(docs.select("doc_id", "text", "lang")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        "base_failed", "kept", "char_distance", "word_distance")
+        "base_failed", "kept", F.round("char_distance", 6).alias("char_distance"),
+        F.round("word_distance", 6).alias("word_distance"))

@@ -12,7 +12,9 @@ from carrymark.llm.common import documents
 from carrymark.llm.exact import op8_exact_dedup
 from carrymark.llm.language import op1_language_id
 from carrymark.llm.packing import op5_best_fit_packing
+from carrymark.llm.personal import op6_personal_data
 from carrymark.llm.quality import op4_quality_rules
+from carrymark.llm.secret_scan import op9_secret_scan
 from carrymark.llm.simhash import op10_simhash_neardup
 from carrymark.llm.token_files import op2_token_files
 from carrymark.llm.toxicity import op3_toxicity
@@ -28,11 +30,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_toxicity": op3_toxicity,
     "op4_quality_rules": _on_documents(op4_quality_rules),
     "op5_best_fit_packing": _on_documents(op5_best_fit_packing),
+    "op6_personal_data": _on_documents(op6_personal_data),
     "op7_byte_bpe": _on_documents(op7_byte_bpe),
     "op8_exact_dedup": _on_documents(op8_exact_dedup),
+    "op9_secret_scan": _on_documents(op9_secret_scan),
     "op10_simhash_neardup": _on_documents(op10_simhash_neardup),
 }
 
 ORACLES: dict[str, str] = {
+    "op4_quality_rules": sql.QUALITY_RULES,
     "op8_exact_dedup": sql.EXACT_DEDUP,
 }

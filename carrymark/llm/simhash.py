@@ -185,10 +185,10 @@ def link(distinct: DataFrame, radius: int = 3, blocks: int | None = None,
 
 def near_duplicates(docs: DataFrame, words: int = 3, radius: int = 3,
                     max_shard: int = 4096) -> DataFrame:
-    """``doc_id``, ``fp`` and ``component_id`` of every document of ``docs``.
+    """``fp``, ``root`` and ``component_id`` of every document of ``docs``.
 
-    ``docs`` needs doc_id and text; other columns but those stay beside the
-    result. component_id is the smallest doc_id that can be reached over links of
+    ``docs`` needs doc_id and text; its columns other than text stay. Documents
+    have one root if and only if they are in one group; component_id is the smallest doc_id that can be reached over links of
     ``radius`` bits, null where all of these are null. Null and empty texts have
     fingerprint 0, which links like any other; equal texts always meet. An empty
     table gives no rows.
@@ -200,7 +200,7 @@ def near_duplicates(docs: DataFrame, words: int = 3, radius: int = 3,
     classes = classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
         "root", F.coalesce("root", "fp"))
     first = classes.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    named = classes.join(first, "root").select("fp", "copies", "component_id")
+    named = classes.join(first, "root").select("fp", "copies", "root", "component_id")
     return join_groups(marked, named, "fp", "copies", marked.count()).drop("copies")
 
 

@@ -1,5 +1,93 @@
 """DuckDB text of the operators that SQL can express."""
 
+_SPACE = r"[ \t\n\v\f\r]"
+_CLASSES = {"upper": r"\p{Lu}", "digit": r"\p{Nd}", "mark": r"[.,;:!?()''" + '"' + r"\-]"}
+
+
+def _distance(shares: str, reference: str) -> str:
+    """Jensen-Shannon distance of two lists of shares."""
+    half = "case when {a} > 0 then {a} * log2(2 * {a} / ({a} + {b})) else 0 end"
+    both = f"{half.format(a='x[1]', b='x[2]')} + {half.format(a='x[2]', b='x[1]')}"
+    return (f"sqrt(least(greatest(list_sum(list_transform(list_zip({shares}, {reference}), "
+            f"lambda x: {both})) / 2, 0), 1))")
+
+
+QUALITY_RULES = f"""
+with base as (
+    select doc_id, coalesce(lang, '') as lang, coalesce(text, '') as text from documents
+), tokens as (
+    select doc_id, lang, text,
+           list_filter(regexp_split_to_array(text, '{_SPACE}+'), lambda w: w <> '') as words
+    from base
+), counts as (
+    select *, len(words) as n_words, length(array_to_string(words, '')) as word_chars,
+           length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) as n_symbols,
+           {", ".join(f"length(text) - length(regexp_replace(text, '{p}', '', 'g')) as n_{c}"
+                      for c, p in _CLASSES.items())}
+    from tokens
+), spoken as (
+    select doc_id, lang, unnest(words) as word, generate_subscripts(words, 1) as i from tokens
+), windows as (
+    select s.doc_id, s.i, count(*) over (partition by s.doc_id, t.words[s.i:s.i + 4]) as times
+    from spoken s join tokens t using (doc_id) where s.i + 4 <= len(t.words)
+), repeats as (
+    select doc_id, count(distinct i + k) as n_repeat_words
+    from windows, (select unnest(range(5)) as k) where times > 1 group by doc_id
+), lines as (
+    select doc_id, count(*) - count(distinct line) as n_dup_lines
+    from (select doc_id, unnest(string_split(text, chr(10))) as line from base)
+    where regexp_matches(line, '[^ \t\n\v\f\r]') group by doc_id
+), classes as (
+    select lang, sum(length(text)) as n,
+           [sum(length(text) - word_chars), sum(n_symbols), sum(n_upper), sum(n_digit),
+            sum(n_mark)] as c
+    from counts group by lang
+), common as (
+    select lang, word, count(*) as n, sum(count(*)) over (partition by lang) as total
+    from spoken group by lang, word
+    qualify n >= 0.001 * total
+        and row_number() over (partition by lang order by n desc, word) <= 25
+), lists as (
+    select lang, list(word order by word) as words, any_value(total) as total,
+           list(n order by word) as n
+    from common group by lang
+), refs as (
+    select lang, list_transform(list_append(c, classes.n - list_sum(c)),
+                                lambda x: x / classes.n) as class_shares,
+           lists.words as common,
+           list_transform(list_append(lists.n, total - list_sum(lists.n)),
+                          lambda x: x / total) as word_shares
+    from classes left join lists using (lang)
+), found as (
+    select s.doc_id, r.lang, list(s.n order by s.word) as n
+    from (select t.doc_id, t.lang, w.word,
+                 len(list_filter(t.words, lambda x: x = w.word)) as n
+          from tokens t join (select lang, unnest(common) as word from refs) w using (lang)) s
+    join refs r on r.lang = s.lang group by s.doc_id, r.lang
+), marks as (
+    select c.doc_id, c.n_words, c.word_chars, c.n_symbols,
+           coalesce(l.n_dup_lines, 0) as n_dup_lines,
+           coalesce(p.n_repeat_words, 0) as n_repeat_words,
+           case when length(c.text) > 0 then {_distance(
+               """list_transform([length(c.text) - c.word_chars, c.n_symbols, c.n_upper,
+                  c.n_digit, c.n_mark, length(c.text) - (length(c.text) - c.word_chars
+                  + c.n_symbols + c.n_upper + c.n_digit + c.n_mark)],
+                  lambda x: x / length(c.text))""", "r.class_shares")} end as char_distance,
+           case when c.n_words > 0 then {_distance(
+               """list_transform(list_append(f.n, c.n_words - list_sum(f.n)),
+                  lambda x: x / c.n_words)""", "r.word_shares")} end as word_distance
+    from counts c left join lines l using (doc_id) left join repeats p using (doc_id)
+    left join found f using (doc_id) join refs r on r.lang = c.lang
+), failed as (
+    select *, n_words < 10 or 100 * n_repeat_words > 20 * n_words as base_failed from marks
+)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       not base_failed and (n_words < 30
+                            or (char_distance <= 0.30 and word_distance <= 0.45)) as kept,
+       round(char_distance, 6) as char_distance, round(word_distance, 6) as word_distance
+from failed
+"""
+
 EXACT_DEDUP = """
 with digests as (
     select doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',

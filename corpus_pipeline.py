@@ -1,18 +1,82 @@
-"""Documents from raw to packed sequences, stage by stage."""
+"""Documents from raw to packed sequences: five stages, each one of the llm operators.
+
+Every stage is a function of (spark, docs, sf_dir). What it returns is written as
+Parquet and read again as the next one's documents. All stages but the last return
+the columns that they were given; documents' other columns, whatever their names,
+pass through.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from carrymark.llm.common import documents, stored
+from carrymark.llm import exact, packing, personal, simhash, toxicity
+from carrymark.llm.common import documents, numbered, stored
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-STAGES: list[tuple[str, Stage]] = []
 
-#: Learned models and tokenizers decide here, which SQL cannot express; tests/llm
+def _rows(docs: DataFrame, name: str) -> DataFrame:
+    """Numbered documents, all their columns in ``doc`` beside doc_id and text."""
+    return numbered(docs.select("doc_id", "text", F.struct(*docs.columns).alias("doc")), name)
+
+
+def _those(rows: DataFrame, kept: DataFrame) -> DataFrame:
+    """The documents whose number is among the ``kept`` ones."""
+    return rows.join(kept.select("row_"), "row_", "left_semi").select("doc.*")
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a toxicity score below one half; a null text is scored as empty."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").filter(~toxicity.held_out())
+    rows = docs.select("text", F.struct(*docs.columns).alias("doc"))
+    model = toxicity.learn(docs.select("doc_id", "text"), labels)
+    return toxicity.score(rows, model).filter("score < 0.5").select("doc.*")
+
+
+def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts (A-Z lower-cased, null as empty) the one with the largest doc_id."""
+    rows = _rows(docs, "exact-rows")
+    marked = stored(rows.select("row_", "doc_id", exact.text_digest(F.col("text"))
+                                .alias("digest")), "digests")
+    found = exact.deduplicate(marked, exact.DigestIndex(spark))
+    return _those(rows, found.filter("kept"))
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near-duplicates the document with the smallest doc_id."""
+    rows = _rows(docs, "near-rows")
+    found = simhash.near_duplicates(rows.select("row_", "doc_id", "text"))
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row_"))
+    return _those(rows, found.groupBy("root").agg(first.alias("first")).select("first.row_"))
+
+
+def redact_personal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data in texts replaced by its kind; n_chars follows the text."""
+    clean = personal.redact(docs, personal.learn(docs))
+    if "n_chars" in docs.columns:
+        clean = clean.withColumn("n_chars", F.char_length("text").cast(
+            docs.schema["n_chars"].dataType))
+    return clean
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token pieces of all documents, each with its sequence and its place in it."""
+    return packing.op5_best_fit_packing(docs)
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", drop_toxic),
+    ("exact_dedup", drop_exact_copies),
+    ("simhash_neardup", drop_near_copies),
+    ("personal_data", redact_personal),
+    ("best_fit_packing", pack),
+]
+
+#: Learned models and a tokenizer decide here, which SQL cannot express; tests/llm
 #: holds the pipeline against a brute-force version.
 ORACLE_SQL = None
 
