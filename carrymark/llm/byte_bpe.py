@@ -3,24 +3,28 @@
 Texts are dealt in blocks within each task. A block's distinct words go through
 Spark as arrays of bytes, and a fold merges the pair of lowest rank until none is
 left; ranks come from one literal table, a scalar subquery's value. The words' ids
-are then put together to the texts' ids. No row leaves its task, so there is no
-shuffle, nothing is gathered, and a lost task is simply run again.
+are then put together to the texts' ids. No text leaves its task, so a lost task is
+simply run again. Words that are frequent in a sample are folded once beforehand and
+broadcast; that saves work and changes no result, as all others are folded in place.
 """
 
 from __future__ import annotations
 
 import base64
+import uuid
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carrymark.llm.common import texts
+from carrymark.llm.common import stored, texts
 from carrymark.llm.quality import let
 from carrymark.llm.tokens import chunk_text, chunks
 
@@ -29,9 +33,11 @@ PATTERN = public_tokenizers.PATTERN
 #: Characters of texts in a block; a longer text is a block of its own.
 BLOCK = 1 << 24
 WORD_ROWS = 10_000
+TEXT_ROWS = 1_000
 BUCKETS = 1 << 17
 SPREAD = 65_599
 NONE = (1 << 31) - 1
+ID_BITS = 17
 #: Words beyond this are cut where no token can reach over.
 LONG_WORD = 64
 
@@ -70,42 +76,41 @@ def rank_table(spark: SparkSession, path: str) -> DataFrame:
 
 
 def merged(data: Column, single: Column, pairs: Column) -> Column:
-    """Ids of a word, ``data`` its bytes as an array of integers."""
-    def rank(a: Column, b: Column) -> Column:
+    """Ids of a word, ``data`` its bytes as an array of integers.
+
+    The fold's state is one array of cells, a token's id and above it the rank of its
+    pair with the next token. The smallest cell is the next pair to merge, the first
+    of equal ones; merging changes that cell and its neighbour and drops one.
+    """
+    def cell(a: Column, b: Column) -> Column:
         bucket = F.get(pairs, ((a * F.lit(SPREAD).cast("long") + b) % BUCKETS).cast("int"))
-        return F.coalesce(bucket[F.shiftleft(a.cast("long"), 32) + b], F.lit(NONE))
-
-    def start(ids: Column) -> Column:
-        return F.struct(ids.alias("ids"), F.slice(F.transform(
-            ids, lambda a, i: F.coalesce(rank(a, F.get(ids, i + 1)), F.lit(NONE))),
-            1, F.size(ids) - 1).alias("ranks"))
-
-    def merge(s: Column, lowest: Column) -> Column:
-        """Merge at the leftmost place of the lowest rank; only its neighbours change."""
-        ids, ranks = s["ids"], s["ranks"]
-
-        def at(p: Column) -> Column:
-            left, right = F.get(ids, p - 2), F.get(ids, p + 1)
-            beside = F.concat(
-                F.when(p > 1, F.array(rank(left, lowest))).otherwise(F.array().cast("array<int>")),
-                F.when(right.isNotNull(), F.array(rank(lowest, right)))
-                .otherwise(F.array().cast("array<int>")))
-            return F.struct(
-                F.concat(F.slice(ids, 1, p - 1), F.array(lowest),
-                         F.slice(ids, p + 2, F.size(ids))).alias("ids"),
-                F.concat(F.slice(ranks, 1, F.greatest(p - 2, F.lit(0))), beside,
-                         F.slice(ranks, p + 2, F.size(ids))).alias("ranks"))
-
-        return let(F.array_position(ranks, lowest).cast("int"), at)
-
-    def step(s: Column, _: Column) -> Column:
-        return let(F.array_min(s["ranks"]), lambda lowest: F.when(
-            lowest < NONE, merge(s, lowest)).otherwise(s))
+        rank = F.coalesce(bucket[F.shiftleft(a.cast("long"), 32) + b], F.lit(NONE))
+        return F.shiftleft(rank.cast("long"), ID_BITS) + a
+
+    def id_of(x: Column) -> Column:
+        return x.bitwiseAND(F.lit((1 << ID_BITS) - 1).cast("long"))
+
+    def step(cells: Column, _: Column) -> Column:
+        def merge(least: Column) -> Column:
+            token = F.shiftright(least, ID_BITS)
+
+            def at(p: Column) -> Column:
+                here = cell(token, id_of(F.get(cells, p + 1)))
+                return F.concat(
+                    F.slice(cells, 1, F.greatest(p - 2, F.lit(0))),
+                    F.when(p > 1, F.array(cell(id_of(F.get(cells, p - 2)), token), here))
+                    .otherwise(F.array(here)),
+                    F.slice(cells, p + 2, F.size(cells)))
+
+            return let(F.array_position(cells, least).cast("int"), at)
+
+        return let(F.array_min(cells), lambda least: F.when(
+            least < (NONE << ID_BITS), merge(least)).otherwise(cells))
 
     ids = F.transform(data, lambda b: F.get(single, b))
-    folded = let(ids, lambda x: F.aggregate(
-        F.slice(x, 2, F.size(x)), start(x), step, lambda s: s["ids"]))
-    return F.when(F.size(data) > 1, folded).otherwise(ids)
+    start = let(ids, lambda x: F.transform(x, lambda a, i: cell(a, F.get(x, i + 1))))
+    return F.transform(F.aggregate(F.slice(data, 2, F.size(data)), start, step),
+                       lambda x: id_of(x).cast("int"))
 
 
 def gather(starts: np.ndarray, lengths: np.ndarray, chosen: np.ndarray) -> np.ndarray:
@@ -115,11 +120,42 @@ def gather(starts: np.ndarray, lengths: np.ndarray, chosen: np.ndarray) -> np.nd
     return np.repeat(starts[chosen] - ends + n, n) + np.arange(ends[-1] if len(ends) else 0)
 
 
+@dataclass(frozen=True)
+class Known:
+    """Words whose ids are known: the words one after the other, their lengths, their ids."""
+
+    words: bytes
+    sizes: np.ndarray
+    lengths: np.ndarray
+    ids: np.ndarray
+
+    def numbers(self) -> dict[bytes, int]:
+        ends = np.cumsum(self.sizes)
+        return {self.words[a:b]: i for i, (a, b) in enumerate(
+            zip((ends - self.sizes).tolist(), ends.tolist(), strict=True))}
+
+
+NOTHING = Known(b"", np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, "<u4"))
+_NUMBERS: dict[str, dict[bytes, int]] = {}
+
+
+def known_numbers(key: str, known: Known) -> dict[bytes, int]:
+    """The worker's table of known words; kept for its later tasks."""
+    if key not in _NUMBERS:
+        _NUMBERS.clear()
+        _NUMBERS[key] = known.numbers()
+    return _NUMBERS[key]
+
+
 class Block:
-    """Distinct chunks and words of some texts, and each text as numbers of chunks."""
+    """Distinct chunks and words of some texts, and each text as numbers of chunks.
 
-    def __init__(self, pattern: regex.Pattern, side_by_side: np.ndarray):
-        self.pattern, self.side_by_side = pattern, side_by_side
+    ``known`` words have the first numbers; ``words`` are the others.
+    """
+
+    def __init__(self, pattern: regex.Pattern, side_by_side: np.ndarray,
+                 known: dict[bytes, int]):
+        self.pattern, self.side_by_side, self.known = pattern, side_by_side, known
         self.words: dict[bytes, int] = {}
         self.after_space: dict[str, int] = {}
         self.alone: dict[str, int] = {}
@@ -134,10 +170,15 @@ class Block:
         cuts = np.flatnonzero(~self.side_by_side[values[:-1], values[1:]]) + 1
         return [data[a:b] for a, b in zip([0, *cuts], [*cuts, len(data)], strict=True)]
 
+    def _number(self, word: bytes) -> int:
+        number = self.known.get(word)
+        if number is None:
+            number = self.words.setdefault(word, len(self.known) + len(self.words))
+        return number
+
     def _chunk(self, text: str) -> int:
-        words = self.words
-        self.pieces.append([words.setdefault(part, len(words))
-                            for word in self.pattern.findall(text)
+        number = self._number
+        self.pieces.append([number(part) for word in self.pattern.findall(text)
                             for part in self._parts(word)])
         return len(self.pieces) - 1
 
@@ -163,27 +204,83 @@ class Block:
             yield flat[gather(starts, lengths, text)]
 
 
-def encode(docs: DataFrame, ranks: str = RANKS, pattern: str = PATTERN) -> DataFrame:
-    """``docs`` with ``ids`` (little-endian unsigned 32-bit integers) in place of text.
+def sampled_words(docs: DataFrame, ranks: str, pattern: str, texts_in_sample: int,
+                  max_known: int) -> DataFrame:
+    """``word`` (its bytes as integers): those that occur most often, and at least twice,
+    as distinct words of sampled texts."""
+    share = min(1.0, texts_in_sample / max(docs.count(), 1))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        compiled, table = regex.compile(pattern), joins(load_ranks(ranks))
+        for batch in batches:
+            for text in texts(batch.column("text")):
+                block = Block(compiled, table, {})
+                block.add(text)
+                if words := [w for w in block.words if len(w) <= LONG_WORD]:
+                    yield pa.RecordBatch.from_arrays([pa.array(words, pa.binary())],
+                                                     names=["word"])
+
+    words = docs.select("text").sample(share, 1).mapInArrow(run, "word binary")
+    return words.groupBy("word").count().filter("count > 1").orderBy(
+        F.desc("count"), "word").limit(max_known).select("word")
+
+
+def known_words(docs: DataFrame, ranks: str = RANKS, pattern: str = PATTERN,
+                texts_in_sample: int = 10_000, max_known: int = 300_000) -> Known:
+    """Ids of frequent words; at most ``max_known`` words of at most LONG_WORD bytes."""
+    words = sampled_words(docs, ranks, pattern, texts_in_sample, max_known)
+    data = F.transform(F.sequence(F.lit(1), F.octet_length("word")), lambda i: F.conv(
+        F.hex(F.substring("word", i, F.lit(1))), 16, 10).cast("int"))
+    rows = stored(words, "frequent-words").repartition(32, "word").select(
+        "word", data.alias("data"))
+    table = _with_ids(rows, docs.sparkSession, ranks, "data", ["word"]).toArrow()
+    words = table.column("word").to_pylist()
+    ids = table.column("word_ids_").combine_chunks()
+    return Known(b"".join(words), np.array([len(w) for w in words], np.int64),
+                 pc.list_value_length(ids).to_numpy().astype(np.int64),
+                 pc.list_flatten(ids).to_numpy().astype("<u4"))
+
+
+def _with_ids(rows: DataFrame, spark: SparkSession, ranks: str, data: str,
+              others: list[str]) -> DataFrame:
+    """``others`` and ``word_ids_``, the ids of the words in ``data``; null for null."""
+    table = rank_table(spark, ranks)
+    single, pairs = table.select("single").scalar(), table.select("pairs").scalar()
+    rows = rows.withColumn("ranks_", F.struct(single.alias("single"), pairs.alias("pairs")))
+    # Used once, so the optimizer puts the table's value here and no row carries it.
+    both = F.when(F.col(data).isNotNull(), F.struct(F.col(data).alias("data"), "ranks_"))
+    return rows.select(*others, let(both, lambda w: F.when(w.isNotNull(), merged(
+        w["data"], w["ranks_"]["single"], w["ranks_"]["pairs"]))).alias("word_ids_"))
+
+
+def encode(docs: DataFrame, ranks: str = RANKS, pattern: str = PATTERN,
+           known: Known = NOTHING) -> DataFrame:
+    """``docs`` with ``ids`` in place of text, and ``id_bytes``, the same as little-endian
+    unsigned 32-bit integers.
 
     Each match of ``pattern`` is encoded by itself, as the tiktoken library does;
     strings of special tokens are ordinary text. Null and empty texts have no ids;
-    an empty table gives no rows. Columns other than text stay, but for ``ids``.
+    an empty table gives no rows. Columns other than text stay, but for these two
+    and for names that end in an underscore.
     A single word that can be cut nowhere, such as one letter repeated, takes time
     with the square of its length.
     """
-    others = [f for f in docs.schema if f.name not in ("text", "ids")]
+    others = [f for f in docs.schema if f.name not in ("text", "ids", "id_bytes")
+              and not f.name.endswith("_")]
     names = [f.name for f in others]
-    arrow = docs.sparkSession.createDataFrame([], docs.select(*names).schema).toArrow().schema
+    spark = docs.sparkSession
+    arrow = spark.createDataFrame([], docs.select(*names).schema).toArrow().schema
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in others)
     held = f"{fields}, " if fields else ""
+    shared, key = spark.sparkContext.broadcast(known), uuid.uuid4().hex
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """A block's words, then its texts as numbers of those words."""
+        """A block's words, then its texts as numbers of words."""
         compiled, table = regex.compile(pattern), joins(load_ranks(ranks))
-        schema = pa.schema([*arrow, pa.field("word", pa.list_(pa.int32())),
-                            pa.field("numbers", pa.binary())])
-        block, rows, chars = Block(compiled, table), [], 0
+        numbers = known_numbers(key, shared.value)
+        schema = pa.schema([*arrow, pa.field("word_", pa.list_(pa.int32())),
+                            pa.field("numbers_", pa.binary())])
+        block, rows, chars = Block(compiled, table, numbers), [], 0
 
         def flush() -> Iterator[pa.RecordBatch]:
             words = list(block.words)
@@ -195,30 +292,33 @@ def encode(docs: DataFrame, ranks: str = RANKS, pattern: str = PATTERN) -> DataF
                 yield pa.RecordBatch.from_arrays(
                     [*(pa.nulls(len(part), f.type) for f in arrow), lists,
                      pa.nulls(len(part), pa.binary())], schema=schema)
-            numbers = block.word_numbers()
+            each = block.word_numbers()
             for row in rows:
-                values = [next(numbers).tobytes() for _ in range(row.num_rows)]
-                yield pa.RecordBatch.from_arrays(
-                    [*row.columns, pa.nulls(row.num_rows, pa.list_(pa.int32())),
-                     pa.array(values, pa.binary())], schema=schema)
+                for a in range(0, row.num_rows, TEXT_ROWS):
+                    some = row.slice(a, TEXT_ROWS)
+                    values = [next(each).tobytes() for _ in range(some.num_rows)]
+                    yield pa.RecordBatch.from_arrays(
+                        [*some.columns, pa.nulls(some.num_rows, pa.list_(pa.int32())),
+                         pa.array(values, pa.binary())], schema=schema)
 
         for batch in batches:
-            others_, start = batch.select(names), 0
+            beside, start = batch.select(names), 0
             for i, text in enumerate(texts(batch.column("text"))):
                 if chars and chars + len(text or "") > BLOCK:
-                    rows.append(others_.slice(start, i - start))
+                    rows.append(beside.slice(start, i - start))
                     yield from flush()
-                    block, rows, chars, start = Block(compiled, table), [], 0, i
+                    block, rows, chars, start = Block(compiled, table, numbers), [], 0, i
                 block.add(text)
                 chars += len(text or "")
-            rows.append(others_.slice(start))
+            rows.append(beside.slice(start))
         yield from flush()
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The ids of each text, from the ids of the words before it."""
-        parts, table = [], None
+        """The ids of each text, from those of known words and of the words before it."""
+        first = (shared.value.lengths, shared.value.ids)
+        parts, table = [first], None
         for batch in batches:
-            is_word = batch.column("numbers").is_null().to_numpy(zero_copy_only=False)
+            is_word = batch.column("numbers_").is_null().to_numpy(zero_copy_only=False)
             edges = np.flatnonzero(is_word[1:] != is_word[:-1]) + 1
             for a, b in zip([0, *edges], [*edges, len(is_word)], strict=True):
                 if a == b:
@@ -226,64 +326,55 @@ def encode(docs: DataFrame, ranks: str = RANKS, pattern: str = PATTERN) -> DataF
                 run = batch.slice(a, b - a)
                 if is_word[a]:
                     if table is not None:
-                        parts, table = [], None
-                    lists = run.column("word_ids")
-                    parts.append((np.diff(lists.offsets.to_numpy()),
+                        parts, table = [first], None
+                    lists = run.column("word_ids_")
+                    parts.append((np.diff(lists.offsets.to_numpy()).astype(np.int64),
                                   lists.flatten().to_numpy().astype("<u4")))
                     continue
                 if table is None:
-                    lengths = np.concatenate([np.zeros(0, np.int64), *(p[0] for p in parts)])
-                    flat = np.concatenate([np.zeros(0, "<u4"), *(p[1] for p in parts)])
-                    table = (np.cumsum(lengths) - lengths).astype(np.int64), lengths, flat
+                    lengths = np.concatenate([p[0] for p in parts])
+                    table = np.cumsum(lengths) - lengths, lengths, np.concatenate(
+                        [p[1] for p in parts])
                 starts, lengths, flat = table
-                ids = [flat[gather(starts, lengths, np.frombuffer(n.as_py(), np.int32))].tobytes()
-                       for n in run.column("numbers")]
+                ids = [flat[gather(starts, lengths, np.frombuffer(n.as_py(), np.int32))]
+                       for n in run.column("numbers_")]
+                ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
+                lists = pa.ListArray.from_arrays(
+                    pa.array(ends), pa.array(np.concatenate(ids).astype(np.int32)))
                 yield pa.RecordBatch.from_arrays(
-                    [*(run.column(c) for c in names), pa.array(ids, pa.binary())],
-                    names=[*names, "ids"])
+                    [*(run.column(c) for c in names), lists,
+                     pa.array([i.tobytes() for i in ids], pa.binary())],
+                    names=[*names, "ids", "id_bytes"])
 
-    spark = docs.sparkSession
-    table = rank_table(spark, ranks)
-    single, pairs = table.select("single").scalar(), table.select("pairs").scalar()
     words = docs.select(*names, "text").mapInArrow(
-        split, f"{held}word array<int>, numbers binary")
-    words = words.withColumn("ranks", F.struct(single.alias("single"), pairs.alias("pairs")))
-    # Used once, so the optimizer puts the table's value here and no row carries it.
-    with_ranks = F.when(F.col("word").isNotNull(), F.struct("word", "ranks"))
-    words = words.select(*names, "numbers", let(with_ranks, lambda w: F.when(
-        w.isNotNull(), merged(w["word"], w["ranks"]["single"], w["ranks"]["pairs"])))
-        .alias("word_ids"))
-    return words.mapInArrow(join, f"{held}ids binary")
+        split, f"{held}word_ array<int>, numbers_ binary")
+    words = _with_ids(words, spark, ranks, "word_", [*names, "numbers_"])
+    return words.mapInArrow(join, f"{held}ids array<int>, id_bytes binary")
 
 
 def decode(encoded: DataFrame, ranks: str = RANKS) -> DataFrame:
-    """``encoded`` with ``data``, the bytes of all its ids' pieces one after the other.
+    """``encoded`` with ``data``, the bytes of all its ``ids`` one piece after the other.
 
     No ids give no bytes. An id outside the vocabulary raises an error.
     """
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = load_ranks(ranks)
-        lengths = np.full(max(known.values()) + 1, -1, np.int64)
-        for piece, rank in known.items():
-            lengths[rank] = len(piece)
-        by_rank = sorted((rank, piece) for piece, rank in known.items())
-        flat = np.frombuffer(b"".join(piece for _, piece in by_rank), np.uint8)
-        starts = np.cumsum(np.maximum(lengths, 0)) - np.maximum(lengths, 0)
-        for batch in batches:
-            data = []
-            for value in batch.column("ids"):
-                ids = np.frombuffer(value.as_py() or b"", "<u4")
-                if len(ids) and (ids.max() >= len(lengths) or lengths[ids].min() < 0):
-                    raise ValueError("an id is not in the vocabulary")
-                data.append(flat[gather(starts, lengths, ids)].tobytes())
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(data, pa.binary())],
-                                             names=[*batch.schema.names, "data"])
+    known = load_ranks(ranks)
+    pieces = [None] * (max(known.values()) + 1)
+    for piece, rank in known.items():
+        pieces[rank] = piece.hex()
+    table = encoded.sparkSession.createDataFrame(
+        pa.table({"pieces": pa.array([pieces], pa.list_(pa.string()))})).scalar()
+    both = F.struct("ids", "pieces_")
+
+    def joined(x: Column) -> Column:
+        return F.unhex(F.array_join(F.transform(x["ids"], lambda i: F.coalesce(
+            F.get(x["pieces_"], i), F.raise_error(F.lit("an id is not in the vocabulary")))), ""))
 
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema]
-    return encoded.mapInArrow(run, ", ".join([*fields, "data binary"]))
+    return encoded.withColumn("pieces_", table).select(
+        *(c for c in encoded.columns if c != "data"), let(both, joined).alias("data"))
 
 
 def op7_byte_bpe(docs: DataFrame) -> DataFrame:
-    return decode(encode(docs.select("doc_id", "text"))).select(
-        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
-        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("data", 256).alias("decoded_sha256"))
+    docs = docs.select("doc_id", "text")
+    return decode(encode(docs, known=known_words(docs))).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2("id_bytes", 256).alias("ids_sha256"), F.sha2("data", 256).alias("decoded_sha256"))

@@ -148,8 +148,11 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY,
     ``sequence_id`` and ``offset``.
 
     Pieces of one length are numbered in buckets of bounded size, so a length that
-    holds most pieces is still dealt to many tasks. No pieces give no rows.
+    holds most pieces is still dealt to many tasks. No pieces give no rows. Other
+    columns stay, but for those two and for names that end in an underscore.
     """
+    pieces = pieces.select(*(c for c in pieces.columns
+                             if c not in ("sequence_id", "offset") and not c.endswith("_")))
     buckets = pieces.count() // rows_per_bucket + 1
     pieces = pieces.withColumn("bucket_", F.pmod(
         F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(buckets)))

@@ -23,6 +23,8 @@ SYMBOLS = r"[#*$%&|<>]"
 #: Character classes besides white space, symbols, and the rest (other letters mostly).
 CLASSES = {"upper": r"\p{Lu}", "digit": r"\p{Nd}", "mark": r"[.,;:!?()'" + '"' + r"\-]"}
 WINDOW = 5
+RESULT = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+          "base_failed", "kept", "char_distance", "word_distance")
 #: A common word's least share of its language's words. The sketch tracks so many words
 #: that its error is a fifth of that, so all common words are among those it nominates.
 MIN_SHARE = 0.001
@@ -109,7 +111,7 @@ def measured(docs: DataFrame) -> DataFrame:
 def _with_rest(counts: Column, total: Column) -> Column:
     """Shares of the counted classes and of what is left."""
     return F.transform(F.concat(counts, F.array(total - F.aggregate(
-        counts, F.lit(0).cast("long"), lambda a, b: a + b))), lambda n: n / total)
+        counts, F.lit(0).cast("long"), lambda a, b: a + b))), lambda n: F.try_divide(n, total))
 
 
 def distance(p: Column, q: Column) -> Column:
@@ -189,11 +191,12 @@ def common_counts(tokens: Column, common: Column) -> Column:
 def quality(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """``docs`` with the counts, the distances, ``base_failed`` and ``kept``.
 
-    ``docs`` needs text and lang; its other columns stay (columns of the result's
-    own names are replaced). A null text has no words, so it fails the base rules;
-    a null lang is a language of its own; an empty table gives no rows.
+    ``docs`` needs text and lang; its other columns stay, but for those of the
+    result's own names. A null text has no words, so it fails the base rules; a null
+    lang is a language of its own; an empty table gives no rows.
     """
-    marks = measured(docs).withColumn("lang_", F.coalesce("lang", F.lit("")))
+    marks = measured(docs.select(F.struct(*docs.columns).alias("doc"), "text",
+                                 F.coalesce("lang", F.lit("")).alias("lang_")))
     marks = marks.withColumns({"n_dup_lines": repeated_lines(F.col("text")),
                                "n_repeat_words": repeated_window_words(F.col("words_"))})
     # One small row for each language; Spark measures it before it broadcasts.
@@ -208,9 +211,10 @@ def quality(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
         | (100 * F.col("n_repeat_words") > limits.max_repeat_percent * F.col("n_words"))})
     near = (F.col("char_distance") <= limits.max_char_distance) & (
         F.col("word_distance") <= limits.max_word_distance)
-    return marks.withColumn("kept", ~F.col("base_failed") & (
-        (F.col("n_words") < limits.guard_words) | near)).drop(
-        "words_", "counts_", "lang_", "class_shares", "common", "word_shares")
+    marks = marks.withColumn("kept", ~F.col("base_failed") & (
+        (F.col("n_words") < limits.guard_words) | near))
+    return marks.select(*(F.col("doc")[c].alias(c) for c in docs.columns if c not in RESULT),
+                        *RESULT)
 
 
 def op4_quality_rules(docs: DataFrame) -> DataFrame:

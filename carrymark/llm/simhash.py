@@ -191,8 +191,10 @@ def near_duplicates(docs: DataFrame, words: int = 3, radius: int = 3,
     have one root if and only if they are in one group; component_id is the smallest doc_id that can be reached over links of
     ``radius`` bits, null where all of these are null. Null and empty texts have
     fingerprint 0, which links like any other; equal texts always meet. An empty
-    table gives no rows.
+    table gives no rows. Columns of ``docs`` named fp, root, copies or component_id
+    are replaced.
     """
+    docs = docs.drop("fp", "root", "copies", "component_id")
     marked = stored(fingerprints(docs, words), "fingerprints")
     classes = stored(marked.groupBy("fp").agg(F.min("doc_id").alias("first_id"),
                                               F.count("*").alias("copies")), "classes")

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 
 import public_tokenizers
 from tokenizers import Tokenizer
@@ -68,7 +69,7 @@ class Encoder:
 
     def _plain(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [b"".join(i.to_bytes(4, "little") for i in x.ids) for x in found]
+        return [array("I", x.ids).tobytes() for x in found]
 
     def _learn(self, known: dict[str, bytes], keys: set[str], text_of) -> None:
         missing = [k for k in keys if k not in known]
@@ -78,8 +79,8 @@ class Encoder:
         plain = [k for k in missing if k not in split]
         plain += list({w for w in split.values() if w not in known}.difference(plain))
         known.update(zip(plain, self._plain([text_of(k) for k in plain]), strict=True))
-        marks = {k[len(word):] for k, word in split.items()} - self.alone.keys()
-        self.alone.update(zip(marks, self._plain(list(marks)), strict=True))
+        marks = [m for m in {k[len(word):] for k, word in split.items()} if m not in self.alone]
+        self.alone.update(zip(marks, self._plain(marks), strict=True))
         for key, word in split.items():
             known[key] = known[word] + self.alone[key[len(word):]]
 

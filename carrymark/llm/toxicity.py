@@ -10,6 +10,7 @@ is row by row.
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -31,9 +32,9 @@ SECOND_PERSON = frozenset(
 #: Signs that stand for letters in disguised words.
 DISGUISE = str.maketrans("013457@$!", "oieastasi")
 WORD = re.compile(r"[^\W\d_]+")
-DISGUISED = re.compile(r"[^\W\d_]+[013457@$!*]+[^\W\d_]+")
-CAPITALS = re.compile(r"\b[A-ZÀ-ÖØ-Þ]{2,}\b")
-STRETCHED = re.compile(r"([^\W\d_])\1{2,}")
+#: A sign within a word; the word around it is only looked for where there is one.
+SIGN = re.compile(r"(?<=[^\W\d_])[013457@$!*]+(?=[^\W\d_])")
+DISGUISED = re.compile(r"[^\W\d_]+(?:[013457@$!*]+[^\W\d_]+)+")
 SHOUTS = re.compile(r"[!?]{2,}")
 NEAR = 5
 #: Beginnings of longer words of these lengths are lexicon entries too.
@@ -64,24 +65,58 @@ def entries(word: str) -> list[str]:
     return [word, *(f"{word[:n]}-" for n in STEMS if len(word) > n)]
 
 
-def in_lexicon(words: list[str], lexicon: frozenset) -> list[int]:
-    """Places of the words that, or whose beginnings, are in the lexicon."""
-    known: dict[str, bool] = {}
-    for word in set(words):
-        known[word] = not lexicon.isdisjoint(entries(word))
-    return [i for i, w in enumerate(words) if known[w]]
+STRONG, WEAK, YOU = 1, 2, 4
+REMEMBERED = 500_000
 
 
-def features(text: str, lexicon: Lexicon) -> list[float]:
+class WordKinds(dict):
+    """What each word is, worked out once: STRONG, WEAK and YOU added up."""
+
+    def __init__(self, lexicon: Lexicon):
+        self.lexicon = lexicon
+
+    def __missing__(self, word: str) -> int:
+        if len(self) > REMEMBERED:
+            self.clear()
+        known = entries(word)
+        kind = YOU * (word in SECOND_PERSON)
+        if not self.lexicon.strong.isdisjoint(known):
+            kind += STRONG
+        elif not self.lexicon.weak.isdisjoint(known):
+            kind += WEAK
+        self[word] = kind
+        return kind
+
+
+def _codes(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+
+
+def capitals(text: str) -> int:
+    """Latin capitals that stand next to another."""
+    codes = _codes(text)
+    upper = ((codes >= 65) & (codes <= 90)) | ((codes >= 192) & (codes <= 222) & (codes != 215))
+    return int((upper[1:] & upper[:-1]).sum())
+
+
+def stretched(text: str) -> int:
+    """Places where a letter stands three times."""
+    codes = _codes(text)
+    same = codes[1:] == codes[:-1]
+    return sum(chr(c).isalpha() for c in codes[2:][same[1:] & same[:-1]].tolist())
+
+
+def features(text: str, kinds: WordKinds) -> list[float]:
     """Densities and rates of a whole text; all 0 for a text without characters."""
     if not text:
         return [0.0] * FEATURES
     lower = text.lower()
     words = WORD.findall(lower)
-    n = max(len(words), 1)
-    strong = in_lexicon(words, lexicon.strong)
-    weak = len(in_lexicon(words, lexicon.weak))
-    you = [i for i, w in enumerate(words) if w in SECOND_PERSON]
+    n, chars = max(len(words), 1), len(text)
+    marked = [(i, k) for i, k in enumerate([kinds[w] for w in words]) if k]
+    strong = [i for i, k in marked if k & STRONG]
+    weak = sum(k & WEAK > 0 for _, k in marked)
+    you = [i for i, k in marked if k & YOU]
     beside = 0
     if strong and you:
         places = np.array(you)
@@ -89,26 +124,37 @@ def features(text: str, lexicon: Lexicon) -> list[float]:
         left = np.abs(places[np.maximum(at - 1, 0)] - strong)
         right = np.abs(places[np.minimum(at, len(places) - 1)] - strong)
         beside = int((np.minimum(left, right) <= NEAR).sum())
-    disguised = DISGUISED.findall(lower)
-    hidden = len(in_lexicon([w.translate(DISGUISE).replace("*", "") for w in disguised],
-                            lexicon.strong))
-    chars = len(text)
-    capitals = CAPITALS.findall(text)
+    disguised = DISGUISED.findall(lower) if SIGN.search(lower) else []
+    hidden = sum(kinds[w.translate(DISGUISE).replace("*", "")] & STRONG for w in disguised)
+    shouts = len(SHOUTS.findall(text)) if "!" in text or "?" in text else 0
     return [
         100 * len(strong) / n, float(len(strong)), float(len({words[i] for i in strong})),
         100 * weak / n, float(weak), float(beside), 100 * len(you) / n,
-        100 * sum(map(len, capitals)) / chars, 100 * len(SHOUTS.findall(text)) / n,
+        100 * capitals(text) / chars, 100 * shouts / n,
         100 * (text.count("!") + text.count("?")) / chars,
-        100 * len(disguised) / n, float(hidden), 100 * len(STRETCHED.findall(lower)) / n]
+        100 * len(disguised) / n, float(hidden), 100 * stretched(lower) / n]
+
+
+_KINDS: dict[str, WordKinds] = {}
+
+
+def _kinds(key: str, lexicon: Lexicon) -> WordKinds:
+    """The worker's table of words for a lexicon; kept for its later tasks."""
+    if key not in _KINDS:
+        if len(_KINDS) > 2:
+            _KINDS.clear()
+        _KINDS[key] = WordKinds(lexicon)
+    return _KINDS[key]
 
 
 def _column(lexicon: Lexicon, spark):
     """A function of a text column that gives the features."""
-    known = spark.sparkContext.broadcast(lexicon)
+    known, key = spark.sparkContext.broadcast(lexicon), uuid.uuid4().hex
 
     @arrow_udf("array<double>")
     def run(column: pa.Array) -> pa.Array:
-        return pa.array([features(t or "", known.value) for t in texts(column)],
+        kinds = _kinds(key, known.value)
+        return pa.array([features(t or "", kinds) for t in texts(column)],
                         pa.list_(pa.float64()))
 
     return run

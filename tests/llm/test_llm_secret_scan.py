@@ -1,0 +1,60 @@
+import random
+import re
+
+from carrymark.llm import secret_scan
+from carrymark.llm.secret_scan import candidates, op9_secret_scan
+from messy import empty, messy
+
+
+def corpus(rng):
+    def key():
+        return "".join(rng.choice("0123456789abcdef") for _ in range(40))
+
+    rows, secrets = [], set()
+    for i in range(80):
+        k = key()
+        rows.append((i, f'some words before it token = "{k}" and after'))
+        secrets.add(k)
+    rows += [(100 + i, "an internationalisation of thoroughlyunremarkable words") for i in range(60)]
+    rows += [(200 + i, f"see the page at docs/guides/introduction and {10**15 + i}")
+             for i in range(60)]
+    return rows, secrets
+
+
+def test_candidates_lie_where_they_say(spark):
+    text = 'é aaaaaaaaaaaaaaaa, x="bbbbbbbbbbbbbbbb1" cccccccccccccccc'
+    docs = spark.createDataFrame([(1, text), (2, "none here"), (3, None)],
+                                 "doc_id long, text string")
+    rows = candidates(docs).orderBy("start").collect()
+    assert [r.candidate for r in rows] == ["a" * 16, "b" * 16 + "1", "c" * 16]
+    assert all(text[r.start:r.start + r.length] == r.candidate for r in rows)
+    assert [r.nth for r in rows] == [0, 1, 2]
+
+
+def test_forest_keeps_secrets_and_drops_words(spark):
+    rows, secrets = corpus(random.Random(4))
+    found = op9_secret_scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    every = [m for _, t in rows for m in re.findall(r"[A-Za-z0-9+/_=-]{14,}", t)]
+    assert len(found) == len(every)
+    assert {r.candidate for r in found if r.kept} == secrets
+    assert all(0 <= r.score <= 1 for r in found)
+
+
+def test_one_label_reports_every_candidate(spark):
+    docs = spark.createDataFrame([(1, "thoroughlyunremarkable")], "doc_id long, text string")
+    assert [r.kept for r in op9_secret_scan(docs).collect()] == [True]
+
+
+def test_only_built_in_functions_run(spark):
+    docs = spark.createDataFrame(corpus(random.Random(1))[0], "doc_id long, text string")
+    text = op9_secret_scan(docs)._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Pandas|Arrow|Cartesian|NestedLoop", text)
+
+
+def test_documents_of_every_kind(spark):
+    rows = op9_secret_scan(messy(spark)).collect()
+    assert {r.doc_id for r in rows} == {6}
+    assert rows[0].length == 5000
+    assert "label" in candidates(messy(spark)).select("doc.*").columns
+    assert op9_secret_scan(empty(spark)).count() == 0
+    assert secret_scan.dictionary(empty(spark), secret_scan.Training()) == []
