@@ -28,6 +28,17 @@ def allocation_share(pct: Column) -> Column:
     return F.coalesce((pct * F.lit("0.01").cast("decimal(3,2)")).cast("decimal(8,4)"), whole)
 
 
+def exact(amount: Column, kind: str) -> Column:
+    """``amount`` as a decimal type; an amount that does not fit stops the job.
+
+    With ANSI mode off a cast gives null instead, which sums would skip.
+    """
+    fitted = amount.try_cast(kind)
+    lost = amount.isNotNull() & fitted.isNull()
+    return F.when(lost, F.raise_error(F.lit(f"an amount does not fit {kind}")).cast(kind)
+                  ).otherwise(fitted)
+
+
 def sum_when(condition: Column, amount: Column) -> Column:
     """Sum of the matching amounts; null, not zero, when none match."""
     return F.sum(F.when(condition, amount))

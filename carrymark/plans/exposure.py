@@ -13,7 +13,7 @@ from typing import TYPE_CHECKING
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from carrymark.functions.dates import clock, month_spine, month_start
-from carrymark.functions.money import allocation_share, sum_when
+from carrymark.functions.money import allocation_share, exact, sum_when
 from carrymark.functions.vocab import CLOSED_STAGES, CREDIT, EQUITY
 from carrymark.operators.snapshots import latest_positions
 from carrymark.operators.validity import valid_at
@@ -23,11 +23,12 @@ if TYPE_CHECKING:
 
 MONTHS_AHEAD = 12
 PLACE = ["region", "country_code", "country_name", "industry_id", "industry_name"]
-# Amounts of six decimals times two shares of four are exact in these types. A
-# share adds up the links of one code, which differ in their start dates, so the
-# product stays far below the 100,000 that COMBINED_SHARE holds.
-AMOUNT = "decimal(36,14)"
-NATIVE = "decimal(24,6)"
+# Every amount the inputs can hold fits: 22 digits and six decimals. Allocated
+# amounts keep ten decimals, the most that 38 digits leave; whole percentages need
+# no more, and fractions of a percent are rounded there, allocation by allocation.
+# What does not fit stops the job.
+AMOUNT = "decimal(38,10)"
+NATIVE = "decimal(28,6)"
 SHARE = "decimal(12,4)"
 COMBINED_SHARE = "decimal(13,8)"
 
@@ -59,7 +60,8 @@ def deployed_by_instrument(catalog: Catalog) -> DataFrame:
     return held.where(kept).select(
         "instrument_id", "fund_id", "company_id", "instrument_type",
         F.col("latest.period_end_date").alias("period_end_date"),
-        F.when(is_equity, equity_value).otherwise(credit_value).cast(NATIVE).alias("exposure_usd"),
+        exact(F.when(is_equity, equity_value).otherwise(credit_value), NATIVE)
+        .alias("exposure_usd"),
         F.when(is_credit, F.col("maturity_date")).alias("maturity_date"),
         F.when(is_credit, F.year("maturity_date")).alias("maturity_year"),
         F.when(is_credit, F.col("security_rank")).alias("security_rank"))
@@ -86,6 +88,14 @@ def _with_place(catalog: Catalog, df: DataFrame) -> DataFrame:
     }).drop("_region", "_country", "_industry")
 
 
+def _allocated(amount: Column, share: Column) -> Column:
+    """The share of an amount, to ten decimals."""
+    product = amount * share
+    lost = amount.isNotNull() & share.isNotNull() & product.isNull()
+    return exact(F.when(lost, F.raise_error(F.lit("an allocated amount does not fit")).cast(
+        AMOUNT)).otherwise(product), AMOUNT)
+
+
 def link_shares(bridge: DataFrame, entity: str, code: str, share: str, *bounds: str) -> DataFrame:
     """Total share per entity and code, and validity interval where given.
 
@@ -94,7 +104,7 @@ def link_shares(bridge: DataFrame, entity: str, code: str, share: str, *bounds:
     rows it owns.
     """
     return bridge.groupBy(entity, code, *bounds).agg(
-        F.sum(allocation_share(F.col("allocation_pct"))).cast(SHARE).alias(share))
+        exact(F.sum(allocation_share(F.col("allocation_pct"))), SHARE).alias(share))
 
 
 def deployed_base(catalog: Catalog, *, country_validity: bool = False) -> DataFrame:
@@ -119,18 +129,19 @@ def deployed_base(catalog: Catalog, *, country_validity: bool = False) -> DataFr
                      country_validity)
     held = allocated(held, "br_instrument_industries", "industry_id", "_industry_share", True)
     whole = F.lit(1).cast(SHARE)
-    share = (F.coalesce("_industry_share", whole) * F.coalesce("_country_share", whole)).cast(
-        COMBINED_SHARE)
+    share = exact(F.coalesce("_industry_share", whole) * F.coalesce("_country_share", whole),
+                  COMBINED_SHARE)
     # Labels come after the sums: codes determine them, and the sums are small.
     sums = held.groupBy("fund_id", "instrument_type", "country_code", "industry_id",
                         "maturity_year", "security_rank").agg(
-        F.sum(F.col("exposure_usd") * share).cast(AMOUNT).alias("deployed_capital_usd"),
+        exact(F.sum(_allocated(F.col("exposure_usd"), share)), AMOUNT)
+        .alias("deployed_capital_usd"),
         F.max("period_end_date").alias("as_of_date"))
     labelled = _with_place(catalog, sums).join(_funds(catalog), "fund_id")
     # A code missing from its link and a code spelled UNKNOWN share one label.
     return labelled.groupBy("fund_id", "fund_name", "instrument_type", *PLACE, "maturity_year",
                             "security_rank").agg(
-        F.sum("deployed_capital_usd").cast(AMOUNT).alias("deployed_capital_usd"),
+        exact(F.sum("deployed_capital_usd"), AMOUNT).alias("deployed_capital_usd"),
         F.max("as_of_date").alias("as_of_date"))
 
 
@@ -166,14 +177,14 @@ def _deal_values(catalog: Catalog) -> DataFrame:
     industries = (catalog.table("br_opportunity_industries")
                   .where(F.coalesce("primary_flag", F.lit(True)))
                   .groupBy("opportunity_id", "industry_id")
-                  .agg(F.count(F.lit(1)).cast("decimal(8,0)").alias("links")))
-    weight = (F.coalesce("share", F.lit(1).cast(SHARE))
-              * F.coalesce("links", F.lit(1).cast("decimal(8,0)")))
+                  .agg(F.count(F.lit(1)).alias("links")))
+    weight = exact(F.coalesce("share", F.lit(1).cast(SHARE))
+                   * F.coalesce("links", F.lit(1)).cast("decimal(18,0)"), SHARE)
     return (deals.join(countries, "opportunity_id", "left")
             .join(industries, "opportunity_id", "left")
             .select("fund_id", F.col("stage_id").alias("deal_stage"), "country_code",
                     "industry_id", month_start(F.col("close_date")).alias("close_month"),
-                    (F.col("amount") * weight).alias("value")))
+                    _allocated(F.col("amount"), weight).alias("value")))
 
 
 def _reached(catalog: Catalog, by_own_stage: DataFrame) -> DataFrame:
@@ -193,7 +204,7 @@ def open_deal_base(catalog: Catalog) -> DataFrame:
            .groupBy("close_month", "fund_id", "deal_stage", "country_code", "industry_id")
            .agg(F.sum("value").alias("value")))
     return (_reached(catalog, own).groupBy("close_month", *DEAL_GRAIN)
-            .agg(F.sum("value").cast(AMOUNT).alias("pipeline_value_usd")))
+            .agg(exact(F.sum("value"), AMOUNT).alias("pipeline_value_usd")))
 
 
 # --- mart --------------------------------------------------------------------
@@ -221,12 +232,12 @@ def _deal_months(catalog: Catalog, first: Column) -> DataFrame:
     own = (_deal_values(catalog)
            .groupBy("fund_id", "deal_stage", "country_code", "industry_id",
                     on_spine.alias("close_month"))
-           .agg(F.sum("value").cast(AMOUNT).alias("value")))
+           .agg(exact(F.sum("value"), AMOUNT).alias("value")))
     zero = F.lit(0).cast(AMOUNT)
     totals = {f"_m{i}": sum_when(F.col("close_month") <= F.add_months(first, i), F.col("value"))
               for i in range(MONTHS_AHEAD + 1)}
     keyed = _reached(catalog, own).groupBy(*DEAL_GRAIN).agg(
-        *[F.coalesce(total, zero).cast(AMOUNT).alias(name) for name, total in totals.items()])
+        *[exact(F.coalesce(total, zero), AMOUNT).alias(name) for name, total in totals.items()])
     months = F.array(*[
         F.struct(F.add_months(first, i).alias("exposure_month"),
                  F.col(name).alias("closed_pipeline_usd"))

@@ -16,8 +16,8 @@ from carrymark.plans.fund import fund_performance
 from carrymark.plans.portfolio import portfolio_overview
 from carrymark.plans.position import position_performance
 from carrymark.plans.summaries import (
-    company_financials_trend, deals_by_stage, fund_performance_latest,
-    investment_activity_monthly, loan_portfolio_summary)
+    company_financials_trend, fund_performance_latest,
+    investment_activity_monthly, loan_portfolio_summary, pipeline_by_stage)
 
 if TYPE_CHECKING:
     from carrymark.sources.catalog import Catalog
@@ -80,7 +80,7 @@ _SPECS = [
     _metrics("company_performance", company_performance, "company_id", "period_end_date"),
     _metrics("exposure_timeseries", exposure_timeseries),
     _metrics("fund_performance_latest", fund_performance_latest, "fund_id"),
-    _metrics("pipeline_by_stage", deals_by_stage, "fund_id", "stage_id"),
+    _metrics("pipeline_by_stage", pipeline_by_stage, "fund_id", "stage_id"),
     _metrics("company_financials_trend", company_financials_trend, "company_id", "period_end_date"),
     _metrics("investment_activity_monthly", investment_activity_monthly,
              "fund_id", "activity_month", "transaction_type"),

@@ -6,14 +6,14 @@ Amounts "in USD" use the converted amount where the source has one.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from typing import TYPE_CHECKING
 
 from pyspark.sql import DataFrame, Window, functions as F
 
 from carrymark.functions.dates import clock, month_start
 from carrymark.functions.money import ratio, sum_when
-from carrymark.functions.vocab import (
-    ACTIVITY_TYPES, CAPITAL_CALLS, CREDIT, INVESTOR_DISTRIBUTIONS)
+from carrymark.functions.vocab import CAPITAL_CALLS, CREDIT, INVESTOR_DISTRIBUTIONS
 from carrymark.operators.reporting import recency
 from carrymark.operators.snapshots import latest_positions
 from carrymark.plans.exposure import deployed_by_instrument, open_stages
@@ -64,7 +64,7 @@ def fund_performance_latest(catalog: Catalog) -> DataFrame:
         F.lit("ADMIN, PM").alias("source_systems"))
 
 
-def deals_by_stage(catalog: Catalog) -> DataFrame:
+def pipeline_by_stage(catalog: Catalog) -> DataFrame:
     """Open deals per fund and current stage; closed stages are left out."""
     today = clock(catalog.as_of)
     created = F.col("created_at").cast("date")
@@ -129,10 +129,16 @@ def company_financials_trend(catalog: Catalog) -> DataFrame:
         F.lit("PM").alias("source_system"))
 
 
-def investment_activity_monthly(catalog: Catalog) -> DataFrame:
-    """Ledger activity per fund, month and type, with the systems it came from."""
-    activity = (catalog.table("fct_transactions")
-                .where(F.col("transaction_type").isin(*ACTIVITY_TYPES))
+def investment_activity_monthly(catalog: Catalog,
+                                types: Sequence[str] | None = None) -> DataFrame:
+    """Ledger activity per fund, month and type, with the systems it came from.
+
+    All transaction types count, unless ``types`` names some; the accepted-values
+    check of the mart reports those beyond the documented five.
+    """
+    ledger = catalog.table("fct_transactions")
+    activity = ((ledger if types is None else ledger.where(
+                    F.col("transaction_type").isin(*types)))
                 .groupBy("fund_id", month_start(F.col("date")).alias("activity_month"),
                          "transaction_type")
                 .agg(F.count(F.lit(1)).alias("transaction_count"),

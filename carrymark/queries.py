@@ -131,7 +131,7 @@ MARTS: dict[str, Query] = {
     "position_performance": partial(_table, "metrics_position_performance"),
     "returns_cashflows": partial(_table, "metrics_returns_cashflows"),
     "fund_performance_latest": partial(_table, "metrics_fund_performance_latest"),
-    "deals_by_stage": partial(_table, "metrics_pipeline_by_stage"),
+    "pipeline_by_stage": partial(_table, "metrics_pipeline_by_stage"),
     "company_financials_trend": partial(_table, "metrics_company_financials_trend"),
     "investment_activity_monthly": partial(_table, "metrics_investment_activity_monthly"),
     "loan_portfolio_summary": partial(_table, "metrics_loan_portfolio_summary"),
@@ -169,10 +169,7 @@ def all_queries() -> dict[str, Query]:
     return {
         **{f"core_{name}": partial(_model, name) for name in _CORE},
         **BLOCKS, **MARTS, **QUESTIONS,
-        **{f"dq_{_report_name(table)}": partial(checks.table_report, table=table)
+        **{f"dq_{table}": partial(checks.table_report, table=table)
            for table in rules.CHECKED_TABLES},
     }
 
-
-def _report_name(table: str) -> str:
-    return "metrics_deals_by_stage" if table == "metrics_pipeline_by_stage" else table

@@ -41,6 +41,11 @@ def cycle(key: str, *values: str) -> str:
     return f"case {key} % {len(values)} {cases} else {values[-1]} end"
 
 
+def key_or_gap(prefix: str, key: str, gap: str) -> str:
+    """A key, or where ``gap`` holds one that nothing else has: the row stays, unmatched."""
+    return f"case when {gap} then 'GAP' else '{prefix}' end || {text(key)}"
+
+
 def currency(key: str) -> str:
     return cycle(key, "'USD'", "'EUR'", "'GBP'")
 
@@ -96,7 +101,7 @@ _CREDIT_FLOWS = cycle("(l_orderkey + l_linenumber)", "'DRAW'", "'PRINCIPAL'", "'
 
 COLUMNS: dict[str, dict[str, str]] = {
     "ref_countries": {
-        "id": text("n_nationkey"), "iso2": f"lpad({text('n_nationkey')}, 2, '0')",
+        "id": text("n_nationkey"), "iso2": f"case when n_nationkey = 24 then 'ZZ' else lpad({text('n_nationkey')}, 2, '0') end",
         "iso3": f"lpad({text('n_nationkey')}, 3, '0')", "name": "n_name",
         "phone_code": text("n_nationkey + 100"), "region": "r_name",
         "sub_region": "r_name || ' SUB'",
@@ -204,11 +209,14 @@ COLUMNS: dict[str, dict[str, str]] = {
         "transaction_id": NO_TEXT, "reference": "l_returnflag || l_linestatus",
         "non_cash": "false", **_STAMPS},
     "int_instrument_countries_mapped": {
-        "instrument_id": f"'I' || {text('pk')}", "country_code": f"lpad({text('c')}, 2, '0')",
-        "valid_from": EPOCH, "valid_to": NO_DATE, "allocation_pct": dec("a", 5, 2),
+        "instrument_id": key_or_gap("I", "pk", "pk % 11 = 0"),
+        "country_code": f"lpad({text('c')}, 2, '0')",
+        "valid_from": EPOCH, "valid_to": NO_DATE,
+        "allocation_pct": dec("a + 0.25 * (pk % 3)", 5, 2),
         "role": "'OPERATIONS'", "primary_flag": "p", **_STAMPS},
     "int_instrument_industries_mapped": {
-        "instrument_id": f"'I' || {text('pk')}", "industry_id": "ptype", "valid_from": EPOCH,
+        "instrument_id": key_or_gap("I", "pk", "pk % 13 = 0"), "industry_id": "ptype",
+        "valid_from": EPOCH,
         "valid_to": "case when pk % 9 = 0 then date '1999-12-31' end",
         "allocation_pct": f"case when pk % 2 = 0 then {dec('100', 5, 2)} end",
         "primary_flag": "true", **_STAMPS},
@@ -249,7 +257,7 @@ COLUMNS: dict[str, dict[str, str]] = {
         "source_system": "'FIXTURE'", "source_file_ref": NO_TEXT, **_STAMPS},
     "int_company_valuations_curated": {
         "company_valuation_id": f"'CV' || {text('k')} || '-' || {text('qe')} || '-' || vt",
-        "company_id": f"'C' || {text('k')}", **_period("INTERNAL"), "amount": fund_money("v * m"),
+        "company_id": key_or_gap("C", "k", "k % 6 = 5"), **_period("INTERNAL"), "amount": fund_money("v * m"),
         "valuation_type": "vt", **_STAMPS},
     "int_commitments_curated": {
         "commitment_id": f"'K' || {text('c_custkey')}", "fund_id": f"'F' || {text('c_nationkey')}",
@@ -272,17 +280,22 @@ COLUMNS: dict[str, dict[str, str]] = {
         "created_at": f"cast({plus_days('cast(o_orderdate as date)', '-90')} as timestamp)",
         "updated_at": STAMP},
     "int_opportunity_countries_curated": {
-        "opportunity_id": f"'O' || {text('o_orderkey')}",
+        "opportunity_id": key_or_gap("O", "o_orderkey", "o_orderkey % 10 = 0"),
         "country_code": f"lpad({text('o_custkey % 25')}, 2, '0')", "primary_flag": "true",
         "allocation_pct": f"case when o_orderkey % 2 = 0 then {dec('50', 5, 2)} end",
         "role": "'OPERATING'", **_STAMPS},
     "int_opportunity_industries_curated": {
-        "opportunity_id": f"'O' || {text('o_orderkey')}", "industry_id": sector("o_custkey"),
+        "opportunity_id": key_or_gap("O", "o_orderkey", "o_orderkey % 12 = 0"),
+        "industry_id": sector("o_custkey"),
         "primary_flag": "case o_orderkey % 3 when 0 then true when 1 then false end", **_STAMPS},
     "int_transactions_classified": {
         "transaction_id": f"'TX' || {text('o_orderkey')}",
-        "transaction_type": cycle("o_orderkey", "'DRAWDOWN'", "'DISTRIBUTION'",
-                                  "'INVESTMENT_TRANSACTION'", "'EXPENSE'", "'MANAGEMENT_FEE'"),
+        "transaction_type": "case when o_orderkey % 7 = 6 then " + cycle(
+            "o_orderkey", "'DIVIDEND'", "'LOAN_RECEIVED'", "'LOAN_DRAW'",
+            "'LOAN_PRINCIPAL_REPAYMENT'", "'LOAN_INTEREST_RECEIPT'", "'LOAN_FEE_RECEIPT'")
+            + " else " + cycle("o_orderkey", "'DRAWDOWN'", "'DISTRIBUTION'",
+                               "'INVESTMENT_TRANSACTION'", "'EXPENSE'", "'MANAGEMENT_FEE'")
+            + " end",
         "fund_id": f"'F' || {text('c_nationkey')}",
         "investor_id": f"case when o_orderkey % 5 in (0, 1) then 'V' || {text('c_custkey')} end",
         "instrument_id": "case when o_orderkey % 5 = 2 "

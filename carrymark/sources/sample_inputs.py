@@ -42,8 +42,7 @@ class SampleInputs:
 
     def _countries(self) -> DataFrame:
         nation, region = self.file("nation"), self.file("region")
-        return (nation.where("n_nationkey <> 24")
-                .join(region, nation.n_regionkey == region.r_regionkey))
+        return nation.join(region, nation.n_regionkey == region.r_regionkey)
 
     def _currencies(self) -> DataFrame:
         return self.file("part").selectExpr(f"{currency('p_partkey')} as code").distinct()
@@ -73,12 +72,11 @@ class SampleInputs:
         return self.file("lineitem").join(parts, F.col("l_partkey") == F.col("pk"))
 
     def _instrument_countries(self) -> DataFrame:
-        parts = self._parts().where("pk % 11 <> 0")
         pair = F.explode(F.array(
             F.struct(F.col("fnum").alias("c"), F.lit(60).alias("a"), F.lit(True).alias("p")),
             F.struct(((F.col("pk") + 1) % 25).alias("c"), F.lit(40).alias("a"),
                      F.lit(False).alias("p"))))
-        return parts.select("pk", pair.alias("b")).select("pk", "b.*")
+        return self._parts().select("pk", pair.alias("b")).select("pk", "b.*")
 
     def _orders_of_customers(self) -> DataFrame:
         orders, customer = self.file("orders"), self.file("customer")
@@ -92,8 +90,8 @@ class SampleInputs:
 
     def _company_countries(self) -> DataFrame:
         supplier = self.file("supplier")
-        primary = supplier.where("s_suppkey % 9 <> 8").selectExpr(
-            "s_suppkey as k", "s_nationkey as n", "true as p")
+        primary = supplier.selectExpr(
+            "s_suppkey as k", "s_nationkey as n", "s_suppkey % 9 <> 8 as p")
         return primary.unionByName(supplier.selectExpr(
             "s_suppkey as k", "(s_nationkey + 1) % 25 as n", "false as p"))
 
@@ -106,8 +104,7 @@ class SampleInputs:
         kind = F.explode(F.array(
             F.struct(F.lit("ACTUAL").alias("vt"), F.lit(8).alias("m")),
             F.struct(F.lit("FORECAST").alias("vt"), F.lit(9).alias("m"))))
-        return totals.where("k % 6 <> 5").select("k", "qe", "v", kind.alias("w")).select(
-            "k", "qe", "v", "w.*")
+        return totals.select("k", "qe", "v", kind.alias("w")).select("k", "qe", "v", "w.*")
 
     _ROWS: dict[str, Callable[[SampleInputs], DataFrame]] = {
         "ref_countries": _countries,
@@ -126,7 +123,7 @@ class SampleInputs:
         "int_instrument_snapshots_curated": _snapshots,
         "int_instrument_cashflows_curated": _flows,
         "int_instrument_countries_mapped": _instrument_countries,
-        "int_instrument_industries_mapped": lambda s: s._parts().where("pk % 13 <> 0"),
+        "int_instrument_industries_mapped": _parts,
         "int_fund_snapshots_curated": _fund_snapshots,
         "int_company_countries_mapped": _company_countries,
         "int_company_industries_mapped": lambda s: s.file("supplier"),
@@ -137,10 +134,8 @@ class SampleInputs:
             lambda s: s._by_quarter("orders", "o_custkey", "o_orderdate", v="o_totalprice"),
         "int_opportunities_curated":
             lambda s: s._orders_of_customers().withColumn("n_suppliers", s._size("supplier")),
-        "int_opportunity_countries_curated":
-            lambda s: s.file("orders").where("o_orderkey % 10 <> 0"),
-        "int_opportunity_industries_curated":
-            lambda s: s.file("orders").where("o_orderkey % 12 <> 0"),
+        "int_opportunity_countries_curated": lambda s: s.file("orders"),
+        "int_opportunity_industries_curated": lambda s: s.file("orders"),
         "int_transactions_classified":
             lambda s: s._orders_of_customers().withColumn("n_parts", s._size("part")),
     }

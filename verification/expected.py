@@ -175,7 +175,7 @@ def _marts() -> dict[str, str]:
             "metrics_fund_performance_latest",
             "total_committed_capital total_called_capital total_distributed_capital current_nav "
             "dpi tvpi unrealized_value realized_value remaining_commitment"),
-        "deals_by_stage": rows_of(
+        "pipeline_by_stage": rows_of(
             "metrics_pipeline_by_stage", "total_amount_usd avg_deal_size_usd"),
         "company_financials_trend": rows_of(
             "metrics_company_financials_trend",
@@ -327,8 +327,7 @@ def _failures(rule: Rule) -> str:
 def _reports() -> dict[str, str]:
     reports = {}
     for table in CHECKED_TABLES:
-        name = "metrics_deals_by_stage" if table == "metrics_pipeline_by_stage" else table
-        reports[f"dq_{name}"] = shown(" union all ".join(
+        reports[f"dq_{table}"] = shown(" union all ".join(
             f"select '{r.table}' table_name, '{r.check}' check_name, '{r.column}' column_name, "
             f"'{r.severity}' severity, cast(({_failures(r)}) as bigint) failures"
             for r in rules_for(table)))

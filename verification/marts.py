@@ -304,9 +304,9 @@ BLOCKS = {
                coalesce(bi.industry_id, 'UNKNOWN') industry_id,
                coalesce(d.name, 'Unknown Industry') industry_name, e.maturity_year,
                e.security_rank,
-               sum(e.exposure_usd
-                   * cast(coalesce(bi.allocation_pct, 100) as integer)
-                   * cast(coalesce(bc.allocation_pct, 100) as integer)) / 10000
+               sum(cast(cast(e.exposure_usd as decimal(28,6))
+                        * cast(coalesce(bi.allocation_pct, 100) * coalesce(bc.allocation_pct, 100)
+                               / 10000 as decimal(9,8)) as decimal(38,10)))
                    deployed_capital_usd,
                max(e.period_end_date) as_of_date
         from deployed_by_instrument e
@@ -331,7 +331,8 @@ BLOCKS = {
                coalesce(bi.industry_id, 'UNKNOWN') industry_id,
                coalesce(d.name, 'Unknown Industry') industry_name, s.stage_id,
                s.name stage_name,
-               sum(o.amount * cast(coalesce(bc.allocation_pct, 100) as integer)) / 100
+               sum(cast(o.amount * cast(coalesce(bc.allocation_pct, 100) / 100
+                                        as decimal(5,4)) as decimal(38,10)))
                    pipeline_value_usd
         from dim_opportunities o
         join dim_funds f on f.fund_id = o.fund_id
@@ -440,8 +441,6 @@ BLOCKS = {
                coalesce(sum(t.amount_converted), 0) total_amount_usd,
                string_agg(distinct t.source, ', ' order by t.source) source_systems
         from fct_transactions t join dim_funds f on f.fund_id = t.fund_id
-        where t.transaction_type in ('DRAWDOWN', 'DISTRIBUTION', 'INVESTMENT_TRANSACTION',
-                                     'EXPENSE', 'MANAGEMENT_FEE')
         group by t.fund_id, f.name, activity_month, activity_year, activity_quarter,
                  t.transaction_type""",
     "metrics_loan_portfolio_summary": f"""

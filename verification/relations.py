@@ -25,7 +25,7 @@ _N = f"sum({cents('l_quantity')}) n"
 _ORDERS = "orders join customer on o_custkey = c_custkey"
 
 _SOURCES = {
-    "ref_countries": "nation join region on n_regionkey = r_regionkey where n_nationkey <> 24",
+    "ref_countries": "nation join region on n_regionkey = r_regionkey",
     "ref_currencies": "(select distinct case p_partkey % 3 when 0 then 'USD' when 1 then 'EUR' "
                       "else 'GBP' end code from part)",
     "stg_ref__industries": "(select distinct p_type from part)",
@@ -46,27 +46,27 @@ _SOURCES = {
         "join sample_parts on pk = k",
     "int_instrument_cashflows_curated": "lineitem join sample_parts on pk = l_partkey",
     "int_instrument_countries_mapped":
-        "(select pk, fnum c, 60 a, true p from sample_parts where pk % 11 <> 0 union all "
-        "select pk, (pk + 1) % 25, 40, false from sample_parts where pk % 11 <> 0)",
-    "int_instrument_industries_mapped": "sample_parts where pk % 13 <> 0",
+        "(select pk, fnum c, 60 a, true p from sample_parts union all "
+        "select pk, (pk + 1) % 25, 40, false from sample_parts)",
+    "int_instrument_industries_mapped": "sample_parts",
     "int_fund_snapshots_curated":
         f"({_per_quarter(_ORDERS, 'c_nationkey', 'o_orderdate', 'sum(' + cents('o_totalprice') + ') v')})",
     "int_company_countries_mapped":
-        "(select s_suppkey k, s_nationkey n, true p from supplier where s_suppkey % 9 <> 8 "
+        "(select s_suppkey k, s_nationkey n, s_suppkey % 9 <> 8 p from supplier "
         "union all select s_suppkey, (s_nationkey + 1) % 25, false from supplier)",
     "int_company_industries_mapped": "supplier",
     "int_company_financials_curated":
         f"({_per_quarter('lineitem', 'l_suppkey', 'l_shipdate', _V + ', ' + _N)})",
     "int_company_valuations_curated":
         f"({_per_quarter('lineitem', 'l_suppkey', 'l_shipdate', _V)}) q, "
-        "(values ('ACTUAL', 8), ('FORECAST', 9)) w(vt, m) where k % 6 <> 5",
+        "(values ('ACTUAL', 8), ('FORECAST', 9)) w(vt, m)",
     "int_commitments_curated": "customer",
     "int_commitment_snapshots_curated":
         f"({_per_quarter('orders', 'o_custkey', 'o_orderdate', 'sum(' + cents('o_totalprice') + ') v')})",
     "int_opportunities_curated":
         f"{_ORDERS} cross join (select count(*) n_suppliers from supplier)",
-    "int_opportunity_countries_curated": "orders where o_orderkey % 10 <> 0",
-    "int_opportunity_industries_curated": "orders where o_orderkey % 12 <> 0",
+    "int_opportunity_countries_curated": "orders",
+    "int_opportunity_industries_curated": "orders",
     "int_transactions_classified": f"{_ORDERS} cross join (select count(*) n_parts from part)",
 }
 
