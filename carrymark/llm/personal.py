@@ -365,8 +365,10 @@ def op6_personal_data(docs: DataFrame) -> DataFrame:
         return F.array_join(F.transform(chosen, lambda s: F.concat_ws(
             ":", s["kind"], s["start"], s["end"])), ",")
 
+    def count(kind):
+        mine = F.filter("spans", lambda s: s["base"] & (s["kind"] == F.lit(kind)))
+        return F.size(mine).cast("long").alias(f"n_{kind}")
+
     base = F.filter("spans", lambda s: s["base"])
-    counts = [F.size(F.filter("spans", lambda s, k=k: s["base"] & (s["kind"] == k)))
-              .cast("long").alias(f"n_{k}") for k in BASE_KINDS]
-    return found.select("doc_id", *counts, F.sha2(joined(base).cast("binary"), 256)
+    return found.select("doc_id", *map(count, BASE_KINDS), F.sha2(joined(base).cast("binary"), 256)
                         .alias("base_sha256"), joined(F.col("spans")).alias("spans"))

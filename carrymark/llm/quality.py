@@ -176,7 +176,10 @@ def common_counts(tokens: Column, common: Column) -> Column:
     Tokens that are common words are sorted, so a word's count is the distance
     from its first place to the next word's.
     """
-    present = F.sort_array(F.filter(tokens, lambda w: F.array_contains(common, w)))
+    # Most words are longer than every common one, which is cheaper to see.
+    longest = F.array_max(F.transform(common, F.octet_length))
+    present = let(longest, lambda n: F.sort_array(F.filter(tokens, lambda w: (
+        F.octet_length(w) <= n) & F.array_contains(common, w))))
 
     def count(sorted_words: Column) -> Column:
         places = F.transform(common, lambda c: F.array_position(sorted_words, c))
@@ -209,8 +212,9 @@ def quality(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
         "char_distance": chars, "word_distance": F.when(F.col("n_words") > 0, counted),
         "base_failed": (F.col("n_words") < limits.min_words)
         | (100 * F.col("n_repeat_words") > limits.max_repeat_percent * F.col("n_words"))})
-    near = (F.col("char_distance") <= limits.max_char_distance) & (
-        F.col("word_distance") <= limits.max_word_distance)
+    # A language of rare words alone has no reference to be far from.
+    near = F.coalesce((F.col("char_distance") <= limits.max_char_distance), F.lit(True)) & (
+        F.coalesce(F.col("word_distance") <= limits.max_word_distance, F.lit(True)))
     marks = marks.withColumn("kept", ~F.col("base_failed") & (
         (F.col("n_words") < limits.guard_words) | near))
     return marks.select(*(F.col("doc")[c].alias(c) for c in docs.columns if c not in RESULT),

@@ -83,7 +83,8 @@ with base as (
 )
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        not base_failed and (n_words < 30
-                            or (char_distance <= 0.30 and word_distance <= 0.45)) as kept,
+                            or (coalesce(char_distance <= 0.30, true)
+                                and coalesce(word_distance <= 0.45, true))) as kept,
        round(char_distance, 6) as char_distance, round(word_distance, 6) as word_distance
 from failed
 """

@@ -19,7 +19,7 @@ WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
 #: Chunks that a worker remembers before it starts anew; bounds its memory.
-REMEMBERED = 600_000
+REMEMBERED = 1_000_000
 
 TWO_SPACES = re.compile(r"\s\s")
 SAFE_CUT = re.compile(r"(?<=\S)(?=[ \n]\S)")
@@ -51,6 +51,16 @@ def letters_and_marks(key: str) -> str | None:
     return None
 
 
+def lowered(text: str) -> str:
+    """A Latin-1 text in lower case, which the word tokenizer makes of it anyway; others
+    as they are, since there normalisation and neighbours play a part."""
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return text
+    return text.lower()
+
+
 class Encoder:
     """Ids as little-endian unsigned 32-bit integers in bytes.
 
@@ -71,8 +81,8 @@ class Encoder:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array("I", x.ids).tobytes() for x in found]
 
-    def _learn(self, known: dict[str, bytes], keys: set[str], text_of) -> None:
-        missing = [k for k in keys if k not in known]
+    def _learn(self, known: dict[str, bytes], keys: list[str], text_of) -> None:
+        missing = set(keys).difference(known)
         if not missing:
             return
         split = {k: word for k in missing if (word := letters_and_marks(k))}
@@ -93,12 +103,12 @@ class Encoder:
         if self.spaces_matter:
             first, keys = chunks(text)
             known = self.after_space
-            self._learn(self.alone, {first}, str)
-            self._learn(known, set(keys), chunk_text)
-            return self.alone[first] + b"".join([known[k] for k in keys])
-        keys, known = text.replace("\n", " ").split(" "), self.alone
-        self._learn(known, set(keys), str)
-        return b"".join([known[k] for k in keys])
+            self._learn(self.alone, [first], str)
+            self._learn(known, keys, chunk_text)
+            return self.alone[first] + b"".join(map(known.__getitem__, keys))
+        keys, known = lowered(text).replace("\n", " ").split(" "), self.alone
+        self._learn(known, keys, str)
+        return b"".join(map(known.__getitem__, keys))
 
 
 _ENCODERS: dict[str, Encoder] = {}
