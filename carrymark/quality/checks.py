@@ -1,8 +1,8 @@
 """Running data contracts as Spark jobs.
 
-All row predicates of a table share one scan. Key and reference checks reduce
-to distinct values before anything is compared, so a value that fills a third of
-a table costs one row.
+All row predicates of a table share one scan, and all its key and reference checks
+another: their values are reduced to one row for each check and value before anything
+is compared, so a value that fills a third of a table costs one row.
 """
 
 from __future__ import annotations
@@ -14,7 +14,6 @@ from typing import TYPE_CHECKING
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from carrymark.functions.dates import clock
-from carrymark.operators.lineage import computed_once
 from carrymark.operators.validity import valid_at
 from carrymark.quality.rules import (
     OverlapRule, ReferenceRule, RowCountRule, RowRule, Rule, SinglePrimaryRule, UniqueRule,
@@ -54,6 +53,36 @@ def _orphans(catalog: Catalog, df: DataFrame, rule: ReferenceRule) -> DataFrame:
     return used.join(parents, "_value", "left_anti")
 
 
+def _key_checks(catalog: Catalog, df: DataFrame,
+                rules: list[UniqueRule | ReferenceRule]) -> DataFrame:
+    """Repeated keys and missing parents, counted in one pass over the table."""
+    def key(columns: Iterable[str]) -> Column:
+        return F.when(_known(columns), F.array(*[F.col(c).cast("string") for c in columns]))
+
+    def columns(rule: UniqueRule | ReferenceRule) -> tuple[str, ...]:
+        return rule.keys if isinstance(rule, UniqueRule) else (rule.column,)
+
+    values = F.array(*[F.struct(F.lit(i).alias("_rule"), key(columns(r)).alias("_key"))
+                       for i, r in enumerate(rules)])
+    used = (df.select(F.inline(values)).where("_key is not null")
+            .groupBy("_rule", "_key").agg(F.count(F.lit(1)).alias("_rows")))
+    parents = [catalog.table(r.parent).select(
+        F.lit(i).alias("_rule"), key([r.parent_column]).alias("_key"))
+        for i, r in enumerate(rules) if isinstance(r, ReferenceRule)]
+    if parents:
+        known = reduce(DataFrame.unionByName, parents).distinct()
+        used = used.join(known.withColumn("_found", F.lit(True)), ["_rule", "_key"], "left")
+    counts = []
+    for i, rule in enumerate(rules):
+        mine = F.col("_rule") == i
+        total = (F.count_if(mine & (F.col("_rows") > 1)) if isinstance(rule, UniqueRule)
+                 else F.sum(F.when(mine & F.col("_found").isNull(), F.col("_rows"))))
+        counts.append(F.coalesce(total, F.lit(0)).cast("long").alias(f"_{i}"))
+    results = F.array(*[F.struct(*_label(r), F.col(f"_{i}").alias(_COUNT))
+                        for i, r in enumerate(rules)])
+    return used.agg(*counts).select(F.inline(results))
+
+
 def _overlaps(df: DataFrame, rule: OverlapRule) -> DataFrame:
     """Start dates per key with the number of intervals that begin inside another.
 
@@ -107,17 +136,14 @@ def _failure_count(catalog: Catalog, df: DataFrame, rule: Rule) -> DataFrame:
 
 
 def table_report(catalog: Catalog, table: str, rules: list[Rule] | None = None) -> DataFrame:
-    """One row per rule of the table: (table, check, column, severity, failures).
-
-    A mart that is not stored is computed once for all of its checks.
-    """
+    """One row per rule of the table: (table, check, column, severity, failures)."""
     rules = rules_for(table) if rules is None else rules
     df = catalog.table(table)
     by_row = [r for r in rules if isinstance(r, RowRule)]
-    others = [r for r in rules if not isinstance(r, RowRule)]
-    if table.startswith("metrics_") and table not in catalog.stored and others and by_row:
-        df = computed_once(df)
+    by_key = [r for r in rules if isinstance(r, (UniqueRule, ReferenceRule))]
+    others = [r for r in rules if not isinstance(r, (RowRule, UniqueRule, ReferenceRule))]
     parts = [_row_checks(df, by_row)] if by_row else []
+    parts += [_key_checks(catalog, df, by_key)] if by_key else []
     parts += [_failure_count(catalog, df, rule) for rule in others]
     return reduce(DataFrame.unionByName, parts)
 
