@@ -1,5 +1,9 @@
 from decimal import Decimal
 
+import pytest
+from pyspark.sql import functions as F
+
+from carrymark.functions.money import exact
 from carrymark.plans import exposure
 from conftest import day, records
 
@@ -165,3 +169,45 @@ def test_a_snapshot_without_a_period_is_the_latest(tables):
     row = exposure.deployed_by_instrument(catalog).first()
     assert row.exposure_usd == 2 and row.period_end_date is None
     assert catalog.table("metrics_position_performance").count() == 0
+
+
+def held(tables, value):
+    return tables(
+        int_funds_unified=FUNDS, ref_countries=COUNTRIES,
+        int_instruments_unified=[dict(instrument_id=i, fund_id="A", instrument_type="EQUITY")
+                                 for i in ("big", "small")],
+        int_instrument_snapshots_curated=[
+            dict(instrument_snapshot_id=i, instrument_id=i, period_end_date="2020-03-31",
+                 fair_value=v, fx_rate=1) for i, v in (("big", value), ("small", 5))],
+        int_instrument_countries_mapped=[
+            dict(instrument_id="big", country_code=c, allocation_pct=p)
+            for c, p in (("DE", "33.33"), ("US", "66.67"))])
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_large_amounts_and_fractions_of_a_percent_are_whole(spark, tables, ansi):
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        big = Decimal("2000000000000000000.03")
+        rows = exposure.deployed_base(held(tables, big)).collect()
+        assert sum(r.deployed_capital_usd for r in rows) == big + 5
+        by = {r.country_code: r.deployed_capital_usd for r in rows}
+        assert by["DE"] == (big * Decimal("0.3333")).quantize(Decimal("1e-10"))
+        full = Decimal("9" * 22 + ".99")
+        assert exposure.deployed_by_instrument(held(tables, full)).count() == 2
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_what_does_not_fit_stops_the_job(spark, ansi):
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        df = spark.sql("select cast('12345.6' as decimal(20,2)) as x")
+        with pytest.raises(Exception, match="does not fit"):
+            df.select(exact(F.col("x"), "decimal(5,2)")).collect()
+        assert df.select(exact(F.col("x"), "decimal(8,1)").alias("y")).first().y == Decimal("12345.6")
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)

@@ -2,7 +2,6 @@ from collections import Counter
 
 import pytest
 
-from carrymark.operators.lineage import computed_once
 from carrymark.plans.core import expected_credit_instruments
 from carrymark.plans.registry import TABLES
 from carrymark.quality import checks, rules
@@ -160,13 +159,6 @@ def test_interval_rules_have_rows(tables):
         assert checks.failing_rows(catalog, rule).count() == 1
 
 
-def test_checkpoint_goes_to_the_configured_folder(spark):
-    df = computed_once(spark.range(10))
-    assert df.count() == 10
-    configured = spark.conf.get("spark.checkpoint.dir")
-    assert configured.rstrip("/") in spark.sparkContext.getCheckpointDir()
-
-
 def test_declared_mart_grains_are_checked():
     for name, spec in TABLES.items():
         if spec.role == "metrics" and spec.grain and name != "metrics_returns_cashflows":
@@ -174,8 +166,19 @@ def test_declared_mart_grains_are_checked():
             assert spec.grain in keys, name
 
 
-def test_a_stored_mart_is_checked_where_it_is(spark, monkeypatch):
+def test_a_stored_mart_is_checked_where_it_is(spark):
     catalog = sample_catalog(spark, SMALL)
     catalog.save("metrics_pipeline_by_stage")
-    monkeypatch.setattr(checks, "computed_once", lambda df: pytest.fail("computed again"))
     assert not failures(catalog, "metrics_pipeline_by_stage")
+
+
+def test_keys_and_references_take_one_scan_of_a_fact(spark):
+    catalog = sample_catalog(spark, SMALL)
+    rules_ = [r for r in rules.rules_for("fct_transactions")
+              if isinstance(r, (UniqueRule, ReferenceRule))]
+    assert len(rules_) > 3
+    plan = checks.table_report(catalog, "fct_transactions", rules_)
+    text = plan._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("o_totalprice") <= text.count("o_orderkey") and text.count("Expand") == 0
+    scans = plan._jdf.queryExecution().executedPlan().toString().count("orders.parquet")
+    assert scans == 1

@@ -3,10 +3,12 @@
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from carrymark.queries import all_queries
 from conftest import SMALL
 from verification.compare import difference, open_tables
 
-QUERIES, ORACLE = queries(), oracle_sql()
+QUERIES = {name: query for name, query in queries().items() if name in all_queries()}
+ORACLE = {name: text for name, text in oracle_sql().items() if name in all_queries()}
 
 
 @pytest.fixture(scope="module")

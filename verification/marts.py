@@ -277,7 +277,7 @@ BLOCKS = {
           on v.company_id = r.company_id and v.period_end_date = r.period_end_date"""
        for suffix, valid in (
            ("", ""),
-           ("_as_of", "and l.valid_from <= r.period_end_date "
+           ("_as_of", "and coalesce(l.valid_from <= r.period_end_date, true) "
                       "and coalesce(l.valid_to >= r.period_end_date, true)"))},
 
     # --- exposure ------------------------------------------------------------
@@ -321,7 +321,7 @@ BLOCKS = {
        for suffix, valid in (
            ("", ""),
            ("_valid_countries",
-            "and e.period_end_date between bc.valid_from and "
+            "and e.period_end_date between coalesce(bc.valid_from, date '0001-01-01') and "
             "coalesce(bc.valid_to, date '9999-12-31')"))},
     "open_deal_base": """
         select cast(date_trunc('month', o.close_date) as date) close_month, o.fund_id,
