@@ -247,15 +247,13 @@ def _deal_months(catalog: Catalog, first: Column) -> DataFrame:
 
 
 def exposure_timeseries(catalog: Catalog, *, country_validity: bool = False) -> DataFrame:
-    """Thirteen months of exposure from the month of the valuation date."""
+    """Thirteen months of exposure from the month of the valuation date, in no order."""
     today = clock(catalog.as_of)
     first = month_start(today)
     deployed = (deployed_base(catalog, country_validity=country_validity)
                 .withColumn("exposure_month", F.explode(month_spine(today, MONTHS_AHEAD)))
                 .withColumn("closed_pipeline_usd", F.lit(0).cast(AMOUNT)))
     rows = deployed.unionByName(_deal_months(catalog, first), allowMissingColumns=True)
-    ordered = ["fund_name", "instrument_type", "region", "country_name", "industry_name",
-               "maturity_year", "security_rank", "stage_name", "exposure_month"]
     return rows.withColumns({
         **_month_labels(first),
         "total_exposure_usd": F.col("deployed_capital_usd") + F.col("closed_pipeline_usd"),
@@ -263,5 +261,4 @@ def exposure_timeseries(catalog: Catalog, *, country_validity: bool = False) ->
         "exposure_month", "exposure_year", "exposure_month_num", "fund_id", "fund_name",
         "instrument_type", *PLACE, "maturity_year", "security_rank", "stage_id", "stage_name",
         "deployed_capital_usd", "closed_pipeline_usd", "total_exposure_usd", "period_type",
-        "as_of_date",
-    ).orderBy(*[F.col(c).asc_nulls_last() for c in ordered])
+        "as_of_date")

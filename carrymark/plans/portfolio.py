@@ -47,11 +47,7 @@ def portfolio_overview(catalog: Catalog, flow_bucket: FlowBucket = "start") -> D
         F.sum("number_of_portfolio_companies").alias("number_of_companies"),
         F.sum("number_of_positions").alias("number_of_positions"))
     flows = quarterly_net_flows(catalog, flow_bucket)
-    return (
-        by_period.join(flows, "period_end_date", "left")
-        .withColumns({
-            "net_cash_contributions_period":
-                F.coalesce("net_cash_contributions_period", F.lit(0)),
-            "as_of_date": clock(catalog.as_of),
-        })
-        .orderBy(F.col("period_end_date").asc_nulls_last()))
+    return by_period.join(flows, "period_end_date", "left").withColumns({
+        "net_cash_contributions_period": F.coalesce("net_cash_contributions_period", F.lit(0)),
+        "as_of_date": clock(catalog.as_of),
+    })

@@ -9,11 +9,17 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from carrymark.functions.dates import AsOf
 from carrymark.operators.reporting import SnapshotPolicy
 from carrymark.sources.layout import store
-from carrymark.sources.schemas import INPUTS, input_schema
+from carrymark.sources.schemas import INPUTS, SEEDS, input_schema
+from carrymark.sources.seeds import read_seed
 
 InputReader = Callable[[str], DataFrame]
 
 
+def _with_seeds(spark: SparkSession, read: InputReader, folder: str | None) -> InputReader:
+    return lambda name: (read_seed(spark, name, f"{folder}/{name}.csv")
+                         if folder and name in SEEDS else read(name))
+
+
 class Catalog:
     """Resolves input relations, models and marts by name.
 
@@ -34,14 +40,21 @@ class Catalog:
         self.stored: set[str] = set()
 
     @classmethod
-    def from_parquet(cls, spark: SparkSession, root: str, **settings) -> Catalog:
-        """Inputs stored as ``<root>/<input name>`` parquet directories."""
-        return cls(spark, lambda name: spark.read.parquet(f"{root}/{name}"), **settings)
+    def from_parquet(cls, spark: SparkSession, root: str, *, seeds: str | None = None,
+                     **settings) -> Catalog:
+        """Inputs stored as ``<root>/<input name>`` parquet directories.
+
+        ``seeds`` is the folder of the seeds' CSV files, if they come as such.
+        """
+        return cls(spark, _with_seeds(
+            spark, lambda name: spark.read.parquet(f"{root}/{name}"), seeds), **settings)
 
     @classmethod
-    def from_database(cls, spark: SparkSession, database: str, **settings) -> Catalog:
-        """Inputs stored as metastore tables of one database."""
-        return cls(spark, lambda name: spark.table(f"{database}.{name}"), **settings)
+    def from_database(cls, spark: SparkSession, database: str, *, seeds: str | None = None,
+                      **settings) -> Catalog:
+        """Inputs stored as metastore tables of one database; ``seeds`` as above."""
+        return cls(spark, _with_seeds(
+            spark, lambda name: spark.table(f"{database}.{name}"), seeds), **settings)
 
     def table(self, name: str) -> DataFrame:
         if name not in self._resolved:
@@ -53,6 +66,20 @@ class Catalog:
         self._resolved[name] = df
         return self
 
+    def use_stored(self, *names: str, database: str | None = None) -> Catalog:
+        """Read the tables that ``save`` left, in an earlier session perhaps.
+
+        Without names, every table that is there; a named one must be.
+        """
+        from carrymark.plans.registry import TABLES
+
+        for name in names or TABLES:
+            place = f"`{database or TABLES[name].namespace}`.`{name}`"
+            if names or self.spark.catalog.tableExists(place):
+                self.replace(name, self.spark.table(place))
+                self.stored.add(name)
+        return self
+
     def preferred(self, snapshots: DataFrame, entity: str, row_id: str) -> DataFrame:
         """The snapshots that count under the catalog's policy."""
         return self.policy.choose(snapshots, entity, row_id) if self.policy else snapshots
@@ -84,14 +111,16 @@ class Catalog:
              database: str | None = None) -> DataFrame:
         """Materialize one table the way its spec says and read it from there on.
 
-        Tables go to ``<namespace>.<name>``; views become temporary views;
-        inlined helpers stay plans. ``buckets`` asks for bucketing by the key the
+        Tables go to ``<namespace>.<name>``; views become temporary views, which
+        have no layout; inlined helpers stay plans. ``buckets`` asks for bucketing by the key the
         table is joined on, so that later joins need no shuffle. ``partition_by``
         lets filters on those columns, such as the period, skip whole folders.
         """
         from carrymark.plans.registry import TABLES
 
         spec = TABLES[name]
+        if spec.stored_as != "table" and (buckets or partition_by):
+            raise ValueError(f"{name} is not stored as a table, so it has no layout")
         df = spec.build(self)
         if spec.stored_as == "view":
             df.createOrReplaceTempView(name)
@@ -107,12 +136,17 @@ class Catalog:
 
         wanted = set(names or TABLES)
         for name in (n for n in TABLES if n in wanted):
-            self.save(name, buckets=buckets)
+            self.save(name, buckets=buckets if TABLES[name].stored_as == "table" else None)
 
-    def save_inputs(self, *names: str, database: str, buckets: int | None = None) -> None:
+    def save_inputs(self, *names: str, database: str, buckets: int | None = None,
+                    partition_by: Mapping[str, Sequence[str]] | None = None) -> None:
         """Store input relations, bucketed alike, and read them from there on.
 
+        ``partition_by`` names columns for some of the relations, the period for
+        instance.
+
         ``Catalog.from_database`` opens them again in another session.
         """
         for name in names or INPUTS:
-            self.replace(name, store(self.input(name), database, name, buckets=buckets))
+            self.replace(name, store(self.input(name), database, name, buckets=buckets,
+                                     partition_by=(partition_by or {}).get(name, ())))

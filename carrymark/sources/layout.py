@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 # The key each large relation is joined on. Tables bucketed alike by it join and
 # aggregate on it without a shuffle.
@@ -26,29 +26,19 @@ _BUCKETED = {
 }
 BUCKET_KEY = {table: key for key, tables in _BUCKETED.items() for table in tables}
 
-# A bucket is read by one task and cannot be split later, unlike a shuffle
-# partition, so a table is bucketed only if no bucket is much above the average.
-MAX_BUCKET_FACTOR = 4
-
-
-def buckets_evenly(df: DataFrame, key: str, buckets: int) -> bool:
-    """Whether hashing by the key keeps every bucket near the average size."""
-    sizes = df.groupBy(F.pmod(F.hash(key), F.lit(buckets)).alias("bucket")).count()
-    largest, total = sizes.agg(F.max("count"), F.sum("count")).first()
-    return not total or largest * buckets <= MAX_BUCKET_FACTOR * total
-
 
 def store(df: DataFrame, database: str, name: str, *, buckets: int | None = None,
           partition_by: Sequence[str] = ()) -> DataFrame:
     """Write a parquet table and read it back.
 
-    A requested bucketing is left out where the table has no bucket key or one
-    key value dominates; such a table is shuffled on use and split by AQE.
+    ``buckets`` holds for tables with a bucket key; others have none to bucket by.
+    A bucket is read by one task and cannot be split later, unlike a shuffle
+    partition, so a table that one key value dominates is better left unbucketed.
     """
     spark, target = df.sparkSession, f"`{database}`.`{name}`"
     spark.sql(f"create database if not exists `{database}`")
     key = BUCKET_KEY.get(name)
-    bucketed = bool(buckets and key and buckets_evenly(df, key, buckets))
+    bucketed = bool(buckets and key)
     # Shuffled by bucket first, each bucket becomes one file.
     rows = df.repartition(buckets, key) if bucketed else df
     writer = rows.write.mode("overwrite").format("parquet")

@@ -6,9 +6,9 @@ from carrymark.operators.snapshots import latest_positions, period_positions
 from carrymark.plans.registry import TABLES
 from carrymark.queries import SAMPLE_SPEC
 from carrymark.sources.catalog import Catalog
-from carrymark.sources.layout import buckets_evenly, store
+from carrymark.sources.layout import store
 from carrymark.sources.sample_inputs import sample_catalog
-from carrymark.sources.schemas import INPUTS
+from carrymark.sources.schemas import input_schema, INPUTS
 from carrymark.sources.seeds import read_seed
 from carrymark.sources.staging import SourceSpec, stage
 from conftest import SMALL, day, records
@@ -189,15 +189,30 @@ def test_bucketed_inputs_carry_marts_without_a_fact_shuffle(spark, no_broadcast)
     assert positions.exceptAll(expected).isEmpty() and positions.count() == expected.count()
 
 
-def test_a_dominant_key_is_not_bucketed(spark):
-    rows = spark.range(1000).select(F.when(F.col("id") < 400, "hot").otherwise(
-        F.concat(F.lit("k"), "id")).alias("instrument_id"))
-    even = rows.where("instrument_id <> 'hot'")
-    assert buckets_evenly(even, "instrument_id", 16)
-    assert not buckets_evenly(rows, "instrument_id", 16)
-    assert buckets_evenly(even.limit(0), "instrument_id", 16)
-    for df, bucketed in ((rows, False), (even, True)):
-        stored = store(df, "layout", "dim_instruments", buckets=16)
-        assert stored.count() == df.count()
+def test_layout_is_as_asked(spark):
+    rows = spark.range(100).select(F.concat(F.lit("k"), "id").alias("instrument_id"))
+    for buckets in (None, 16):
+        assert store(rows, "layout", "dim_instruments", buckets=buckets).count() == 100
         detail = spark.sql("describe extended layout.dim_instruments").collect()
-        assert any(r.col_name == "Num Buckets" for r in detail) == bucketed
+        assert any(r.col_name == "Num Buckets" for r in detail) == bool(buckets)
+    with pytest.raises(ValueError):
+        sample_catalog(spark, SMALL).save("fct_transactions", buckets=4)
+
+
+def test_stored_marts_are_read_by_a_later_catalog(spark):
+    sample_catalog(spark, SMALL).save_all("metrics_pipeline_by_stage", "dim_funds")
+    later = Catalog(spark, {}, as_of="1998-07-15").use_stored("metrics_pipeline_by_stage")
+    mart = later.table("metrics_pipeline_by_stage")
+    assert "metrics_pipeline_by_stage" in mart.inputFiles()[0]
+    assert "Join" not in mart._jdf.queryExecution().optimizedPlan().toString()
+    assert mart.exceptAll(sample_catalog(spark, SMALL).table("metrics_pipeline_by_stage")).isEmpty()
+    assert "dim_funds" in Catalog(spark, {}).use_stored().stored
+
+
+def test_seeds_come_from_a_folder_of_csv_files(spark, tmp_path):
+    fields = [f.name for f in input_schema("ref_countries").fields]
+    row = {f: "" for f in fields} | {"iso2": "QQ", "iso3": "QQQ", "name": "Quill", "id": "1"}
+    (tmp_path / "ref_countries.csv").write_text(
+        ",".join(fields) + "\n" + ",".join(row[f] for f in fields) + "\n")
+    catalog = Catalog.from_parquet(spark, str(tmp_path), seeds=str(tmp_path))
+    assert [r.country_iso2_code for r in catalog.table("dim_countries").collect()] == ["QQ"]
