@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import base64
 import uuid
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -31,7 +32,7 @@ from carrymark.llm.tokens import chunk_text, chunks
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
 #: Characters of texts in a block; a longer text is a block of its own.
-BLOCK = 1 << 24
+BLOCK = 1 << 23
 WORD_ROWS = 10_000
 TEXT_ROWS = 1_000
 BUCKETS = 1 << 17
@@ -159,7 +160,7 @@ class Block:
         self.words: dict[bytes, int] = {}
         self.after_space: dict[str, int] = {}
         self.alone: dict[str, int] = {}
-        self.pieces: list[list[int]] = []
+        self.pieces, self.ends = array("i"), array("i")  # words of the chunks, in a row
         self.texts: list[np.ndarray] = []
 
     def _parts(self, word: str) -> list[bytes]:
@@ -178,14 +179,15 @@ class Block:
 
     def _chunk(self, text: str) -> int:
         number = self._number
-        self.pieces.append([number(part) for word in self.pattern.findall(text)
+        self.pieces.extend([number(part) for word in self.pattern.findall(text)
                             for part in self._parts(word)])
-        return len(self.pieces) - 1
+        self.ends.append(len(self.pieces))
+        return len(self.ends) - 1
 
     def add(self, text: str | None) -> None:
         """Null and empty texts have no chunk."""
         if not text:
-            self.texts.append(np.zeros(0, np.int64))
+            self.texts.append(np.zeros(0, np.int32))
             return
         first, keys = chunks(text)
         if first not in self.alone:
@@ -193,13 +195,13 @@ class Block:
         known = self.after_space
         for key in set(keys).difference(known):
             known[key] = self._chunk(chunk_text(key))
-        self.texts.append(np.array([self.alone[first], *[known[k] for k in keys]], np.int64))
+        self.texts.append(np.array([self.alone[first], *map(known.__getitem__, keys)], np.int32))
 
     def word_numbers(self) -> Iterator[np.ndarray]:
         """Each text as numbers of words."""
-        lengths = np.array([len(p) for p in self.pieces], np.int64)
-        flat = np.array([w for p in self.pieces for w in p], np.int32)
-        starts = np.cumsum(lengths) - lengths
+        flat, ends = np.array(self.pieces, np.int32), np.array(self.ends, np.int64)
+        lengths = np.diff(ends, prepend=0)
+        starts = ends - lengths
         for text in self.texts:
             yield flat[gather(starts, lengths, text)]
 

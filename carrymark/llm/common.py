@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -20,7 +21,7 @@ def shared_folder(spark: SparkSession) -> str:
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
-        if not spark.sparkContext.master.startswith("local["):
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="carrymark-shared-")
         spark.conf.set("spark.checkpoint.dir", folder)
@@ -61,6 +62,18 @@ def join_groups(rows: DataFrame, groups: DataFrame, key: str, size: str, total:
     return rows.join(few, key).unionByName(rest.join(groups.filter(~hot), key))
 
 
+def bounded_sample(rows: DataFrame, most: int, *keys: str) -> DataFrame:
+    """About ``most`` of the ``rows``, all of them if there are no more, by a hash of keys.
+
+    ``rows`` is read twice and has one row for each value of the keys, so that no
+    value can fill the sample. No row is sorted or gathered for it.
+    """
+    parts, total = 1 << 24, rows.count()
+    if total <= most:
+        return rows
+    return rows.filter(F.pmod(F.xxhash64(*keys), F.lit(parts)) < most * parts // total)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

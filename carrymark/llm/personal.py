@@ -22,7 +22,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from carrymark.llm.common import stored, texts
+from carrymark.llm.common import bounded_sample, stored, texts
 
 BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = (*BASE_KINDS, "ssn", "iban", "ipv6")
@@ -242,9 +242,9 @@ def learn(docs: DataFrame, max_spans: int = 50_000) -> Model:
     """The span classifier for ``docs`` (text).
 
     Vote patterns are counted over all candidates of all texts; there are at most
-    3 to the number of labelers of them. ``max_spans`` bounds the candidates that the
-    classifier is fitted on, taken in the order of a hash. Without candidates
-    nothing is learned, and only base spans will be found.
+    3 to the number of labelers of them. The classifier is fitted on about ``max_spans``
+    different candidates at most, by a hash, each with the weight of its copies.
+    Without candidates nothing is learned, and only base spans will be found.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -271,12 +271,16 @@ def learn(docs: DataFrame, max_spans: int = 50_000) -> Model:
     opinion = spark.createDataFrame(
         [(list(b), float(p)) for b, p in zip(ballots, likely, strict=True)],
         "ballot array<int>, likely double")
-    sample = found.orderBy(F.xxhash64("span"), "span").limit(max_spans).join(
+    alike = stored(found.groupBy("span", "ballot", "values").agg(
+        F.count("*").alias("copies")), "different-candidates")
+    sample = bounded_sample(alike, max_spans, "span", "ballot", "values").join(
         F.broadcast(opinion), "ballot")
     # Each span counts for both classes, by how likely it is in each.
+    copies = F.col("copies")
     both = sample.select("values", F.explode(F.array(
-        F.struct(F.lit(1).alias("label"), F.col("likely").alias("weight")),
-        F.struct(F.lit(0).alias("label"), (1 - F.col("likely")).alias("weight")))).alias("x"))
+        F.struct(F.lit(1).alias("label"), (copies * F.col("likely")).alias("weight")),
+        F.struct(F.lit(0).alias("label"), (copies * (1 - F.col("likely"))).alias("weight"))))
+        .alias("x"))
     fitted = LogisticRegression(weightCol="weight", regParam=1e-4, maxIter=50).fit(both.select(
         array_to_vector("values").alias("features"), "x.label", "x.weight"))
     return Model(tuple(fitted.coefficients.toArray().tolist()), float(fitted.intercept))

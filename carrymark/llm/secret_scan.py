@@ -16,7 +16,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from carrymark.llm.common import stored
+from carrymark.llm.common import bounded_sample, stored
 
 RUN = "[A-Za-z0-9+/_=-]"
 CANDIDATE = f"(?<!{RUN}){RUN}{{14,}}+"
@@ -113,12 +113,13 @@ def learn(findings: DataFrame, words: list[str],
           training: Training = Training()) -> RandomForestClassificationModel | None:
     """A forest from labelled ``findings`` (candidate, length, before, after, label).
 
-    At most ``max_findings`` of them, in the order of a hash. None where not both
-    labels occur: then nothing can be told apart, and every candidate is reported.
+    About ``max_findings`` different ones at most, by a hash, each once. None where
+    not both labels occur: then nothing can be told apart, and every candidate is
+    reported.
     """
-    rows = findings.select("label", "candidate", features(words).alias("values")).orderBy(
-        F.xxhash64("candidate", "values"), "candidate", "label").limit(training.max_findings)
-    rows = stored(rows, "findings").select(
+    rows = findings.select("label", "candidate", features(words).alias("values")).distinct()
+    rows = bounded_sample(stored(rows, "findings"), training.max_findings,
+                          "label", "candidate", "values").select(
         F.col("label").cast("double").alias("label"), array_to_vector("values").alias("features"))
     if rows.select("label").distinct().count() < 2:
         return None

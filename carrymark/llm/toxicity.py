@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from carrymark.llm.common import crc32_of_id, documents, stored, texts
+from carrymark.llm.common import bounded_sample, crc32_of_id, documents, stored, texts
 
 #: Second-person pronouns of the languages served.
 SECOND_PERSON = frozenset(
@@ -161,15 +161,15 @@ def _column(lexicon: Lexicon, spark):
 
 
 def sample(docs: DataFrame, labels: DataFrame, training: Training) -> DataFrame:
-    """Training texts (text, toxic, part): at most ``max_rows``, in the order of a hash of
-    doc_id, equal texts once.
+    """Training texts (text, toxic, part): about ``max_rows`` at most, by a hash of doc_id,
+    equal texts once.
 
     The sampled ids are few, so that they are broadcast and no text is moved. Labels
     that are null are left out; a doc_id that is labelled twice is toxic if once.
     """
     ids = (labels.filter("doc_id is not null and toxic is not null").groupBy("doc_id")
-           .agg(F.max("toxic").alias("toxic"))
-           .orderBy(F.xxhash64("doc_id"), "doc_id").limit(training.max_rows))
+           .agg(F.max("toxic").alias("toxic")))
+    ids = bounded_sample(stored(ids, "labels"), training.max_rows, "doc_id")
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(
         F.broadcast(ids), "doc_id")
     rows = rows.groupBy(F.xxhash64("text").alias("key")).agg(
