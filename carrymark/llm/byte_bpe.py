@@ -25,7 +25,7 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carrymark.llm.common import stored, texts
+from carrymark.llm.common import held, stored, texts
 from carrymark.llm.quality import let
 from carrymark.llm.tokens import chunk_text, chunks
 
@@ -137,15 +137,6 @@ class Known:
 
 
 NOTHING = Known(b"", np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, "<u4"))
-_NUMBERS: dict[str, dict[bytes, int]] = {}
-
-
-def known_numbers(key: str, known: Known) -> dict[bytes, int]:
-    """The worker's table of known words; kept for its later tasks."""
-    if key not in _NUMBERS:
-        _NUMBERS.clear()
-        _NUMBERS[key] = known.numbers()
-    return _NUMBERS[key]
 
 
 class Block:
@@ -273,13 +264,13 @@ def encode(docs: DataFrame, ranks: str = RANKS, pattern: str = PATTERN,
     spark = docs.sparkSession
     arrow = spark.createDataFrame([], docs.select(*names).schema).toArrow().schema
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in others)
-    held = f"{fields}, " if fields else ""
+    leading = f"{fields}, " if fields else ""
     shared, key = spark.sparkContext.broadcast(known), uuid.uuid4().hex
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """A block's words, then its texts as numbers of words."""
         compiled, table = regex.compile(pattern), joins(load_ranks(ranks))
-        numbers = known_numbers(key, shared.value)
+        numbers = held("known words", key, shared.value.numbers)
         schema = pa.schema([*arrow, pa.field("word_", pa.list_(pa.int32())),
                             pa.field("numbers_", pa.binary())])
         block, rows, chars = Block(compiled, table, numbers), [], 0
@@ -349,9 +340,9 @@ def encode(docs: DataFrame, ranks: str = RANKS, pattern: str = PATTERN,
                     names=[*names, "ids", "id_bytes"])
 
     words = docs.select(*names, "text").mapInArrow(
-        split, f"{held}word_ array<int>, numbers_ binary")
+        split, f"{leading}word_ array<int>, numbers_ binary")
     words = _with_ids(words, spark, ranks, "word_", [*names, "numbers_"])
-    return words.mapInArrow(join, f"{held}ids array<int>, id_bytes binary")
+    return words.mapInArrow(join, f"{leading}ids array<int>, id_bytes binary")
 
 
 def decode(encoded: DataFrame, ranks: str = RANKS) -> DataFrame:

@@ -5,13 +5,14 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 HOT_SHARE = 1000
+_HELD: dict[str, dict] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -83,6 +84,23 @@ def crc32_of_id(column: str = "doc_id"):
     return F.crc32(F.col(column).cast("string").cast("binary"))
 
 
+def held(kind: str, key: str, make: Callable, most: int = 1):
+    """What a Python worker keeps for its later tasks, at most ``most`` things of one kind.
+
+    Those of another kind are dropped first, so that the tables of several operators
+    in one session never add up in a worker.
+    """
+    if kind not in _HELD:
+        _HELD.clear()
+        _HELD[kind] = {}
+    mine = _HELD[kind]
+    if key not in mine:
+        if len(mine) >= most:
+            mine.clear()
+        mine[key] = make()
+    return mine[key]
+
+
 def utf8(column: pa.Array) -> Iterator[bytes]:
     """The UTF-8 bytes of a string column one by one; null is empty."""
     column = column.cast(pa.large_binary() if pa.types.is_large_string(column.type)

@@ -15,6 +15,8 @@ from array import array
 import public_tokenizers
 from tokenizers import Tokenizer
 
+from carrymark.llm.common import held
+
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -111,11 +113,6 @@ class Encoder:
         return b"".join(map(known.__getitem__, keys))
 
 
-_ENCODERS: dict[str, Encoder] = {}
-
-
 def encoder(path: str) -> Encoder:
     """The worker's encoder of a tokenizer file; kept for the worker's later tasks."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+    return held("encoders", path, lambda: Encoder(path))

@@ -23,7 +23,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from carrymark.llm.common import bounded_sample, crc32_of_id, documents, stored, texts
+from carrymark.llm.common import (
+    bounded_sample, crc32_of_id, documents, held, stored, texts)
 
 #: Second-person pronouns of the languages served.
 SECOND_PERSON = frozenset(
@@ -66,7 +67,7 @@ def entries(word: str) -> list[str]:
 
 
 STRONG, WEAK, YOU = 1, 2, 4
-REMEMBERED = 500_000
+REMEMBERED = 200_000
 
 
 class WordKinds(dict):
@@ -135,25 +136,13 @@ def features(text: str, kinds: WordKinds) -> list[float]:
         100 * len(disguised) / n, float(hidden), 100 * stretched(lower) / n]
 
 
-_KINDS: dict[str, WordKinds] = {}
-
-
-def _kinds(key: str, lexicon: Lexicon) -> WordKinds:
-    """The worker's table of words for a lexicon; kept for its later tasks."""
-    if key not in _KINDS:
-        if len(_KINDS) > 2:
-            _KINDS.clear()
-        _KINDS[key] = WordKinds(lexicon)
-    return _KINDS[key]
-
-
 def _column(lexicon: Lexicon, spark):
     """A function of a text column that gives the features."""
     known, key = spark.sparkContext.broadcast(lexicon), uuid.uuid4().hex
 
     @arrow_udf("array<double>")
     def run(column: pa.Array) -> pa.Array:
-        kinds = _kinds(key, known.value)
+        kinds = held("word kinds", key, lambda: WordKinds(known.value), most=2)
         return pa.array([features(t or "", kinds) for t in texts(column)],
                         pa.list_(pa.float64()))
 
