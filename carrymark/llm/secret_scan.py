@@ -26,9 +26,18 @@ SECRET_WORDS = ("(?i)(api|auth|access|private|client|secret|token|key|passw(or)?
                 "bearer|signature)")
 OTHER_WORDS = ("(?i)(sha|md5|hash|digest|commit|checksum|uuid|guid|id|version|build|isbn|phone|card|"
                "call|order|image|url|href|src)$")
-#: Formats that label a finding by themselves.
-KNOWN_SECRET = (r"^(AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|sk_live_[0-9a-zA-Z]{24,}|"
-                r"xox[abpr]-[0-9A-Za-z-]{10,}|AIza[0-9A-Za-z_-]{35})$")
+#: Providers' formats, which decide by themselves.
+KNOWN_SECRET = (r"(?<![A-Za-z0-9])(AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|"
+                r"sk_live_[0-9a-zA-Z]{24,}|xox[abpr]-[0-9A-Za-z-]{10,}|AIza[0-9A-Za-z_-]{35})"
+                r"(?![A-Za-z0-9])")
+#: What mixes letters with digits and yet is no secret: digests and ids beside their names,
+#: UUIDs, file names and the parts of an address.
+HEX = "^(?:[0-9a-f]{14,}|[0-9A-F]{14,})$"
+HASH_WORDS = r"(?i)^(sha[0-9]*|md5|hash|digest|commit|checksum|revision|etag|uuid|guid)$"
+UUID = "(?i)^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$"
+FILE_END = (r"(?i)^\.(html?|php|js|css|json|xml|txt|md|pdf|png|jpe?g|gif|svg|zip|gz|py|java|csv|"
+            r"parquet)\b")
+ADDRESS = r"(?i)(https?:|www\.)[^\s?#\"'<>]*$"
 ASSIGNED = r"([A-Za-z][A-Za-z0-9_.-]*)[\"']?[\x20\x09]*[:=][\x20\x09]*[\"']?$"
 
 
@@ -79,8 +88,7 @@ def without(text: Column, pattern: str) -> Column:
 def features(words: list[str]) -> Column:
     """Features of a candidate as an array of doubles."""
     run, n = F.col("candidate"), F.col("length")
-    name = F.regexp_extract("before", ASSIGNED, 1)
-    previous = F.regexp_extract("before", r"([\p{L}\p{N}_]+)[^\p{L}\p{N}_]*$", 1)
+    name, previous = assigned_name(), previous_word()
     changes = F.regexp_count(run, F.lit(
         "(?<=[a-z])(?![a-z])|(?<=[A-Z])(?![A-Z])|(?<=[0-9])(?![0-9])"))
     known = "|".join(re.escape(w) for w in sorted(words, key=lambda w: (-len(w), w)))
@@ -96,16 +104,32 @@ def features(words: list[str]) -> Column:
         F.col("before").rlike(r"[\p{L}\p{N}]$") | F.col("after").rlike(r"^[\p{L}\p{N}]"))))
 
 
-def known_findings(found: DataFrame) -> DataFrame:
-    """Candidates whose format labels them: what is assigned to a secret's name and mixes
-    letters with digits, or has a provider's format, is one; bare words, numbers and
-    paths are not. Others stay without a label and are left out."""
-    run = F.col("candidate")
+def assigned_name() -> Column:
+    return F.regexp_extract("before", ASSIGNED, 1)
+
+
+def previous_word() -> Column:
+    return F.regexp_extract("before", r"([\p{L}\p{N}_]+)[^\p{L}\p{N}_]*$", 1)
+
+
+def secret_by_format() -> Column:
+    """A provider's format, or 20 characters that mix letters with digits and are assigned
+    to a secret's name."""
+    run, name = F.col("candidate"), assigned_name()
     mixed = run.rlike("[0-9]") & run.rlike("[A-Za-z]")
-    named = F.regexp_extract("before", ASSIGNED, 1).rlike(SECRET_WORDS)
-    secret = run.rlike(KNOWN_SECRET) | (named & mixed & (F.col("length") >= 20))
-    other = run.rlike("^[a-z]+$|^[A-Z][a-z]+$|^[0-9]+$|^[A-Za-z]+([-_/][A-Za-z]+)*$")
-    return found.withColumn("label", F.when(secret, 1.0).when(other, 0.0)).filter(
+    named = name.rlike(SECRET_WORDS) & ~name.rlike(OTHER_WORDS)
+    return run.rlike(KNOWN_SECRET) | (named & mixed & (F.col("length") >= 20))
+
+
+def known_findings(found: DataFrame) -> DataFrame:
+    """Candidates whose format labels them: what is a secret by its format is one; bare words,
+    numbers and paths are not, nor are digests, UUIDs, file names and parts of an address by
+    what stands beside them. Others stay without a label and are left out."""
+    run, named = F.col("candidate"), assigned_name().rlike(SECRET_WORDS)
+    other = (run.rlike("^[a-z]+$|^[A-Z][a-z]+$|^[0-9]+$|^[A-Za-z]+([-_/][A-Za-z]+)*$")
+             | (~named & (run.rlike(UUID) | (run.rlike(HEX) & previous_word().rlike(HASH_WORDS))
+                          | F.col("after").rlike(FILE_END) | F.col("before").rlike(ADDRESS))))
+    return found.withColumn("label", F.when(secret_by_format(), 1.0).when(other, 0.0)).filter(
         "label is not null")
 
 
@@ -129,7 +153,8 @@ def learn(findings: DataFrame, words: list[str],
 
 def scan(found: DataFrame, words: list[str],
          forest: RandomForestClassificationModel | None) -> DataFrame:
-    """``found`` candidates with the forest's ``score`` and ``kept`` (score at least 0.5)."""
+    """``found`` candidates with the forest's ``score`` and ``kept``: a score of at least 0.5,
+    or a secret by its format, whatever the forest learned."""
     if forest is None:
         return found.withColumns({"score": F.lit(1.0), "kept": F.lit(True)})
     names = found.columns
@@ -137,7 +162,7 @@ def scan(found: DataFrame, words: list[str],
                         array_to_vector(features(words)).alias("features"))
     rows = forest.transform(rows).select(
         "candidate_.*", vector_to_array("probability")[1].alias("score"))
-    return rows.withColumn("kept", F.col("score") >= 0.5)
+    return rows.withColumn("kept", (F.col("score") >= 0.5) | secret_by_format())
 
 
 def op9_secret_scan(docs: DataFrame) -> DataFrame:
