@@ -1,6 +1,8 @@
 """Operator 9: secret scanning, false positives removed by a random forest.
 
-A pattern proposes long runs of key characters. A forest trained from labelled
+A pattern proposes long runs of key characters, and what is assigned to a secret's name
+from six characters on. Shorter values, and passwords that neither are a run of 14
+nor are assigned to such a name, are not proposed. A forest trained from labelled
 findings decides by the run's length and character transitions, how much of it is
 dictionary words, paths, and the words beside it. Only built-in functions and
 Spark's own forest run.
@@ -18,8 +20,16 @@ from pyspark.sql import functions as F
 
 from carrymark.llm.common import bounded_sample, stored
 
-RUN = "[A-Za-z0-9+/_=-]"
-CANDIDATE = f"(?<!{RUN}){RUN}{{14,}}+"
+RUN = "[A-Za-z0-9+/_-]"
+SECRET_NAME = "(?i:api|auth|access|private|client|secret|token|key|passw(?:or)?d|pwd|credential)"
+ASSIGN = r"[:=][\x20\x09]{0,2}"
+NAMED = SECRET_NAME + "[A-Za-z0-9_-]{0,12}[\"']?" + r"[\x20\x09]{0,2}" + ASSIGN
+#: Behind a secret's name, a value in quotes or up to a separator may hold other signs.
+QUOTED = f"(?<={ASSIGN}[\"'])(?<={NAMED}[\"'])" + r"[^\s\"'`]{6,}+(?=[\"'])"
+BARE = (f"(?<={ASSIGN})(?<={NAMED})" + r"(?![A-Za-z]+://)[^\s\"'`,;&<>(){}\[\]=]{6,}(?<![.!?:])"
+        r"(?:={1,2}+(?![^\s\"'`,;&]))?")
+#: '=' ends a run, so that a name before it stays outside, unless it is padding at the end.
+CANDIDATE = f"(?:{QUOTED}|{BARE}|(?<!{RUN}){RUN}{{14,}}+(?:={{1,2}}+(?!{RUN}|=))?)"
 BEFORE, AFTER = 60, 20
 # Words that name a secret, and words that name something else.
 SECRET_WORDS = ("(?i)(api|auth|access|private|client|secret|token|key|passw(or)?d|pwd|credential|"
@@ -38,6 +48,7 @@ UUID = "(?i)^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$"
 FILE_END = (r"(?i)^\.(html?|php|js|css|json|xml|txt|md|pdf|png|jpe?g|gif|svg|zip|gz|py|java|csv|"
             r"parquet)\b")
 ADDRESS = r"(?i)(https?:|www\.)[^\s?#\"'<>]*$"
+PASSWORD_NAME = "(?i)(passw(or)?d|pwd)[0-9_]*$"
 ASSIGNED = r"([A-Za-z][A-Za-z0-9_.-]*)[\"']?[\x20\x09]*[:=][\x20\x09]*[\"']?$"
 
 
@@ -61,10 +72,22 @@ def candidates(docs: DataFrame) -> DataFrame:
         F.struct(*[c for c in docs.columns if c != "text"]).alias("doc"),
         F.split("text", CANDIDATE).alias("between"),
         F.regexp_extract_all("text", F.lit(CANDIDATE), F.lit(0)).alias("found"))
+    # The text in pieces, gap and candidate in turn: those beside a candidate may be candidates.
+    pieces = F.flatten(F.transform("between", lambda b, i: F.array(
+        b, F.coalesce(F.get("found", i), F.lit("")))))
+    found = found.withColumns({
+        "tails": F.transform(pieces, lambda p: F.right(p, F.lit(BEFORE))),
+        "heads": F.transform(pieces, lambda p: F.left(p, F.lit(AFTER)))})
+
+    def beside(column, first, count):
+        return F.array_join(F.slice(column, first, count), "")
+
+    near = 2 * (BEFORE // 7 + 1)  # a candidate and the gap after it are 7 characters or more
     parts = F.transform("found", lambda c, i: F.struct(
         c.alias("candidate"), F.char_length(F.get("between", i)).alias("gap"),
-        F.right(F.get("between", i), F.lit(BEFORE)).alias("before"),
-        F.left(F.get("between", i + 1), F.lit(AFTER)).alias("after")))
+        F.right(beside("tails", F.greatest(2 * i + 1 - near, F.lit(1)),
+                       F.least(2 * i + 1, F.lit(near + 1))), F.lit(BEFORE)).alias("before"),
+        F.left(beside("heads", 2 * i + 3, F.lit(near)), F.lit(AFTER)).alias("after")))
     rows = found.select("row_", "doc", F.posexplode(parts).alias("nth", "part")).select(
         "row_", "doc", "nth", "part.*", F.char_length("part.candidate").alias("length"))
     earlier = Window.partitionBy("row_").orderBy("nth").rowsBetween(
@@ -113,12 +136,13 @@ def previous_word() -> Column:
 
 
 def secret_by_format() -> Column:
-    """A provider's format, or 20 characters that mix letters with digits and are assigned
-    to a secret's name."""
+    """A provider's format, or what mixes letters with digits and is assigned to a password's
+    name, or is 20 characters long and assigned to another secret's name."""
     run, name = F.col("candidate"), assigned_name()
     mixed = run.rlike("[0-9]") & run.rlike("[A-Za-z]")
     named = name.rlike(SECRET_WORDS) & ~name.rlike(OTHER_WORDS)
-    return run.rlike(KNOWN_SECRET) | (named & mixed & (F.col("length") >= 20))
+    long = (F.col("length") >= 20) | name.rlike(PASSWORD_NAME)
+    return run.rlike(KNOWN_SECRET) | (named & mixed & long & ~run.rlike(r"^[$%<{/]"))
 
 
 def known_findings(found: DataFrame) -> DataFrame:
