@@ -161,18 +161,32 @@ def learn(findings: DataFrame, words: list[str],
           training: Training = Training()) -> RandomForestClassificationModel | None:
     """A forest from labelled ``findings`` (candidate, length, before, after, label).
 
-    About ``max_findings`` different ones at most, by a hash, each once. None where
-    not both labels occur: then nothing can be told apart, and every candidate is
-    reported.
+    About ``max_findings`` different ones at most, by a hash, each once. Each label is
+    sampled by itself, so that a rare one is in whatever the size, and weighs as many
+    as it stands for. None where not both labels occur: then nothing can be told apart,
+    and every candidate is reported.
     """
     rows = findings.select("label", "candidate", features(words).alias("values")).distinct()
-    rows = bounded_sample(stored(rows, "findings"), training.max_findings,
-                          "label", "candidate", "values").select(
-        F.col("label").cast("double").alias("label"), array_to_vector("values").alias("features"))
-    if rows.select("label").distinct().count() < 2:
+    rows = stored(rows, "findings")
+    sizes = {r.label: r["count"] for r in rows.groupBy("label").count().collect()}
+    if len(sizes) < 2:
         return None
+    shares = label_quotas(sizes, training.max_findings)
+    samples = [bounded_sample(rows.filter(F.col("label") == label), quota, "candidate", "values")
+               .withColumn("weight", F.lit(max(sizes[label] / quota, 1.0)))
+               for label, quota in shares.items()]
+    rows = samples[0].unionByName(samples[1]).select(
+        F.col("label").cast("double").alias("label"), array_to_vector("values").alias("features"),
+        "weight")
     return RandomForestClassifier(numTrees=training.trees, maxDepth=training.depth,
-                                  seed=1).fit(rows)
+                                  weightCol="weight", seed=1).fit(rows)
+
+
+def label_quotas(sizes: dict, most: int) -> dict:
+    """How many rows of each of two labels are sampled: the rarer one's up to half."""
+    rare, common = sorted(sizes, key=lambda label: (sizes[label], label))
+    few = min(sizes[rare], most // 2)
+    return {rare: few, common: most - few}
 
 
 def scan(found: DataFrame, words: list[str],

@@ -115,3 +115,14 @@ def test_text_beside_a_candidate_holds_earlier_candidates(spark):
         end = r.start + r.length
         assert r.before == text[max(r.start - secret_scan.BEFORE, 0):r.start]
         assert r.after == text[end:end + secret_scan.AFTER]
+
+
+def test_a_large_sample_keeps_the_rare_label(spark):
+    rows = [(f"word{'abcdefghij'[i % 10]}{'k' * (i // 10 + 10)}", 0.0) for i in range(2000)]
+    rows.append(("9f8a7b6c5d4e3f2a1b0c", 1.0))
+    findings = spark.createDataFrame(rows, "candidate string, label double").selectExpr(
+        "*", "char_length(candidate) as length", "'' as before", "'' as after")
+    forest = secret_scan.learn(findings, [], secret_scan.Training(max_findings=20))
+    assert forest is not None
+    assert secret_scan.label_quotas({0.0: 10**7, 1.0: 5}, 20_000) == {1.0: 5, 0.0: 19_995}
+    assert secret_scan.label_quotas({0.0: 10**7, 1.0: 10**6}, 20_000) == {1.0: 10_000, 0.0: 10_000}
