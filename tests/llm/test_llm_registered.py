@@ -10,7 +10,7 @@ SMALL = "/root/testdata/sf0.001"
 
 def test_each_operator_and_the_pipeline_are_registered():
     names = [n for n in queries() if re.match(r"op\d+_", n)]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert "pipeline" in queries() and set(QUERIES) <= set(queries())
 
 
