@@ -2,12 +2,12 @@
 
 The index of lines is a set of runs, each a table of distinct line digests that is
 bucketed and sorted by digest. A digest lies in one run only. A batch of documents
-is reduced to one entry for each digest and merge-anti-joined with all runs; neither
-side of these joins is shuffled or sorted again. What no run knows becomes the
-batch's own run at level 0. Entries that some run knows already are written as
-recurrences, which are few, because most lines are never repeated. ``fanout`` runs of
-one level are compacted into one of the next, so the number of runs a batch meets
-grows with the logarithm of the number of batches.
+is reduced to one entry for each digest and merge-joined with all runs, which are
+neither shuffled nor sorted again. What no run knows becomes the batch's own run at
+level 0. Entries that some run knows already are written beside it as recurrences,
+which are few, because most lines are never repeated. ``fanout`` runs of one level are
+compacted into one of the next, so the number of runs a batch meets grows with the
+logarithm of the number of batches.
 
 Runs and recurrences together give each line's number of documents and the last
 document that holds it; documents then lose the lines that too many share.
@@ -15,25 +15,26 @@ document that holds it; documents then lose the lines that too many share.
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from collections.abc import Iterator
 from functools import reduce
+from itertools import repeat
 from typing import NamedTuple
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carrymark.llm.common import join_groups, new_path, stored
-from carrymark.llm.exact import lower_ascii
+from carrymark.llm.common import join_groups, new_path, stored, utf8
 
-BLANKS = " \t\n\v\f\r"
+BLANKS = b" \t\n\v\f\r"
 ENTRY = "line binary, docs bigint, lines bigint, last bigint"
 STATE = "version int, kind string, name string, level int, batch string, buckets int"
 
 
 class Part(NamedTuple):
-    """What the index consists of: runs, recurrences (level -1), batches (level -2)."""
+    """What the index consists of: batches with their recurrences (level -1), and runs."""
 
     kind: str
     name: str
@@ -41,30 +42,38 @@ class Part(NamedTuple):
     batch: str
 
 
+def _run(name: str) -> str:
+    """Where a batch's new lines lie; what was known before lies beside them."""
+    return f"{name}/known=false"
+
+
 class LineRuns:
     """Digests of all lines seen so far with their documents, in levelled runs.
 
     ``path`` is where the index lives; a later session opens the same path and goes
-    on. The number of buckets is fixed when the index is made, and another number is
-    refused later. Each change writes a new version of the list of parts, last of
-    all: files of a change that was interrupted are not listed, so they do not count.
+    on. The number of buckets is fixed when the index is made, by default the session's
+    shuffle partitions, and another number is refused later. Each change writes a new
+    version of the list of parts, last of all: files of a change that was interrupted
+    are not listed, so they do not count.
     """
 
-    def __init__(self, spark: SparkSession, path: str | None = None, buckets: int = 32,
+    def __init__(self, spark: SparkSession, path: str | None = None, buckets: int | None = None,
                  fanout: int = 3):
-        self.spark, self.buckets, self.fanout = spark, buckets, fanout
+        self.spark, self.fanout = spark, fanout
         self.path = path or new_path(spark, "line-runs")
         self.tables: dict[str, str] = {}
         self.version, self.parts = 0, []
-        if path is not None:
-            states = spark.read.schema(STATE).parquet(f"{path}/state")
-            self.version = states.agg(F.max("version")).first()[0]
-            rows = states.filter(F.col("version") == self.version).collect()
-            if {r.buckets for r in rows} != {buckets}:
-                raise ValueError(f"this index has {rows[0].buckets} buckets, not {buckets}")
-            self.parts = [Part(r.kind, r.name, r.level, r.batch) for r in rows if r.name]
-        else:
+        if path is None:
+            self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
             self._list([])
+            return
+        states = spark.read.schema(STATE).parquet(f"{path}/state")
+        self.version = states.agg(F.max("version")).first()[0]
+        rows = states.filter(F.col("version") == self.version).collect()
+        self.buckets = rows[0].buckets
+        if buckets not in (None, self.buckets):
+            raise ValueError(f"this index has {self.buckets} buckets, not {buckets}")
+        self.parts = [Part(r.kind, r.name, r.level, r.batch) for r in rows if r.name]
 
     def _list(self, parts: list[Part]) -> None:
         rows = [(self.version + 1, *part, self.buckets) for part in parts]
@@ -73,13 +82,17 @@ class LineRuns:
          .write.mode("append").parquet(f"{self.path}/state"))
         self.version, self.parts = self.version + 1, parts
 
-    def _write(self, rows: DataFrame, name: str) -> DataFrame:
-        """A table bucketed and sorted by digest, one file for each bucket."""
-        table = self.tables[name] = f"line_run_{uuid.uuid4().hex}"
-        (rows.repartition(self.buckets, "line").sortWithinPartitions("line")
-         .write.format("parquet").option("path", f"{self.path}/{name}")
-         .bucketBy(self.buckets, "line").sortBy("line").saveAsTable(table))
-        return self.spark.table(table)
+    def _write(self, rows: DataFrame, name: str, *folders: str) -> None:
+        """Files bucketed and sorted by digest, one for each bucket and folder."""
+        table = f"line_run_{uuid.uuid4().hex}"
+        writer = rows.write.format("parquet").option("path", f"{self.path}/{name}")
+        if folders:
+            writer = writer.partitionBy(*folders)
+        writer.bucketBy(self.buckets, "line").sortBy("line").saveAsTable(table)
+        self.spark.sql(f"DROP TABLE {table}")     # the files stay
+
+    def _dealt(self, rows: DataFrame) -> DataFrame:
+        return rows.repartition(self.buckets, "line")
 
     def _read(self, name: str) -> DataFrame:
         if name not in self.tables:
@@ -89,6 +102,16 @@ class LineRuns:
                            f"LOCATION '{self.path}/{name}'")
         return self.spark.table(self.tables[name])
 
+    def _met(self, entries: DataFrame) -> DataFrame:
+        """Entries with ``known``: whether some run has their line."""
+        marks, met = [], self._dealt(entries)
+        for i, run in enumerate(self.runs()):
+            marks.append(F.col(f"run{i}").isNotNull())
+            line = self._read(run).select("line", F.lit(True).alias(f"run{i}"))
+            met = met.join(line.hint("merge"), "line", "left")
+        known = reduce(lambda a, b: a | b, marks, F.lit(False))
+        return met.select(*entries.columns, known.alias("known"))
+
     def runs(self, level: int | None = None) -> list[str]:
         return [p.name for p in self.parts
                 if p.kind == "run" and (level is None or p.level == level)]
@@ -101,32 +124,26 @@ class LineRuns:
         """
         if any(p.batch == batch for p in self.parts):
             return
-        name = uuid.uuid4().hex
-        entries = self._write(entries, f"batch-{name}")
-        fresh = reduce(lambda left, run: left.join(self._read(run).select("line").hint("merge"),
-                                                   "line", "left_anti"), self.runs(), entries)
-        own = self._write(fresh, f"run-{name}")
-        known = entries.join(own.select("line").hint("merge"), "line", "left_anti")
-        known.write.parquet(f"{self.path}/again-{name}")
-        self._list([*self.parts, Part("run", f"run-{name}", 0, batch),
-                    Part("again", f"again-{name}", -1, batch)])
+        name = f"batch-{uuid.uuid4().hex}"
+        self._write(self._met(entries), name, "known")
+        self._list([*self.parts, Part("batch", name, -1, batch), Part("run", _run(name), 0, "")])
         self._compact()
 
     def _compact(self) -> None:
         level = 0
         while len(names := self.runs(level)) >= self.fanout:
             merged = f"run-{uuid.uuid4().hex}"
-            self._write(reduce(DataFrame.unionByName, map(self._read, names)), merged)
-            kept = [Part("batch", p.name, -2, p.batch) if p.name in names else p
-                    for p in self.parts]
+            self._write(self._dealt(reduce(DataFrame.unionByName, map(self._read, names))), merged)
+            kept = [p for p in self.parts if p.kind == "batch" or p.name not in names]
             self._list([*kept, Part("run", merged, level + 1, "")])
             level += 1
 
     def totals(self, least: int = 1) -> DataFrame:
         """ENTRY of each line in at least ``least`` documents of all batches, stored."""
         empty = self.spark.createDataFrame([], ENTRY)
-        again = [self.spark.read.schema(ENTRY).parquet(f"{self.path}/{p.name}")
-                 for p in self.parts if p.kind == "again"]
+        again = [self.spark.read.schema(f"{ENTRY}, known boolean")
+                 .parquet(f"{self.path}/{p.name}").filter("known").drop("known")
+                 for p in self.parts if p.kind == "batch"]
         more = stored(summed(reduce(DataFrame.unionByName, again, empty)).select(
             "line", *(F.col(c).alias(f"{c}_") for c in ("docs", "lines", "last"))), "again")
         found = [self._read(run).join(more.hint("merge"), "line", "left").select(
@@ -147,9 +164,14 @@ def summed(entries: DataFrame) -> DataFrame:
                                        F.max("last").alias("last"))
 
 
-def line_key(line: Column) -> Column:
+def line_key(line: bytes) -> bytes:
     """What lines are compared by: no ASCII blanks at the ends, A-Z lower-cased."""
-    return lower_ascii(F.btrim(line, F.lit(BLANKS)))
+    return line.strip(BLANKS).lower()
+
+
+def _long(key: bytes, least: int) -> bool:
+    """Whether a key has ``least`` code points."""
+    return len(key) >= least and (len(key) >= 4 * least or len(key.decode()) >= least)
 
 
 def _identified(docs: DataFrame) -> DataFrame:
@@ -159,30 +181,51 @@ def _identified(docs: DataFrame) -> DataFrame:
 
 
 def keyed_lines(docs: DataFrame, min_chars: int, batches: int) -> DataFrame:
-    """Each line with a key of at least ``min_chars``: its document, place and digest.
+    """One row for each document and digest of a line: doc_id, row, line and its places.
 
-    Stored by batch, to which documents are dealt by a hash; text stays behind.
+    Lines with a key of fewer than ``min_chars`` code points are left out. Stored by
+    batch, to which documents are dealt by a hash; text stays behind.
     """
-    numbers = F.monotonically_increasing_id().alias("document")
-    rows = _identified(docs).select("doc_id", "row", "text", numbers).select(
-        "doc_id", "row", "document",
-        F.pmod(F.xxhash64("doc_id", "row"), F.lit(batches)).alias("batch"),
-        F.posexplode(F.split("text", "\n", -1)).alias("place", "col"))
-    key = line_key(F.col("col"))
-    lines = rows.filter(F.char_length(key) >= min_chars).select(
-        "doc_id", "row", "document", "place", F.unhex(F.md5(key.cast("binary"))).alias("line"),
-        "batch")
+    names = ["doc_id", "row", "line", "places"]
+
+    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def made() -> pa.RecordBatch:
+            kinds = (pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.int32()))
+            out = pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=names)
+            for c in columns:
+                c.clear()
+            return out
+
+        columns: tuple[list, ...] = ([], [], [], [])
+        for batch in rows:
+            for doc_id, row, text in zip(batch.column("doc_id").to_pylist(), batch.column("row"),
+                                         utf8(batch.column("text")), strict=True):
+                places: dict[bytes, list[int]] = {}
+                for place, line in enumerate(text.split(b"\n")):
+                    if _long(key := line_key(line), min_chars):
+                        places.setdefault(hashlib.md5(key).digest(), []).append(place)
+                columns[0].extend(repeat(doc_id, len(places)))
+                columns[1].extend(repeat(row.as_py(), len(places)))
+                columns[2].extend(places)
+                columns[3].extend(places.values())
+                if len(columns[0]) > 50_000:
+                    yield made()
+        yield made()
+
+    lines = _identified(docs).mapInArrow(
+        run, "doc_id bigint, row binary, line binary, places array<int>").withColumn(
+        "batch", F.pmod(F.xxhash64("doc_id", "row"), F.lit(batches)))
     path = new_path(docs.sparkSession, "lines")
     lines.write.partitionBy("batch").parquet(path)
     return docs.sparkSession.read.schema(lines.schema).parquet(path)
 
 
 def _entries(lines: DataFrame) -> DataFrame:
-    """One row for each digest. A document's copies of a line are counted as lines only."""
-    each = lines.groupBy("line", "document").agg(F.count("*").alias("lines"),
-                                                 F.max("doc_id").alias("last"))
-    return each.groupBy("line").agg(F.count("*").alias("docs"), F.sum("lines").alias("lines"),
-                                    F.max("last").alias("last"))
+    """One row for each digest; each row of ``lines`` is another document."""
+    return lines.groupBy("line").agg(
+        F.count("*").alias("docs"), F.sum(F.size("places").cast("long")).alias("lines"),
+        F.max("doc_id").alias("last"))
 
 
 def _without(lines: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -222,10 +265,10 @@ def dedup_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3, batches
     many = runs.totals(min_docs)
     if index is None:
         runs.close()
-    total = max(lines.count(), many.agg(F.sum("lines")).first()[0] or 0)
-    gone = (join_groups(lines, many, "line", "lines", total)
+    total = max(lines.count(), many.agg(F.sum("docs")).first()[0] or 0)
+    gone = (join_groups(lines, many, "line", "docs", total)
             .filter(~F.col("doc_id").eqNullSafe(F.col("last")))
-            .groupBy("doc_id", "row").agg(F.collect_set("place").alias("places")))
+            .groupBy("doc_id", "row").agg(F.flatten(F.collect_set("places")).alias("places")))
     rows, gone = _identified(docs).alias("d"), stored(gone, "lost-lines").alias("g")
     same = F.col("d.doc_id").eqNullSafe(F.col("g.doc_id")) & (F.col("d.row") == F.col("g.row"))
     return rows.join(gone, same, "left").select("d.doc_id", "text", "places").mapInArrow(

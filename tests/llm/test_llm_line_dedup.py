@@ -37,12 +37,6 @@ def found(df):
     return Counter((r.doc_id, r.n_lines, r.n_dropped, r.text) for r in df.collect())
 
 
-@pytest.fixture
-def few(monkeypatch):
-    """Small indexes, so that the tests write few files."""
-    monkeypatch.setattr(LineRuns.__init__, "__defaults__", (None, 3, 2))
-
-
 def many_documents():
     rows = [(i, "\n".join(filter(None, [
         f"  {LICENSE.upper() if i % 2 else LICENSE}\t", f"own line of document number {i:04d}",
@@ -53,12 +47,12 @@ def many_documents():
                    (64, f"é{LICENSE} "), (65, "\n".join([LICENSE] * 2000))]
 
 
-def test_equals_plain_loops(spark, few):
+def test_equals_plain_loops(spark):
     rows = many_documents()
     assert found(dedup_lines(spark.createDataFrame(rows, SCHEMA).repartition(5))) == plain(rows)
 
 
-def test_disorder(spark, few):
+def test_disorder(spark):
     rows = [(r[0], r[1]) for r in ROWS] + [(9, LICENSE)] * 3 + [(None, LICENSE)] * 2
     docs = messy(spark).select("doc_id", "text", "row_", "digest", "kept").unionByName(
         spark.createDataFrame(rows[len(ROWS):], SCHEMA), allowMissingColumns=True)
@@ -71,12 +65,12 @@ def test_disorder(spark, few):
          for (d, n, x, t), c in plain(rows).items()})
 
 
-def test_only_documents_without_an_id(spark, few):
+def test_only_documents_without_an_id(spark):
     rows = [(None, LICENSE)] * 4
     assert found(dedup_lines(spark.createDataFrame(rows, SCHEMA))) == plain(rows)
 
 
-def test_empty_table(spark, few):
+def test_empty_table(spark):
     assert dedup_lines(empty(spark)).count() == 0
 
 
@@ -118,14 +112,14 @@ def test_documents_of_earlier_calls_count(spark):
 def test_runs_are_not_shuffled(spark):
     runs = LineRuns(spark, buckets=3)
     runs.add(entries(spark, 0, 10), "a")
-    batch = runs._write(entries(spark, 5, 15), "another")
-    plan = batch.join(runs._read(runs.runs()[0]).select("line").hint("merge"), "line", "left_anti")
+    runs.add(entries(spark, 5, 15), "b")
+    plan = runs._met(entries(spark, 5, 15))
     text = plan._jdf.queryExecution().executedPlan().toString()
-    assert "SortMergeJoin" in text and "Exchange" not in text
+    assert text.count("SortMergeJoin") == 2 and text.count("Exchange") == 1
+    assert {r["last"]: r.known for r in plan.collect()} == dict.fromkeys(range(5, 15), True)
     runs.close()
 
 
-def test_line_keys(spark):
-    rows = [(1, " \t\v\f\rAbÄ é  \n")]
-    df = spark.createDataFrame(rows, SCHEMA).select(line_dedup.line_key(F.col("text")).alias("k"))
-    assert df.first().k == "abÄ é "
+def test_line_keys():
+    assert line_dedup.line_key(" \t\v\f\rAbÄ é\u00a0 \n".encode()).decode() == "abÄ é\u00a0"
+    assert [line_dedup._long(("é" * n).encode(), 20) for n in (19, 20, 100)] == [False, True, True]
