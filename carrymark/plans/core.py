@@ -33,6 +33,13 @@ class Projection:
                 for c in df.columns if c not in self.drops]
         return df.select(*kept, *[F.expr(e).alias(c) for c, e in self.extra.items()])
 
+    def sql(self, place: str, columns: Mapping[str, str]) -> str:
+        """The same as SQL text over ``place``; ``columns`` has an expression for each column."""
+        kept = [f"{e} as `{self.renames.get(c, c)}`" for c, e in columns.items()
+                if c not in self.drops]
+        more = [f"{e} as `{c}`" for c, e in self.extra.items()]
+        return f"select {', '.join([*kept, *more])} from {place}"
+
 
 _STAMPED_NOW = {"created_at": "current_timestamp()", "updated_at": "current_timestamp()"}
 

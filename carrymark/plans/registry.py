@@ -27,13 +27,17 @@ Builder = Callable[["Catalog"], DataFrame]
 
 @dataclass(frozen=True)
 class TableSpec:
-    """``grain`` names the columns of one row; it is declared, not enforced."""
+    """``grain`` names the columns of one row; it is declared, not enforced.
+
+    ``order`` is what readers sort by who ask for an order; nothing is stored sorted.
+    """
 
     name: str
     role: Literal["seed", "dimension", "fact", "bridge", "metrics", "helper"]
     build: Builder
     grain: tuple[str, ...] = ()
     stored_as: Literal["table", "view", "inline"] = "table"
+    order: tuple[str, ...] = ()
 
     @property
     def namespace(self) -> str:
@@ -56,8 +60,8 @@ def _core(name: str, build: Builder) -> TableSpec:
                      stored_as="view" if name in _VIEWS else "table")
 
 
-def _metrics(name: str, build: Builder, *grain: str) -> TableSpec:
-    return TableSpec(f"metrics_{name}", "metrics", build, grain)
+def _metrics(name: str, build: Builder, *grain: str, order: tuple[str, ...] = ()) -> TableSpec:
+    return TableSpec(f"metrics_{name}", "metrics", build, grain, order=order)
 
 
 def _seed(name: str, key: str) -> TableSpec:
@@ -78,7 +82,9 @@ _SPECS = [
     _metrics("portfolio_overview", portfolio_overview, "period_end_date"),
     _metrics("position_performance", position_performance, "instrument_id", "period_end_date"),
     _metrics("company_performance", company_performance, "company_id", "period_end_date"),
-    _metrics("exposure_timeseries", exposure_timeseries),
+    _metrics("exposure_timeseries", exposure_timeseries, order=(
+        "fund_name", "instrument_type", "region", "country_name", "industry_name",
+        "maturity_year", "security_rank", "stage_name", "exposure_month")),
     _metrics("fund_performance_latest", fund_performance_latest, "fund_id"),
     _metrics("pipeline_by_stage", pipeline_by_stage, "fund_id", "stage_id"),
     _metrics("company_financials_trend", company_financials_trend, "company_id", "period_end_date"),

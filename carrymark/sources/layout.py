@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 # The key each large relation is joined on. Tables bucketed alike by it join and
 # aggregate on it without a shuffle.
@@ -14,8 +14,11 @@ _BUCKETED = {
         "int_instruments_credit_curated", "int_instrument_snapshots_curated",
         "int_instrument_cashflows_curated", "int_instrument_countries_mapped",
         "int_instrument_industries_mapped", "dim_instruments", "dim_instruments_equity",
-        "dim_instruments_credit", "fct_instrument_snapshots", "br_instrument_countries",
-        "br_instrument_industries"),
+        "dim_instruments_credit", "br_instrument_countries", "br_instrument_industries"),
+    # The three facts are joined with each other; totals per instrument come after.
+    "instrument_snapshot_id": (
+        "fct_instrument_snapshots", "fct_instrument_snapshots_credit",
+        "fct_instrument_snapshots_equity"),
     "opportunity_id": (
         "int_opportunities_curated", "int_opportunity_countries_curated",
         "int_opportunity_industries_curated", "dim_opportunities", "br_opportunity_countries",
@@ -48,3 +51,11 @@ def store(df: DataFrame, database: str, name: str, *, buckets: int | None = None
         writer = writer.bucketBy(buckets, key).sortBy(key)
     writer.saveAsTable(target)
     return spark.table(target)
+
+
+def store_view(spark: SparkSession, query: str, database: str, name: str) -> DataFrame:
+    """A permanent view in the metastore, which every later session can read."""
+    target = f"`{database}`.`{name}`"
+    spark.sql(f"create database if not exists `{database}`")
+    spark.sql(f"create or replace view {target} as {query}")
+    return spark.table(target)

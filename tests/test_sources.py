@@ -2,7 +2,9 @@ import pytest
 from pyspark.errors import AnalysisException
 
 from carrymark.functions.dates import date_shift, month_spine, quarter_end
-from carrymark.operators.snapshots import latest_positions, period_positions
+from carrymark.operators.snapshots import (
+    SNAPSHOT_FACTS, latest_positions, period_positions, reported_snapshots)
+from carrymark.plans import fund
 from carrymark.plans.registry import TABLES
 from carrymark.queries import SAMPLE_SPEC
 from carrymark.sources.catalog import Catalog
@@ -20,7 +22,7 @@ COUNTRY_HEADER = "id,iso2,iso3,name,phone_code,region,sub_region,income_level,cr
 def test_country_seed_keeps_na_and_empty_fields(spark, tmp_path):
     path = tmp_path / "countries.csv"
     path.write_text(f"{COUNTRY_HEADER}\n"
-                    "1,NA,NAM,Namibia,264,Africa,Southern Africa,UMC,2024-12-01,2025-01-26\n"
+                    "1,NA,NAX,Inland,99,South,Far South,LMC,2023-02-03,2025-01-26\n"
                     "2,QZ,,Nowhere,1,,,,,\n", encoding="utf-8")
     rows = records(read_seed(spark, "ref_countries", str(path)), "id")
     assert rows["1"]["iso2"] == "NA" and rows["1"]["updated_at"] == day("2025-01-26")
@@ -138,7 +140,7 @@ def test_saved_tables_views_and_sql(spark):
     assert spark.table("metrics.metrics_portfolio_overview").count() == expected
     assert spark.table("public.dim_funds").count() == 25
     assert spark.table("reference.ref_currencies").count() == 3
-    assert spark.sql("select * from fct_fund_snapshots").count() > 0
+    assert spark.sql("select * from public.fct_fund_snapshots").count() > 0
     # The overview was built from the stored fund mart.
     assert "metrics_fund_performance" in catalog.table("metrics_fund_performance").inputFiles()[0]
     catalog.save("metrics_portfolio_overview")  # a rebuild replaces the stored table
@@ -209,6 +211,102 @@ def test_stored_marts_are_read_by_a_later_catalog(spark):
     assert "dim_funds" in Catalog(spark, {}).use_stored().stored
 
 
+VIEWS = [name for name, spec in TABLES.items() if spec.stored_as == "view"]
+
+
+@pytest.mark.parametrize("source", ["database", "parquet", "frames"])
+def test_views_are_permanent_and_need_no_catalog(spark, tmp_path, source):
+    """Saved in one session; another reads all six by their names in SQL."""
+    frames = catalog = sample_catalog(spark, SMALL)
+    inputs = [TABLES[name].build.source for name in VIEWS]
+    if source == "database":
+        frames.save_inputs(*inputs, database="views_staging")
+        catalog = Catalog.from_database(spark, "views_staging")
+    elif source == "parquet":
+        for name in inputs:
+            frames.table(name).write.parquet(str(tmp_path / name))
+        catalog = Catalog.from_parquet(spark, str(tmp_path))
+    catalog.save_all(*VIEWS)
+    later = spark.newSession()
+    assert len(VIEWS) == 6
+    for name in VIEWS:
+        rows = later.sql(f"select * from public.{name}")
+        wanted = sample_catalog(spark, SMALL).table(name)
+        assert rows.columns == wanted.columns and rows.count() == wanted.count() > 0
+        assert [t.tableType for t in later.catalog.listTables("public") if t.name == name] == ["VIEW"]
+    flows = later.sql("select instrument_id, sum(amount) as total from "
+                      "public.fct_instrument_cashflows group by instrument_id")
+    assert flows.count() > 0
+    opened = Catalog(later, {}).use_stored(*VIEWS)
+    assert opened.stored == set(VIEWS)
+    assert opened.table("fct_transactions").count() == frames.table("fct_transactions").count()
+
+
+def test_a_view_follows_its_input_and_casts_it(spark):
+    names = [f"`{f.name}` {'string' if f.dataType.typeName() == 'date' else f.dataType.simpleString()}"
+             for f in input_schema("int_transactions_classified").fields]
+    empty = spark.createDataFrame([], ", ".join(names))
+    spark.sql("create database if not exists views_text")
+    empty.write.mode("overwrite").saveAsTable("views_text.int_transactions_classified")
+    catalog = Catalog.from_database(spark, "views_text")
+    catalog.save("fct_transactions")
+    view = spark.table("public.fct_transactions")
+    assert view.count() == 0
+    assert [f.dataType for f in view.schema.fields] == [
+        f.dataType for f in input_schema("int_transactions_classified").fields]
+    one = spark.createDataFrame([tuple(None for _ in names)], ", ".join(names))
+    one.write.mode("append").saveAsTable("views_text.int_transactions_classified")
+    assert spark.newSession().table("public.fct_transactions").count() == 1
+
+
+def _snapshot_facts(spark, buckets=None):
+    catalog = sample_catalog(spark, SMALL)
+    catalog.save_all("dim_instruments", *SNAPSHOT_FACTS, buckets=buckets)
+    return catalog
+
+
+def test_marts_read_the_stored_snapshot_facts(spark, no_broadcast):
+    catalog = _snapshot_facts(spark, buckets=4)
+    rows = reported_snapshots(catalog)
+    assert not _exchanges(rows)
+    assert rows._jdf.queryExecution().executedPlan().toString().count("SortMergeJoin") == 2
+    for mart in ("metrics_fund_performance", "metrics_position_performance"):
+        expected = sample_catalog(spark, SMALL).table(mart)
+        assert catalog.table(mart).exceptAll(expected).isEmpty()
+        assert catalog.table(mart).count() == expected.count()
+
+
+def test_a_changed_snapshot_fact_changes_the_marts(spark):
+    catalog = _snapshot_facts(spark)
+    held = lambda: records(fund.instrument_valuations(catalog), "fund_id", "period_end_date")
+    nav = lambda: {(r.fund_id, r.period_end_date): r.fund_nav_calculated for r in catalog.table(
+        "metrics_fund_performance").collect()}
+    before, nav_before = held(), nav()
+    fact = catalog.table("fct_instrument_snapshots")
+    doubled = (F.col("fair_value_converted") * 2).cast(fact.schema["fair_value_converted"].dataType)
+    catalog.replace("fct_instrument_snapshots", fact.withColumn("fair_value_converted", doubled))
+    value = "total_instrument_fair_value"
+    assert before and {k: v[value] for k, v in held().items()} == {
+        k: v[value] and 2 * v[value] for k, v in before.items()}
+    assert nav().keys() == nav_before.keys() and nav() != nav_before
+    none = catalog.table("fct_instrument_snapshots_credit").where("false")
+    catalog.replace("fct_instrument_snapshots_credit", none)
+    mart = catalog.table("metrics_fund_performance")
+    assert mart.where("principal_outstanding > 0").isEmpty()
+
+
+def test_declared_order(spark):
+    catalog = sample_catalog(spark, SMALL)
+    keys = ["fund_name", "instrument_type", "region", "country_name", "industry_name",
+            "maturity_year", "security_rank", "stage_name", "exposure_month"]
+    rows = [tuple(r) for r in catalog.table(
+        "metrics_exposure_timeseries", ordered=True).select(*keys).collect()]
+    assert rows == sorted(rows, key=lambda r: [(v is None, v if v is not None else 0) for v in r])
+    assert any(v is None for r in rows for v in r) and len(rows) > 1000
+    with pytest.raises(ValueError, match="no order"):
+        catalog.table("dim_funds", ordered=True)
+
+
 def test_seeds_come_from_a_folder_of_csv_files(spark, tmp_path):
     fields = [f.name for f in input_schema("ref_countries").fields]
     row = {f: "" for f in fields} | {"iso2": "QQ", "iso3": "QQQ", "name": "Quill", "id": "1"}
