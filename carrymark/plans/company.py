@@ -7,7 +7,7 @@ from typing import TYPE_CHECKING
 from pyspark.sql import DataFrame, functions as F
 
 from carrymark.functions.money import ratio
-from carrymark.operators.validity import valid_at
+from carrymark.operators.intervals import smallest_in_force
 
 if TYPE_CHECKING:
     from carrymark.sources.catalog import Catalog
@@ -38,12 +38,8 @@ def primary_name(catalog: Catalog, bridge: str, code: str, dimension: str, key:
     links = _primary_links(catalog, bridge, code, dimension, key)
     if periods is None:
         return links.groupBy("company_id").agg(F.min("name").alias(output))
-    # The names are reduced per validity interval first, so a company meets its
-    # periods with a bounded number of intervals.
-    spans = links.groupBy("company_id", "valid_from", "valid_to").agg(F.min("name").alias("name"))
-    in_force = valid_at(F.col("period_end_date"), F.col("valid_from"), F.col("valid_to"))
-    return (periods.join(spans, "company_id").where(in_force)
-            .groupBy(*GRAIN).agg(F.min("name").alias(output)))
+    named = smallest_in_force(periods, links, ["company_id"], "period_end_date", "name")
+    return named.withColumnRenamed("name", output)
 
 
 def company_performance(catalog: Catalog, *, as_of_period: bool = False) -> DataFrame:

@@ -16,10 +16,17 @@ NAV_TOLERANCE = 0.02
 CAPITAL_TOLERANCE = 0.001
 
 
-def _latest(mart: DataFrame) -> DataFrame:
-    """Rows of the newest period; the maximum is a scalar subquery."""
-    newest = mart.agg(F.max("period_end_date")).scalar()
-    return mart.where(F.col("period_end_date") == newest)
+def _latest(mart: DataFrame, key: str, *columns: str) -> DataFrame:
+    """``columns`` of the newest period's rows, from one pass over the mart.
+
+    The maximum is taken over whole rows, so that both uses read the same shuffled
+    rows: the mart is planned twice but its exchange, and all below it, runs once.
+    """
+    rows = (mart.where(F.col("period_end_date").isNotNull())
+            .select(*dict.fromkeys([key, *columns])).repartition(key))
+    last = F.max(F.struct("period_end_date", *[c for c in rows.columns if c != "period_end_date"]))
+    newest = rows.agg(last.alias("_last")).select("_last.period_end_date")
+    return rows.join(F.broadcast(newest), "period_end_date").select(*columns)     # one row
 
 
 def _current(catalog: Catalog) -> Column:
@@ -126,9 +133,10 @@ def instrument_flows(catalog: Catalog, instrument_id: str) -> DataFrame:
 # --- funds, companies, portfolio ---------------------------------------------
 
 def latest_fund_performance(catalog: Catalog) -> DataFrame:
-    return _latest(catalog.table("metrics_fund_performance")).select(
-        "fund_name", "period_end_date", "fund_nav", "total_commitments", "unfunded_commitment",
-        "tvpi", "dpi", "rvpi", "number_of_portfolio_companies", "number_of_positions",
+    return _latest(
+        catalog.table("metrics_fund_performance"), "fund_id", "fund_name", "period_end_date",
+        "fund_nav", "total_commitments", "unfunded_commitment", "tvpi", "dpi", "rvpi",
+        "number_of_portfolio_companies", "number_of_positions",
     ).orderBy("fund_name")
 
 
@@ -143,9 +151,10 @@ def variance_breaches(catalog: Catalog) -> DataFrame:
 
 
 def latest_company_performance(catalog: Catalog) -> DataFrame:
-    return _latest(catalog.table("metrics_company_performance")).select(
-        "company_name", "period_end_date", "revenue", "ebitda", "ebitda_margin",
-        "enterprise_value", "ev_to_ebitda", "primary_country", "primary_industry",
+    return _latest(
+        catalog.table("metrics_company_performance"), "company_id", "company_name",
+        "period_end_date", "revenue", "ebitda", "ebitda_margin", "enterprise_value",
+        "ev_to_ebitda", "primary_country", "primary_industry",
     ).orderBy(F.desc_nulls_first("revenue"))
 
 
@@ -157,10 +166,11 @@ def company_history(catalog: Catalog, company_id: str) -> DataFrame:
 
 
 def latest_portfolio(catalog: Catalog) -> DataFrame:
-    return _latest(catalog.table("metrics_portfolio_overview")).select(
-        "period_end_date", "total_nav", "total_commitments", "total_unfunded_commitment",
-        "tvpi_portfolio", "dpi_portfolio", "rvpi_portfolio", "number_of_funds",
-        "number_of_companies", "number_of_positions")
+    return _latest(
+        catalog.table("metrics_portfolio_overview"), "period_end_date", "period_end_date",
+        "total_nav", "total_commitments", "total_unfunded_commitment", "tvpi_portfolio",
+        "dpi_portfolio", "rvpi_portfolio", "number_of_funds", "number_of_companies",
+        "number_of_positions")
 
 
 def portfolio_trend(catalog: Catalog) -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from carrymark.functions.dates import clock, month_spine, month_start
 from carrymark.functions.money import allocation_share, exact, sum_when
 from carrymark.functions.vocab import CLOSED_STAGES, CREDIT, EQUITY
+from carrymark.operators.intervals import INT_SIZES, blocks_of_interval, blocks_of_point
 from carrymark.operators.snapshots import latest_positions
 from carrymark.operators.validity import valid_at
 
@@ -153,24 +154,16 @@ def open_stages(catalog: Catalog) -> DataFrame:
                     F.col("order").alias("stage_order")))
 
 
-def stage_reach(catalog: Catalog) -> DataFrame:
-    """For each open stage, the stages a deal in it has reached: itself and all before.
+def _deal_values(catalog: Catalog) -> DataFrame:
+    """Country-weighted value of every open deal with a close date, unlabelled.
 
-    Stages are configuration, a handful of rows, so one ordered window over the
-    stage list is enough; the deals meet the result by an equality join.
+    A deal in a stage without an order has reached no stage.
     """
-    up_to = Window.orderBy("stage_order").rangeBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    return (open_stages(catalog).where("stage_order is not null")
-            .select(F.col("stage_id").alias("deal_stage"),
-                    F.collect_list(F.struct("stage_id", "stage_name")).over(up_to).alias("reached")))
-
-
-def _deal_values(catalog: Catalog) -> DataFrame:
-    """Country-weighted value of every open deal with a close date, unlabelled."""
+    stages = (open_stages(catalog).where("stage_order is not null")
+              .select("stage_id", "stage_order"))
     deals = (catalog.table("dim_opportunities").where(F.col("close_date").isNotNull())
              .select("opportunity_id", "fund_id", "stage_id", "amount", "close_date")
-             .join(open_stages(catalog).select("stage_id"), "stage_id"))
+             .join(stages, "stage_id"))
     countries = link_shares(catalog.table("br_opportunity_countries"), "opportunity_id",
                             "country_code", "share")
     # Industry links carry no percentage: each one counts the deal in full.
@@ -182,16 +175,44 @@ def _deal_values(catalog: Catalog) -> DataFrame:
                    * F.coalesce("links", F.lit(1)).cast("decimal(18,0)"), SHARE)
     return (deals.join(countries, "opportunity_id", "left")
             .join(industries, "opportunity_id", "left")
-            .select("fund_id", F.col("stage_id").alias("deal_stage"), "country_code",
+            .select("fund_id", "stage_order", "country_code",
                     "industry_id", month_start(F.col("close_date")).alias("close_month"),
                     _allocated(F.col("amount"), weight).alias("value")))
 
 
-def _reached(catalog: Catalog, by_own_stage: DataFrame) -> DataFrame:
-    """Repeat rows for every stage their deals have reached, and add labels."""
-    spread = (by_own_stage.join(stage_reach(catalog), "deal_stage")
-              .withColumn("_stage", F.explode("reached")).drop("reached", "deal_stage")
-              .select("*", "_stage.*").drop("_stage"))
+def _stages_between(catalog: Catalog, steps: DataFrame) -> DataFrame:
+    """The open stages with an order in (below, stage_order], for each distinct step.
+
+    Steps are pairs of stage orders, as few as configuration makes them.
+    """
+    first = F.coalesce(F.col("below").cast("long") + 1, F.lit(-(1 << 31)))
+    held = steps.select("below", "stage_order", F.inline(
+        blocks_of_interval(first, F.col("stage_order"), INT_SIZES)))
+    stages = open_stages(catalog).where("stage_order is not null").select(
+        "stage_id", "stage_name", F.inline(blocks_of_point(F.col("stage_order"), INT_SIZES)))
+    return held.join(stages, ["size", "block"]).drop("size", "block")
+
+
+def _reached(catalog: Catalog, by_order: DataFrame, key: list[str],
+             amounts: list[str]) -> DataFrame:
+    """Amounts of all deals that have reached a stage, for every stage of a key, labelled.
+
+    ``by_order`` has one row for each key and order of its deals' stages. A deal has
+    reached its own stage, those with the same order and all before, so what has reached
+    a stage is a sum over the orders from it on: a running sum within the key. It holds for
+    all stages down to the next order that the key has deals in.
+    """
+    onwards = Window.partitionBy(*key).orderBy(F.desc("stage_order"))
+    summed = by_order.select(
+        *key, "stage_order",
+        F.lead("stage_order").over(onwards).alias("below"),
+        *[exact(F.sum(a).over(onwards.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
+                AMOUNT).alias(a) for a in amounts])
+    steps = _stages_between(catalog, summed.select("below", "stage_order").distinct())
+    steps = steps.select(F.col("below").alias("_below"), F.col("stage_order").alias("_order"),
+                         "stage_id", "stage_name")
+    same = F.col("below").eqNullSafe(F.col("_below")) & (F.col("stage_order") == F.col("_order"))
+    spread = summed.join(steps, same).drop("below", "_below", "stage_order", "_order")
     return _with_place(catalog, spread).join(_funds(catalog), "fund_id")
 
 
@@ -200,10 +221,10 @@ DEAL_GRAIN = ["fund_id", "fund_name", *PLACE, "stage_id", "stage_name"]
 
 def open_deal_base(catalog: Catalog) -> DataFrame:
     """Open deal value by close month, place, industry and reached stage."""
-    own = (_deal_values(catalog)
-           .groupBy("close_month", "fund_id", "deal_stage", "country_code", "industry_id")
-           .agg(F.sum("value").alias("value")))
-    return (_reached(catalog, own).groupBy("close_month", *DEAL_GRAIN)
+    key = ["close_month", "fund_id", "country_code", "industry_id"]
+    own = (_deal_values(catalog).groupBy(*key, "stage_order")
+           .agg(exact(F.sum("value"), AMOUNT).alias("value")))
+    return (_reached(catalog, own, key, ["value"]).groupBy("close_month", *DEAL_GRAIN)
             .agg(exact(F.sum("value"), AMOUNT).alias("pipeline_value_usd")))
 
 
@@ -222,22 +243,17 @@ def _month_labels(first: Column) -> dict[str, Column]:
 def _deal_months(catalog: Catalog, first: Column) -> DataFrame:
     """Per deal key, the value closed up to each month of the spine.
 
-    Deals are first summed per own stage and close month. Closings before the
-    spine fall into its first month; later ones into one month past its end, so
-    that their keys keep rows. Each month's running total is then a conditional
-    sum over at most fourteen values per key.
+    Deals are first summed per order of their stage: what has closed by each month is
+    a conditional sum. Keys whose deals all close later keep their rows, with zeros.
     """
-    past_end = F.add_months(first, MONTHS_AHEAD + 1)
-    on_spine = F.greatest(first, F.least(F.col("close_month"), past_end))
-    own = (_deal_values(catalog)
-           .groupBy("fund_id", "deal_stage", "country_code", "industry_id",
-                    on_spine.alias("close_month"))
-           .agg(exact(F.sum("value"), AMOUNT).alias("value")))
+    key = ["fund_id", "country_code", "industry_id"]
     zero = F.lit(0).cast(AMOUNT)
     totals = {f"_m{i}": sum_when(F.col("close_month") <= F.add_months(first, i), F.col("value"))
               for i in range(MONTHS_AHEAD + 1)}
-    keyed = _reached(catalog, own).groupBy(*DEAL_GRAIN).agg(
+    own = _deal_values(catalog).groupBy(*key, "stage_order").agg(
         *[exact(F.coalesce(total, zero), AMOUNT).alias(name) for name, total in totals.items()])
+    keyed = _reached(catalog, own, key, list(totals)).groupBy(*DEAL_GRAIN).agg(
+        *[exact(F.sum(name), AMOUNT).alias(name) for name in totals])
     months = F.array(*[
         F.struct(F.add_months(first, i).alias("exposure_month"),
                  F.col(name).alias("closed_pipeline_usd"))

@@ -55,28 +55,33 @@ def _orphans(catalog: Catalog, df: DataFrame, rule: ReferenceRule) -> DataFrame:
 
 def _key_checks(catalog: Catalog, df: DataFrame,
                 rules: list[UniqueRule | ReferenceRule]) -> DataFrame:
-    """Repeated keys and missing parents, counted in one pass over the table."""
-    def key(columns: Iterable[str]) -> Column:
-        return F.when(_known(columns), F.array(*[F.col(c).cast("string") for c in columns]))
+    """Repeated keys and missing parents, counted in one pass over the table.
+
+    A key is its two 64-bit hashes under different seeds, so what is shuffled and compared is
+    three numbers whatever the columns are. Two keys of a rule are taken for one
+    only if both hashes agree, by chance once in some 10^14 tables of a trillion keys.
+    Parents are rows of the same aggregation, used by no row, instead of a join.
+    """
+    def keyed(rows: DataFrame, keys: list[tuple[int, tuple[str, ...]]], used: int) -> DataFrame:
+        values = F.array(*[F.when(_known(columns), F.struct(
+            F.lit(i).alias("_rule"), *[F.xxhash64(F.lit(seed), *[
+                F.col(c).cast("string") for c in columns]).alias(f"_hash{seed}")
+                for seed in (1, 2)])) for i, columns in keys])
+        return rows.select(F.inline(F.array_compact(values))).withColumn("_used", F.lit(used))
 
     def columns(rule: UniqueRule | ReferenceRule) -> tuple[str, ...]:
         return rule.keys if isinstance(rule, UniqueRule) else (rule.column,)
 
-    values = F.array(*[F.struct(F.lit(i).alias("_rule"), key(columns(r)).alias("_key"))
-                       for i, r in enumerate(rules)])
-    used = (df.select(F.inline(values)).where("_key is not null")
-            .groupBy("_rule", "_key").agg(F.count(F.lit(1)).alias("_rows")))
-    parents = [catalog.table(r.parent).select(
-        F.lit(i).alias("_rule"), key([r.parent_column]).alias("_key"))
-        for i, r in enumerate(rules) if isinstance(r, ReferenceRule)]
-    if parents:
-        known = reduce(DataFrame.unionByName, parents).distinct()
-        used = used.join(known.withColumn("_found", F.lit(True)), ["_rule", "_key"], "left")
+    parts = [keyed(df, [(i, columns(r)) for i, r in enumerate(rules)], 1)]
+    parts += [keyed(catalog.table(r.parent), [(i, (r.parent_column,))], 0)
+              for i, r in enumerate(rules) if isinstance(r, ReferenceRule)]
+    used = reduce(DataFrame.unionByName, parts).groupBy("_rule", "_hash1", "_hash2").agg(
+        F.sum("_used").alias("_rows"), F.min("_used").alias("_orphan"))
     counts = []
     for i, rule in enumerate(rules):
         mine = F.col("_rule") == i
         total = (F.count_if(mine & (F.col("_rows") > 1)) if isinstance(rule, UniqueRule)
-                 else F.sum(F.when(mine & F.col("_found").isNull(), F.col("_rows"))))
+                 else F.sum(F.when(mine & (F.col("_orphan") == 1), F.col("_rows"))))
         counts.append(F.coalesce(total, F.lit(0)).cast("long").alias(f"_{i}"))
     results = F.array(*[F.struct(*_label(r), F.col(f"_{i}").alias(_COUNT))
                         for i, r in enumerate(rules)])

@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import DecimalType, DoubleType
 
 from carrymark.functions.dates import date_shift
-from carrymark.operators.snapshots import latest_positions
-from carrymark.plans import company, consumer, exposure, fund, portfolio
+from carrymark.operators.snapshots import SNAPSHOT_FACTS, latest_positions
+from carrymark.plans import company, consumer, core, exposure, fund, portfolio
 from carrymark.plans.registry import TABLES
 from carrymark.quality import checks, rules
 from carrymark.sources.catalog import Catalog
@@ -84,6 +84,13 @@ def _latest(catalog: Catalog) -> DataFrame:
           for c in ("principal_outstanding", "undrawn_commitment")])
 
 
+def _from_facts(name: str, catalog: Catalog) -> DataFrame:
+    """A mart that reads the three snapshot facts instead of the curated snapshots."""
+    for fact in SNAPSHOT_FACTS:
+        catalog.replace(fact, catalog.table(fact))
+    return catalog.table(name)
+
+
 BLOCKS: dict[str, Query] = {
     "instrument_valuations": fund.instrument_valuations,
     "portfolio_company_counts": fund.portfolio_company_counts,
@@ -105,6 +112,7 @@ BLOCKS: dict[str, Query] = {
     "deployed_base_valid_countries": partial(exposure.deployed_base, country_validity=True),
     "open_deal_base": exposure.open_deal_base,
     "actual_valuations": company.actual_valuations,
+    "expected_credit_instruments": partial(core.expected_credit_instruments, kind="CREDIT"),
     "staged_companies": _staged_companies,
     "shifted_dates": _shifted_dates,
     "nav_variance_breaches": lambda c: checks.failing_rows(c, rules.NAV_VARIANCE).select(
@@ -123,6 +131,8 @@ BLOCKS: dict[str, Query] = {
 
 MARTS: dict[str, Query] = {
     "fund_performance": partial(_table, "metrics_fund_performance"),
+    "fund_performance_from_facts": partial(_from_facts, "metrics_fund_performance"),
+    "position_performance_from_facts": partial(_from_facts, "metrics_position_performance"),
     "portfolio_overview": partial(_table, "metrics_portfolio_overview"),
     "portfolio_overview_quarter_end": partial(portfolio.portfolio_overview, flow_bucket="end"),
     "exposure_timeseries": partial(_table, "metrics_exposure_timeseries"),

@@ -1,3 +1,4 @@
+import random
 from decimal import Decimal
 
 import pytest
@@ -5,7 +6,9 @@ from pyspark.sql import functions as F
 
 from carrymark.functions.money import exact
 from carrymark.plans import exposure
-from conftest import day, records
+from carrymark.queries import all_queries
+from carrymark.sources.sample_inputs import sample_catalog
+from conftest import SMALL, day, records
 
 STAGES = [dict(stage_id=str(o), name=n, stage_order=o) for o, n in (
     (1, "Screening"), (2, "Diligence"), (3, "Committee"), (4, "Committed"))] + [
@@ -33,6 +36,49 @@ def test_deals_count_in_every_stage_they_reached(tables):
         ("Screening", july): 105, ("Diligence", july): 100, ("Committee", july): 100}
 
 
+def reached(stages, deals):
+    """Value by stage: every deal of an open stage, in each open stage of no higher order."""
+    order = {s["stage_id"]: s.get("stage_order") for s in stages
+             if s["name"] not in ("Committed", "Declined")}
+    out = {}
+    for d in deals:
+        own = order.get(d["stage_id"])
+        for stage, o in order.items():
+            if own is not None and o is not None and o <= own:
+                key = stage, d["close_date"][:7]
+                out[key] = out.get(key, 0) + d["amount"]
+    return out
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_tied_missing_and_sparse_orders_against_all_pairs(tables, seed):
+    rng = random.Random(seed)
+    orders = [None, 0, 1, 1, 2, 7, 7, 8, 64, 500, -3, -2147483648, 2147483647]
+    stages = [dict(stage_id=f"s{i}", name=f"Stage {i}", stage_order=o)
+              for i, o in enumerate(rng.sample(orders, 9))]
+    stages += [dict(stage_id="x", name="Committed", stage_order=5)]
+    deals = [deal(str(i), rng.choice(stages)["stage_id"], f"2020-{rng.choice((7, 8)):02d}-05", i)
+             for i in range(1, 40)]
+    catalog = tables(int_funds_unified=FUNDS, stg_crm__stages=stages,
+                     int_opportunities_curated=deals)
+    rows = exposure.open_deal_base(catalog).collect()
+    assert {(r.stage_id, str(r.close_month)[:7]): r.pipeline_value_usd for r in rows} == reached(
+        stages, deals)
+    last = exposure.exposure_timeseries(catalog).where("exposure_month = '2021-06-01'").collect()
+    total = {}
+    for (stage, _), value in reached(stages, deals).items():
+        total[stage] = total.get(stage, 0) + value
+    assert {r.stage_id: r.closed_pipeline_usd for r in last} == total
+
+
+@pytest.mark.parametrize("name", ["open_deal_base", "exposure_timeseries", "x01_exposure_by_region",
+                                  "x02_exposure_by_industry", "x03_exposure_drill_down"])
+def test_stages_are_not_ordered_in_one_task(spark, name):
+    query = all_queries()[name](sample_catalog(spark, SMALL))
+    plan = query._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan and "collect_list" not in plan
+
+
 def test_early_closings_join_the_first_month_and_late_ones_never_count(tables):
     catalog = tables(
         as_of="2020-06-15", int_funds_unified=FUNDS, stg_crm__stages=STAGES[:1],

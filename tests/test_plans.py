@@ -1,12 +1,14 @@
 """Physical plans: what must not and what must be in them."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
 from carrymark.plans import fund
 from carrymark.plans.cashflows import returns_cashflows
 from carrymark.plans.registry import TABLES
-from carrymark.queries import BLOCKS
+from carrymark.queries import BLOCKS, QUESTIONS
 from carrymark.sources.catalog import Catalog
 from carrymark.sources.sample_inputs import sample_catalog
 from conftest import SMALL, frame
@@ -115,3 +117,17 @@ def test_a_hot_instrument_is_split_at_run_time(spark, no_broadcast):
     finally:
         for key in settings:
             spark.conf.unset(key)
+
+
+@pytest.mark.parametrize("name, mart", [
+    ("x13_latest_fund_performance", "metrics_fund_performance"),
+    ("x15_latest_company_performance", "metrics_company_performance"),
+    ("x17_latest_portfolio", "metrics_portfolio_overview")])
+def test_newest_period_scans_facts_as_often_as_the_mart(spark, name, mart):
+    def scans(df):
+        df.collect()
+        plan = plan_of(df).split("== Initial Plan ==")[0]
+        return sorted(re.findall(r"FileScan parquet.*?/(\w+)\.parquet", plan))
+
+    assert scans(QUESTIONS[name](sample_catalog(spark, SMALL))) == scans(
+        sample_catalog(spark, SMALL).table(mart).repartition(3, F.col("period_end_date")))

@@ -143,6 +143,8 @@ def _blocks() -> dict[str, str]:
             "select company_id, period_end_date, arg_min(amount, company_valuation_id) "
             "enterprise_value from fct_company_valuations where valuation_type = 'ACTUAL' "
             "group by all", "enterprise_value"),
+        "expected_credit_instruments": shown(
+            "select instrument_id from dim_instruments where instrument_type = 'CREDIT'"),
         "staged_companies": shown(
             "select s_suppkey company_id, trim('  ' || s_name || ' ') company_name, "
             "'N' || s_nationkey country, s_acctbal bal, 'CRM_VENDOR' source_system, "
@@ -160,6 +162,10 @@ def _blocks() -> dict[str, str]:
 def _marts() -> dict[str, str]:
     return {
         "fund_performance": rows_of("metrics_fund_performance", _FUND_NUMBERS),
+        # The text joins the three facts in either case.
+        "fund_performance_from_facts": rows_of("metrics_fund_performance", _FUND_NUMBERS),
+        "position_performance_from_facts": rows_of(
+            "metrics_position_performance", _POSITION_NUMBERS),
         "portfolio_overview": rows_of(
             "metrics_portfolio_overview", _OVERVIEW_NUMBERS, _OVERVIEW_COUNTS),
         "portfolio_overview_quarter_end": rows_of(

@@ -361,15 +361,14 @@ BLOCKS = {
                month(exposure_month) exposure_month_num, fund_id, fund_name, instrument_type,
                region, country_code, country_name, industry_id, industry_name, maturity_year,
                security_rank, null stage_id, null stage_name,
-               cast(deployed_capital_usd as double) deployed_capital_usd,
-               0::double closed_pipeline_usd,
-               cast(deployed_capital_usd as double) total_exposure_usd,
+               deployed_capital_usd, 0 closed_pipeline_usd,
+               deployed_capital_usd total_exposure_usd,
                if(exposure_month = {FIRST}, 'Current', 'Forecast') period_type, as_of_date
         from deployed_base, months
         union all
         select exposure_month, year(exposure_month), month(exposure_month), fund_id, fund_name,
                null, region, country_code, country_name, industry_id, industry_name, null, null,
-               stage_id, stage_name, 0, cast(closed as double), cast(closed as double),
+               stage_id, stage_name, 0, closed, closed,
                if(exposure_month = {FIRST}, 'Current', 'Forecast'), null
         from deal_months""",
 
