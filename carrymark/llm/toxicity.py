@@ -1,14 +1,16 @@
 """Operator 3: toxicity by gradient-boosted trees over dense features.
 
-The lexicon is learned: words and word beginnings whose document frequency among
-toxic training texts is well above that among clean ones. Texts become a dozen densities and rates;
-boosted trees are fitted on most training texts and calibrated by isotonic
-regression on the others. Training uses a bounded sample of labelled rows; scoring
-is row by row.
+The lexicon is learned: words and word beginnings that toxic training texts hold several
+times as often as clean ones. Texts become a dozen densities and rates; boosted trees are
+fitted on them and calibrated by isotonic regression. The lexicon, the trees and
+the calibration each learn from texts of their own, so all of them see features of one
+definition, that of a text which the lexicon was not learned from. Training uses a bounded
+sample of labelled rows in which near copies count once; scoring is row by row.
 """
 
 from __future__ import annotations
 
+import heapq
 import re
 import uuid
 from collections.abc import Iterator
@@ -16,6 +18,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
@@ -39,22 +42,31 @@ DISGUISED = re.compile(r"[^\W\d_]+(?:[013457@$!*]+[^\W\d_]+)+")
 SHOUTS = re.compile(r"[!?]{2,}")
 NEAR = 5
 #: Beginnings of longer words of these lengths are lexicon entries too.
-STEMS = (5, 7)
+STEMS = (4, 5, 7)
 FEATURES = 13
 
 
 @dataclass(frozen=True)
 class Training:
-    max_rows: int = 20_000      # labelled texts that are used
-    max_words: int = 4_000      # entries of the lexicon
-    strong: float = 3.5         # z of the difference in log frequency
-    weak: float = 2.0
-    min_toxic: int = 2          # toxic texts an entry must be in
+    """An entry's effect is the log of its share of toxic over its share of clean texts, less
+    ``doubt`` standard errors. Limits are on the effect, so they do not depend on the number
+    of texts, and every entry that reaches them is used."""
+
+    max_rows: int = 10_000      # labelled texts of each label that are used
+    strong: float = 2.0         # effect, for words that are at least 7 times as frequent
+    weak: float = 0.9
+    doubt: float = 2.0
+    min_toxic: int = 4          # toxic texts that an entry must be in,
+    min_share: float = 0.002    # and share of them
     trees: int = 20
     depth: int = 3
     step: float = 0.3
 
 
+#: Of 20 parts of the training texts: those of the lexicon, the trees, the calibration.
+PARTS, LEXICON_PARTS, TREE_PARTS = 20, 12, 17
+
+
 @dataclass(frozen=True)
 class Lexicon:
     strong: frozenset
@@ -149,69 +161,66 @@ def _column(lexicon: Lexicon, spark):
     return run
 
 
+def sketch(text: str) -> int:
+    """The same for near copies mostly: the two smallest hashes of the text's 5-word shingles."""
+    words = text.lower().split()
+    shingles = {" ".join(words[i:i + 5]) for i in range(max(len(words) - 4, 1))}
+    least = heapq.nsmallest(2, map(xxhash.xxh64_intdigest, shingles))
+    return xxhash.xxh64_intdigest(repr(least)) >> 1
+
+
 def sample(docs: DataFrame, labels: DataFrame, training: Training) -> DataFrame:
-    """Training texts (text, toxic, part): about ``max_rows`` at most, by a hash of doc_id,
-    equal texts once.
+    """Training texts (text, toxic, weight, part): about ``max_rows`` of each label at most, by
+    a hash of doc_id; near copies with one label once.
 
     The sampled ids are few, so that they are broadcast and no text is moved. Labels
-    that are null are left out; a doc_id that is labelled twice is toxic if once.
+    that are null are left out; a doc_id that is labelled twice is toxic if once. A row's
+    weight is the number of labelled texts that it stands for. Near copies share a part,
+    so none is on both sides of what is learned and what it is tried on.
     """
-    ids = (labels.filter("doc_id is not null and toxic is not null").groupBy("doc_id")
-           .agg(F.max("toxic").alias("toxic")))
-    ids = bounded_sample(stored(ids, "labels"), training.max_rows, "doc_id")
+    ids = stored(labels.filter("doc_id is not null and toxic is not null").groupBy("doc_id")
+                 .agg(F.max("toxic").cast("int").alias("toxic")), "labels")
+    parts = []
+    for toxic in (0, 1):
+        mine = ids.filter(F.col("toxic") == toxic)
+        some = stored(bounded_sample(mine, training.max_rows, "doc_id"), "sampled")
+        share = mine.count() / max(some.count(), 1)
+        parts.append(some.withColumn("weight", F.lit(float(share))))
+    sketches = arrow_udf(lambda column: pa.array(map(sketch, texts(column)), pa.int64()), "bigint")
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(
-        F.broadcast(ids), "doc_id")
-    rows = rows.groupBy(F.xxhash64("text").alias("key")).agg(
-        F.first("text").alias("text"), F.max("toxic").cast("int").alias("toxic"))
-    return stored(rows.select("text", "toxic", F.pmod("key", F.lit(4)).cast("int").alias("part")),
-                  "labelled")
-
+        F.broadcast(parts[0].unionByName(parts[1])), "doc_id")
+    rows = stored(rows.select("text", "toxic", "weight", sketches("text").alias("key")), "drawn")
+    rows = rows.groupBy("key", "toxic").agg(F.min("text").alias("text"),
+                                            F.first("weight").alias("weight"))
+    return stored(rows.select("text", "toxic", "weight", F.pmod(
+        F.xxhash64("key"), F.lit(PARTS)).cast("int").alias("part")), "labelled")
 
-def lexicons(rows: DataFrame, training: Training) -> tuple[Lexicon, list[Lexicon]]:
-    """The lexicon of all ``rows``, and for each half that of the other half.
 
-    Trees are fitted on texts whose own words were not used for their lexicon.
-    """
+def lexicon_of(rows: DataFrame, training: Training) -> Lexicon:
+    """The entries whose share of toxic texts is well above that of clean ones."""
     def distinct_entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for text, toxic, part in zip(texts(batch.column("text")),
-                                         batch.column("toxic").to_pylist(),
-                                         batch.column("part").to_pylist(), strict=True):
+            for text, toxic in zip(texts(batch.column("text")),
+                                   batch.column("toxic").to_pylist(), strict=True):
                 words = list({e for w in set(WORD.findall((text or "").lower()))
                               for e in entries(w)})
                 for a in range(0, len(words), 10_000):
                     some = words[a:a + 10_000]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(some, pa.string()), pa.array([toxic] * len(some), pa.int32()),
-                         pa.array([part % 2] * len(some), pa.int32())],
-                        names=["word", "toxic", "half"])
-
-    sums = [F.sum(F.when((F.col("toxic") == t) & (F.col("half") == h), 1).otherwise(0))
-            .alias(f"n{t}{h}") for t in (0, 1) for h in (0, 1)]
-    total = rows.withColumn("half", F.col("part") % 2).agg(*sums).first()
-    counts = rows.mapInArrow(distinct_entries, "word string, toxic int, half int").groupBy(
-        "word").agg(*sums)
-
-    def z(halves: tuple[int, ...]):
-        def log_share(t: int):
-            n = sum(F.col(f"n{t}{h}") for h in halves)
-            return F.log((n + 0.5) / (sum(total[f"n{t}{h}"] or 0 for h in halves) + 1)), n
-        (toxic, a), (clean, b) = log_share(1), log_share(0)
-        score = (toxic - clean) / F.sqrt(1 / (a + 0.5) + 1 / (b + 0.5))
-        return F.when(a >= training.min_toxic, score).otherwise(-9.0)
-
-    scores = {"both": z((0, 1)), "other0": z((1,)), "other1": z((0,))}
-    found = counts.select("word", *(c.alias(k) for k, c in scores.items())).withColumn(
-        "most", F.greatest(*scores)).filter(F.col("most") >= training.weak).orderBy(
-        F.desc("most"), "word").limit(3 * training.max_words).collect()
-
-    def lexicon(key: str) -> Lexicon:
-        best = sorted((r for r in found if r[key] >= training.weak),
-                      key=lambda r: (-r[key], r.word))[:training.max_words]
-        return Lexicon(frozenset(r.word for r in best if r[key] >= training.strong),
-                       frozenset(r.word for r in best if r[key] < training.strong))
-
-    return lexicon("both"), [lexicon("other0"), lexicon("other1")]
+                        [pa.array(some, pa.string()), pa.array([toxic] * len(some), pa.int32())],
+                        names=["word", "toxic"])
+
+    sums = [F.sum(F.when(F.col("toxic") == t, 1).otherwise(0)).alias(f"n{t}") for t in (0, 1)]
+    total = rows.agg(*sums).first()
+    counts = rows.mapInArrow(distinct_entries, "word string, toxic int").groupBy("word").agg(*sums)
+    toxic, clean = F.col("n1") + 0.5, F.col("n0") + 0.5
+    effect = (F.log(toxic / ((total.n1 or 0) + 1)) - F.log(clean / ((total.n0 or 0) + 1))
+              - training.doubt * F.sqrt(1 / toxic + 1 / clean))
+    least = max(training.min_toxic, training.min_share * (total.n1 or 0))
+    found = counts.select("word", effect.alias("effect"), "n1").filter(
+        (F.col("n1") >= least) & (F.col("effect") >= training.weak)).collect()
+    return Lexicon(frozenset(r.word for r in found if r.effect >= training.strong),
+                   frozenset(r.word for r in found if r.effect < training.strong))
 
 
 @dataclass(frozen=True)
@@ -232,23 +241,26 @@ def learn(docs: DataFrame, labels: DataFrame, training: Training = Training()) -
     if len(seen) < 2:
         nothing = Lexicon(frozenset(), frozenset())
         return Model(nothing, None, None, float(max(seen, default=0)))
-    spark = docs.sparkSession
-    lexicon, others = lexicons(rows, training)
-    half = [_column(x, spark) for x in others]
-    rows = rows.select("toxic", "part", F.when(F.col("part") % 2 == 0, half[0]("text"))
-                       .otherwise(half[1]("text")).alias("values"))
-    rows = stored(rows.select("toxic", "part", "values"), "features").withColumn(
-        "features", array_to_vector("values"))
+    part = F.col("part")
+    lexicon = lexicon_of(rows.filter(part < LEXICON_PARTS), training)
+    rows = stored(rows.filter(part >= LEXICON_PARTS).select(
+        "toxic", "weight", "part", _column(lexicon, docs.sparkSession)("text").alias("values")),
+        "features").withColumn("features", array_to_vector("values"))
+    fitted = rows.filter(part < TREE_PARTS)
+    if fitted.select("toxic").distinct().count() < 2:
+        fitted = rows        # too few texts to leave some out
+    if rows.select("toxic").distinct().count() < 2:
+        return Model(lexicon, None, None, float(seen == {1}))
     trees = GBTClassifier(
-        labelCol="toxic", maxIter=training.trees, maxDepth=training.depth,
+        labelCol="toxic", weightCol="weight", maxIter=training.trees, maxDepth=training.depth,
         stepSize=training.step, minInstancesPerNode=5, seed=1).fit(
-        rows.filter("part < 3").select("toxic", "features"))
-    raw = trees.transform(rows.filter("part = 3")).select(
-        F.col("toxic").cast("double").alias("label"),
+        fitted.select("toxic", "weight", "features"))
+    raw = trees.transform(rows.filter(part >= TREE_PARTS)).select(
+        F.col("toxic").cast("double").alias("label"), "weight",
         vector_to_array("probability")[1].alias("features"))
     if raw.isEmpty():
         return Model(lexicon, trees, None)
-    return Model(lexicon, trees, IsotonicRegression().fit(raw))
+    return Model(lexicon, trees, IsotonicRegression(weightCol="weight").fit(raw))
 
 
 def score(docs: DataFrame, model: Model, column: str = "score") -> DataFrame:
