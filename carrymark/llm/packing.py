@@ -39,11 +39,11 @@ def cut(docs: DataFrame, tokenizer: str = BYTE_BPE, capacity: int = CAPACITY,
     end = end_id.to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer).encode
+        encode = encoder(tokenizer).encode_all
         for batch in batches:
             rows, piece, start, length, crc, ids = [], [], [], [], [], []
-            for row, text in enumerate(texts(batch.column("text"))):
-                data = encode(text) + end
+            for row, data in enumerate(encode(texts(batch.column("text")))):
+                data += end
                 n, at, k = len(data) // 4, 0, 0
                 stop = n % capacity or min(n, capacity)
                 while at < n:
