@@ -97,13 +97,15 @@ def repeated_lines(text: Column) -> Column:
 def measured(docs: DataFrame) -> DataFrame:
     """``docs`` with words_, the contract's counts and the character class counts_."""
     docs = docs.withColumn("text", F.coalesce("text", F.lit("")))
-    docs = docs.withColumn("words_", words(F.col("text")))
+    # Small letters and white space are in no class; what is left is short.
+    docs = docs.withColumns({"words_": words(F.col("text")),
+                             "rest_": F.regexp_replace("text", r"[\p{Ll}\s]+", "")})
     docs = docs.withColumns({
         "n_words": F.size("words_").cast("long"),
         "word_chars": F.char_length(F.array_join("words_", "")).cast("long"),
-        "n_symbols": without(F.col("text"), SYMBOLS).cast("long"),
+        "n_symbols": without(F.col("rest_"), SYMBOLS).cast("long"),
     })
-    counted = [without(F.col("text"), p).cast("long") for p in CLASSES.values()]
+    counted = [without(F.col("rest_"), p).cast("long") for p in CLASSES.values()]
     return docs.withColumn("counts_", F.array(
         F.char_length("text") - F.col("word_chars"), F.col("n_symbols"), *counted))
 
