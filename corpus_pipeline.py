@@ -20,13 +20,15 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def _rows(docs: DataFrame, name: str) -> DataFrame:
-    """Numbered documents, all their columns in ``doc`` beside doc_id and text."""
-    return numbered(docs.select("doc_id", "text", F.struct(*docs.columns).alias("doc")), name)
+    """Numbered documents: doc_id, text and, in ``rest``, their other columns."""
+    rest = F.struct(*[c for c in docs.columns if c != "text"]).alias("rest")
+    return numbered(docs.select("text", rest), name).withColumn("doc_id", F.col("rest.doc_id"))
 
 
-def _those(rows: DataFrame, kept: DataFrame) -> DataFrame:
-    """The documents whose number is among the ``kept`` ones."""
-    return rows.join(kept.select("row_"), "row_", "left_semi").select("doc.*")
+def _those(docs: DataFrame, rows: DataFrame, kept: DataFrame) -> DataFrame:
+    """The documents whose number is among the ``kept`` ones, with the columns of ``docs``."""
+    return rows.join(kept.select("row_"), "row_", "left_semi").select(
+        *[F.col("text" if c == "text" else f"rest.`{c}`").alias(c) for c in docs.columns])
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,20 +40,27 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts (A-Z lower-cased, null as empty) the one with the largest doc_id."""
+    """Of equal texts (A-Z lower-cased, null as empty) the one with the largest doc_id.
+
+    Of repeated rows one stays; a null doc_id is the smallest.
+    """
     rows = _rows(docs, "exact-rows")
     marked = stored(rows.select("row_", "doc_id", exact.text_digest(F.col("text"))
                                 .alias("digest")), "digests")
     found = exact.deduplicate(marked, exact.DigestIndex(spark))
-    return _those(rows, found.filter("kept"))
+    return _those(docs, rows, found.filter("kept"))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document with the smallest doc_id."""
+    """Of each group of near-duplicates the document with the smallest doc_id.
+
+    Texts without a word, null ones among them, are one group; of repeated rows one
+    stays, and a document without an id only where its group has no other.
+    """
     rows = _rows(docs, "near-rows")
     found = simhash.near_duplicates(rows.select("row_", "doc_id", "text"))
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row_"))
-    return _those(rows, found.groupBy("root").agg(first.alias("first")).select("first.row_"))
+    return _those(docs, rows, found.groupBy("root").agg(first.alias("first")).select("first.row_"))
 
 
 def redact_personal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -64,7 +73,10 @@ def redact_personal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token pieces of all documents, each with its sequence and its place in it."""
+    """Token pieces of all documents, each with its sequence and its place in it.
+
+    A null or empty text is its end id alone; repeated rows have pieces each.
+    """
     return packing.op5_best_fit_packing(docs)
 
 
