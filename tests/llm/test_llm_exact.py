@@ -1,6 +1,7 @@
 import hashlib
 from collections import Counter
 
+import pytest
 from carrymark.llm.exact import DigestIndex, deduplicate, digests, op8_exact_dedup
 from messy import ROWS, empty, messy
 
@@ -37,6 +38,51 @@ def test_later_batches_meet_the_index_of_earlier_sessions(spark):
     assert again.read().count() == 3
 
 
+def test_another_number_of_buckets_is_refused(spark):
+    docs = spark.range(400).selectExpr("id as doc_id", "cast(id as string) as text")
+    index = DigestIndex(spark, buckets=16)
+    deduplicate(digests(docs), index)
+    with pytest.raises(ValueError, match="16 buckets"):
+        DigestIndex(spark, path=index.path, buckets=4)
+    again = DigestIndex(spark, path=index.path)
+    assert again.buckets == 16
+    assert deduplicate(digests(docs), again).filter("kept").count() == 0
+    assert again.read().count() == 400
+
+
+def test_a_batch_can_be_given_again(spark):
+    docs = spark.range(400).selectExpr("id as doc_id", "cast(id % 300 as string) as text")
+    index = DigestIndex(spark, buckets=4)
+
+    def kept(name):
+        found = deduplicate(digests(docs.repartition(3)), index, name).filter("kept")
+        return sorted(r.doc_id for r in found.collect())
+
+    first = kept("monday")
+    assert len(first) == 300 and kept("monday") == first
+    assert kept("tuesday") == [] and kept("monday") == first
+    assert index.read().count() == 300
+
+
+def test_an_append_that_broke_off_is_completed(spark):
+    docs = spark.range(100).selectExpr("id as doc_id", "cast(id as string) as text")
+    index, rows = DigestIndex(spark, buckets=4), digests(docs)
+    index.append(rows.filter("doc_id < 40").selectExpr("digest", "doc_id as keep_id",
+                                                       "'monday' as batch"))
+    assert deduplicate(rows, index, "monday").filter("kept").count() == 100
+    assert index.read().count() == 100
+
+
+def test_table_names_do_not_pile_up(spark):
+    before = len(spark.catalog.listTables())
+    index = DigestIndex(spark, buckets=2)
+    DigestIndex(spark, path=index.path)
+    assert len(spark.catalog.listTables()) == before + 1
+    index.forget()
+    op8_exact_dedup(messy(spark), buckets=2).count()
+    assert len(spark.catalog.listTables()) == before
+
+
 def test_index_side_is_not_shuffled(spark):
     index = DigestIndex(spark, buckets=4)
     groups = spark.range(10).selectExpr("unhex(sha2(cast(id as string), 256)) as digest")
