@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from carrymark.llm.common import stored
+from carrymark.llm.common import join_groups, stored
 
 
 def _downward(edges: DataFrame) -> DataFrame:
@@ -14,18 +14,20 @@ def _downward(edges: DataFrame) -> DataFrame:
         F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _large_star(edges: DataFrame, total: int) -> DataFrame:
     """Link each node's larger neighbours to the smallest of its neighbourhood."""
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-    return _downward(both.filter("v > u").join(least, "u").select(
+    least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"),
+                                  F.count_if(F.col("v") > F.col("u")).alias("size"))
+    return _downward(join_groups(both.filter("v > u"), least, "u", "size", total).select(
         F.col("v").alias("u"), F.col("m").alias("v")))
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, total: int) -> DataFrame:
     """Link each node and its smaller neighbours to the smallest of them."""
-    least = edges.groupBy("u").agg(F.min("v").alias("m"))
-    return _downward(edges.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    least = edges.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("size"))
+    return _downward(join_groups(edges, least, "u", "size", total)
+                     .select(F.col("v").alias("u"), F.col("m").alias("v"))
                      .unionByName(least.select("u", F.col("m").alias("v"))))
 
 
@@ -33,7 +35,8 @@ def components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of ``edges`` (u, v); the root is the smallest node.
 
     Ends when every edge leads to a root, which the star operations reach after
-    about log(n) rounds; each round is stored. No edges give no rows.
+    about log(n) rounds; each round is stored. A hub's edges stay where they are and
+    its smallest neighbour is sent to them. No edges give no rows.
     """
     edges, seen = stored(_downward(edges), "edges"), None
     while True:
@@ -41,6 +44,7 @@ def components(edges: DataFrame) -> DataFrame:
         if state == seen:
             break
         seen = state
-        edges = stored(_small_star(_large_star(edges)), "edges")
+        larger = stored(_large_star(edges, state[0]), "edges")
+        edges = stored(_small_star(larger, larger.count()), "edges")
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
         edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())

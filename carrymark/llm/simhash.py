@@ -199,10 +199,13 @@ def near_duplicates(docs: DataFrame, words: int = 3, radius: int = 3,
     classes = stored(marked.groupBy("fp").agg(F.min("doc_id").alias("first_id"),
                                               F.count("*").alias("copies")), "classes")
     roots = components(link(classes.select("fp"), radius, max_shard=max_shard))
-    classes = classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
-        "root", F.coalesce("root", "fp"))
-    first = classes.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    named = classes.join(first, "root").select("fp", "copies", "root", "component_id")
+    classes = stored(classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
+        "root", F.coalesce("root", "fp")), "rooted-classes")
+    first = classes.groupBy("root").agg(F.min("first_id").alias("component_id"),
+                                        F.count("*").alias("members"))
+    # A component may hold any share of the fingerprints: its name is sent to them.
+    named = join_groups(classes, first, "root", "members", classes.count()).select(
+        "fp", "copies", "root", "component_id")
     return join_groups(marked, named, "fp", "copies", marked.count()).drop("copies")
 
 

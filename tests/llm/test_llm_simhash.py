@@ -5,11 +5,12 @@ import pytest
 import xxhash
 from carrymark.llm import simhash
 from carrymark.llm.bktree import links
-from carrymark.llm.common import stored
+from carrymark.llm.common import join_groups, stored
 from carrymark.llm.components import components
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from messy import ROWS, empty, messy
+from pyspark.sql import functions as F
 
 
 def plain_fingerprint(text, words=3):
@@ -108,6 +109,24 @@ def test_components_against_search(spark):
     assert components(spark.createDataFrame([], "u long, v long")).count() == 0
 
 
+def test_a_hub_is_not_gathered_in_one_task(spark):
+    edges = stored(spark.range(0, 40_000, 1, 8).selectExpr("id + 1 as u", "0L as v"), "star")
+    rows = components(edges)
+    assert rows.count() == 40_001 and rows.filter("root <> 0").isEmpty()
+    # Each end of an edge meets what is known of the hub where it lies.
+    ends = edges.selectExpr("v as hub", "u as node")
+    hubs = ends.groupBy("hub").agg(F.min("node").alias("least"), F.count("*").alias("size"))
+    old = spark.conf.get("spark.sql.adaptive.skewJoin.enabled")
+    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "false")
+    try:
+        joined = join_groups(ends, hubs, "hub", "size", 40_000).select(
+            F.spark_partition_id().alias("task"))
+        tasks = sorted(r["count"] for r in joined.groupBy("task").count().collect())
+    finally:
+        spark.conf.set("spark.sql.adaptive.skewJoin.enabled", old)
+    assert sum(tasks) == 40_000 and tasks[-1] <= 3 * tasks[len(tasks) // 2]
+
+
 def test_documents_of_every_kind(spark):
     rows = simhash.near_duplicates(messy(spark)).collect()
     assert sorted((r.doc_id or 0, r.fp & (1 << 64) - 1) for r in rows) == sorted(
