@@ -241,7 +241,8 @@ def read(files: TokenFiles, keys: DataFrame) -> DataFrame:
                         names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
     routed = keys.select("doc_id").mapInArrow(route, "shard int, doc_id long")
-    routed = routed.repartition("shard").sortWithinPartitions("shard", "doc_id")
+    # The shuffle holds keys only, but a task reads its shards: as many tasks as shards.
+    routed = routed.repartition(max(len(shards), 1), "shard").sortWithinPartitions("shard", "doc_id")
     return routed.mapInArrow(fetch, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
