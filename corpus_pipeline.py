@@ -47,7 +47,9 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     rows = _rows(docs, "exact-rows")
     marked = stored(rows.select("row_", "doc_id", exact.text_digest(F.col("text"))
                                 .alias("digest")), "digests")
-    found = exact.deduplicate(marked, exact.DigestIndex(spark))
+    index = exact.DigestIndex(spark)
+    found = exact.deduplicate(marked, index)
+    index.forget()
     return _those(docs, rows, found.filter("kept"))
 
 
