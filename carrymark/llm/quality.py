@@ -9,7 +9,7 @@ Only built-in functions run, each document in its own row.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -150,26 +150,27 @@ def common_words(docs: DataFrame, limits: Limits) -> DataFrame:
         F.struct("word", "count"))).alias("top"))
 
 
-def references(docs: DataFrame, limits: Limits) -> DataFrame:
-    """One row per language: shares of character classes, common words and their shares.
+def word_references(docs: DataFrame, limits: Limits) -> DataFrame:
+    """One row per language that has common words: these and their shares.
 
     Learned from every document of the language; documents without a language form
     one of their own.
     """
     docs = docs.select(F.coalesce("lang", F.lit("")).alias("lang"), "text")
-    size = len(CLASSES) + 2
-    classes = measured(docs).select(
-        "lang", F.char_length("text").alias("n"), *(F.col("counts_")[i].alias(f"c{i}")
-                                                    for i in range(size)))
-    classes = classes.groupBy("lang").agg(
-        F.sum("n").alias("n"), *(F.sum(f"c{i}").alias(f"c{i}") for i in range(size)))
-    classes = classes.select("lang", _with_rest(
-        F.array(*(f"c{i}" for i in range(size))), F.col("n")).alias("class_shares"))
-    lists = common_words(docs, limits).select(
-        "lang", F.transform("top", lambda t: t["word"]).alias("common"),
+    return stored(common_words(docs, limits).select(
+        F.col("lang").alias("lang_"), F.transform("top", lambda t: t["word"]).alias("common_"),
         _with_rest(F.transform("top", lambda t: t["count"]), F.col("total"))
-        .alias("word_shares"))
-    return stored(classes.join(lists, "lang", "left"), "references")
+        .alias("word_shares_")), "word-references")
+
+
+def class_references(marks: DataFrame) -> DataFrame:
+    """One row per language: the shares of character classes in all its documents."""
+    size = len(CLASSES) + 2
+    sums = marks.groupBy("lang_").agg(F.sum("n_chars_").alias("n"), *(
+        F.sum(F.col("counts_")[i]).alias(f"c{i}") for i in range(size)))
+    return stored(sums.select("lang_", _with_rest(
+        F.array(*(f"c{i}" for i in range(size))), F.col("n")).alias("class_shares_")),
+        "class-references")
 
 
 def common_counts(tokens: Column, common: Column) -> Column:
@@ -193,25 +194,36 @@ def common_counts(tokens: Column, common: Column) -> Column:
     return let(present, count)
 
 
-def quality(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
+def quality(docs: DataFrame, limits: Limits = Limits(),
+            carry: Sequence[str] | None = None) -> DataFrame:
     """``docs`` with the counts, the distances, ``base_failed`` and ``kept``.
 
-    ``docs`` needs text and lang; its other columns stay, but for those of the
-    result's own names. A null text has no words, so it fails the base rules; a null
-    lang is a language of its own; an empty table gives no rows.
+    ``docs`` needs text and lang; its columns stay, or those that ``carry`` names, but
+    for those of the result's own names. A null text has no words, so it fails the base
+    rules; a null lang is a language of its own; an empty table gives no rows.
+
+    Each text is measured once; what was counted is stored, and its sums are the
+    reference that it is then held against.
     """
-    marks = measured(docs.select(F.struct(*docs.columns).alias("doc"), "text",
-                                 F.coalesce("lang", F.lit("")).alias("lang_")))
-    marks = marks.withColumns({"n_dup_lines": repeated_lines(F.col("text")),
+    names = [c for c in (docs.columns if carry is None else carry) if c not in RESULT]
+    marks = measured(docs.select(
+        F.struct(F.lit(None).cast("int").alias("none_"), *names).alias("doc_"), "text",
+        F.coalesce("lang", F.lit("")).alias("lang_")))
+    marks = marks.withColumns({"n_chars_": F.char_length("text").cast("long"),
+                               "n_dup_lines": repeated_lines(F.col("text")),
                                "n_repeat_words": repeated_window_words(F.col("words_"))})
     # One small row for each language; Spark measures it before it broadcasts.
-    marks = marks.join(references(docs, limits).withColumnRenamed("lang", "lang_"), "lang_")
-    chars = F.when(F.char_length("text") > 0, distance(_with_rest(
-        F.col("counts_"), F.char_length("text").cast("long")), F.col("class_shares")))
-    counted = let(F.struct("words_", "common", "n_words", "word_shares"), lambda s: distance(
-        _with_rest(common_counts(s["words_"], s["common"]), s["n_words"]), s["word_shares"]))
+    marks = marks.join(word_references(docs, limits), "lang_", "left")
+    counted = let(F.struct("words_", "common_", "n_words", "word_shares_"), lambda s: distance(
+        _with_rest(common_counts(s["words_"], s["common_"]), s["n_words"]), s["word_shares_"]))
+    marks = stored(marks.select(
+        "doc_", "lang_", "n_chars_", "counts_", "n_words", "word_chars", "n_symbols",
+        "n_dup_lines", "n_repeat_words",
+        F.when(F.col("n_words") > 0, counted).alias("word_distance")), "quality-marks")
+    marks = marks.join(class_references(marks), "lang_")
     marks = marks.withColumns({
-        "char_distance": chars, "word_distance": F.when(F.col("n_words") > 0, counted),
+        "char_distance": F.when(F.col("n_chars_") > 0, distance(
+            _with_rest(F.col("counts_"), F.col("n_chars_")), F.col("class_shares_"))),
         "base_failed": (F.col("n_words") < limits.min_words)
         | (100 * F.col("n_repeat_words") > limits.max_repeat_percent * F.col("n_words"))})
     # A language of rare words alone has no reference to be far from.
@@ -219,12 +231,11 @@ def quality(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
         F.coalesce(F.col("word_distance") <= limits.max_word_distance, F.lit(True)))
     marks = marks.withColumn("kept", ~F.col("base_failed") & (
         (F.col("n_words") < limits.guard_words) | near))
-    return marks.select(*(F.col("doc")[c].alias(c) for c in docs.columns if c not in RESULT),
-                        *RESULT)
+    return marks.select(*(F.col("doc_")[c].alias(c) for c in names), *RESULT)
 
 
 def op4_quality_rules(docs: DataFrame) -> DataFrame:
-    return quality(docs.select("doc_id", "text", "lang")).select(
+    return quality(docs, carry=["doc_id"]).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "base_failed", "kept", F.round("char_distance", 6).alias("char_distance"),
         F.round("word_distance", 6).alias("word_distance"))
