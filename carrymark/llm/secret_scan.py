@@ -31,11 +31,12 @@ BARE = (f"(?<={ASSIGN})(?<={NAMED})" + r"(?![A-Za-z]+://)[^\s\"'`,;&<>(){}\[\]=]
 #: '=' ends a run, so that a name before it stays outside, unless it is padding at the end.
 CANDIDATE = f"(?:{QUOTED}|{BARE}|(?<!{RUN}){RUN}{{14,}}+(?:={{1,2}}+(?!{RUN}|=))?)"
 BEFORE, AFTER = 60, 20
-# Words that name a secret, and words that name something else.
-SECRET_WORDS = ("(?i)(api|auth|access|private|client|secret|token|key|passw(or)?d|pwd|credential|"
-                "bearer|signature)")
-OTHER_WORDS = ("(?i)(sha|md5|hash|digest|commit|checksum|uuid|guid|id|version|build|isbn|phone|card|"
-               "call|order|image|url|href|src)$")
+# Words that name a secret, and words that name something else. A name is
+# taken apart at separators and changes of case first, so that "monkey" is not a key.
+SECRET_WORDS = (r"\b((api|auth|access|secret|private|client|session|refresh)?(key|token|secret)|pwd|"
+                r"credential|auth|bearer|signature)s?[0-9]*\b|passw(or)?d[0-9]*\b|passphrase\b")
+OTHER_WORDS = (r"\b(sha|md5|hash|digest|commit|checksum|uuid|guid|id|version|build|isbn|phone|card|"
+               r"call|order|image|url|href|src)[0-9]*$")
 #: Providers' formats, which decide by themselves.
 KNOWN_SECRET = (r"(?<![A-Za-z0-9])(AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|"
                 r"sk_live_[0-9a-zA-Z]{24,}|xox[abpr]-[0-9A-Za-z-]{10,}|AIza[0-9A-Za-z_-]{35})"
@@ -48,7 +49,11 @@ UUID = "(?i)^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$"
 FILE_END = (r"(?i)^\.(html?|php|js|css|json|xml|txt|md|pdf|png|jpe?g|gif|svg|zip|gz|py|java|csv|"
             r"parquet)\b")
 ADDRESS = r"(?i)(https?:|www\.)[^\s?#\"'<>]*$"
-PASSWORD_NAME = "(?i)(passw(or)?d|pwd)[0-9_]*$"
+PASSWORD_NAME = r"(passw(or)?d|pwd|passphrase)[0-9 ]*$"
+#: Plain words and numbers between separators, whatever they are assigned to.
+WORDY = ("^(?:[A-Z]?[a-z]+|[A-Z]+|[0-9]+)(?:[-_/.:]+(?:[A-Z]?[a-z]+|[A-Z]+|[0-9]+))*$")
+#: Pieces of letters and digits together.
+MIXED_PIECE = ("(?<![A-Za-z0-9])(?=[A-Za-z]*[0-9])(?=[0-9]*[A-Za-z])[A-Za-z0-9]+")
 ASSIGNED = r"([A-Za-z][A-Za-z0-9_.-]*)[\"']?[\x20\x09]*[:=][\x20\x09]*[\"']?$"
 
 
@@ -119,41 +124,55 @@ def features(words: list[str]) -> Column:
     shares = [without(run, p) / n for p in ("[a-z]", "[A-Z]", "[0-9]", "[+/_=-]", "[g-zG-Z]")]
     distinct = F.size(F.array_distinct(F.split(run, ""))) / F.least(n, F.lit(64))
     return F.array(*(x.cast("double") for x in (
+        named_secret(), run.rlike(KNOWN_SECRET), run.rlike(WORDY), without(run, MIXED_PIECE) / n,
         n, *shares, distinct, changes / n, covered,
         without(run, "/"), run.rlike("[A-Za-z]/[A-Za-z]"), F.col("before").rlike(r"[/\\:]$"),
-        name != "", name.rlike(SECRET_WORDS), previous.rlike(SECRET_WORDS),
+        name != "", name.rlike(PASSWORD_NAME), previous.rlike(SECRET_WORDS),
         previous.rlike(OTHER_WORDS), F.col("before").rlike("[\"'`]$"),
         F.col("after").rlike("^[\"'`]"), F.col("after").rlike(r"^\.[A-Za-z]"),
         F.col("before").rlike(r"[\p{L}\p{N}]$") | F.col("after").rlike(r"^[\p{L}\p{N}]"))))
 
 
+def in_words(name: Column) -> Column:
+    """A name as small-letter words: ``dbPassword``, ``DB_PASSWORD`` are ``db password``."""
+    return F.lower(F.regexp_replace(name, r"(?<=[a-z0-9])(?=[A-Z])|[_.\-]+", " "))
+
+
 def assigned_name() -> Column:
-    return F.regexp_extract("before", ASSIGNED, 1)
+    """The words of the name that a candidate is assigned to; empty without one."""
+    return in_words(F.regexp_extract("before", ASSIGNED, 1))
 
 
 def previous_word() -> Column:
-    return F.regexp_extract("before", r"([\p{L}\p{N}_]+)[^\p{L}\p{N}_]*$", 1)
+    return in_words(F.regexp_extract("before", r"([\p{L}\p{N}_]+)[^\p{L}\p{N}_]*$", 1))
 
 
-def secret_by_format() -> Column:
-    """A provider's format, or what mixes letters with digits and is assigned to a password's
-    name, or is 20 characters long and assigned to another secret's name."""
-    run, name = F.col("candidate"), assigned_name()
-    mixed = run.rlike("[0-9]") & run.rlike("[A-Za-z]")
-    named = name.rlike(SECRET_WORDS) & ~name.rlike(OTHER_WORDS)
-    long = (F.col("length") >= 20) | name.rlike(PASSWORD_NAME)
-    return run.rlike(KNOWN_SECRET) | (named & mixed & long & ~run.rlike(r"^[$%<{/]"))
+def named_secret() -> Column:
+    """Assigned to a secret's name, or behind ``Bearer``."""
+    name = assigned_name()
+    return (name.rlike(SECRET_WORDS) & ~name.rlike(OTHER_WORDS)) | (previous_word() == "bearer")
 
 
 def known_findings(found: DataFrame) -> DataFrame:
-    """Candidates whose format labels them: what is a secret by its format is one; bare words,
-    numbers and paths are not, nor are digests, UUIDs, file names and parts of an address by
-    what stands beside them. Others stay without a label and are left out."""
-    run, named = F.col("candidate"), assigned_name().rlike(SECRET_WORDS)
-    other = (run.rlike("^[a-z]+$|^[A-Z][a-z]+$|^[0-9]+$|^[A-Za-z]+([-_/][A-Za-z]+)*$")
-             | (~named & (run.rlike(UUID) | (run.rlike(HEX) & previous_word().rlike(HASH_WORDS))
-                          | F.col("after").rlike(FILE_END) | F.col("before").rlike(ADDRESS))))
-    return found.withColumn("label", F.when(secret_by_format(), 1.0).when(other, 0.0)).filter(
+    """Candidates whose format and place label them.
+
+    Secrets: a provider's format; what mixes letters with digits and is assigned to a
+    password's name; and what does, is 20 characters long, is not just words and numbers
+    and is assigned to another secret's name or follows ``Bearer``. Others: words, numbers
+    and paths; and without a secret's name digests, UUIDs, file names and parts of an
+    address by what stands beside them, and what is assigned to another name and holds no
+    unbroken piece of 16 letters and digits. All else has no label and is left out.
+    """
+    run, named = F.col("candidate"), named_secret()
+    mixed = run.rlike("[0-9]") & run.rlike("[A-Za-z]") & ~run.rlike(r"^[$%<{/]")
+    password = assigned_name().rlike(PASSWORD_NAME)
+    secret = run.rlike(KNOWN_SECRET) | (named & mixed & (
+        password | ((F.col("length") >= 20) & ~run.rlike(WORDY))))
+    other = (run.rlike(WORDY) & ~password) | (~named & (
+        run.rlike(UUID) | (run.rlike(HEX) & previous_word().rlike(HASH_WORDS))
+        | F.col("after").rlike(FILE_END) | F.col("before").rlike(ADDRESS)
+        | ((assigned_name() != "") & ~run.rlike("[A-Za-z0-9]{16}"))))
+    return found.withColumn("label", F.when(secret, 1.0).when(other, 0.0)).filter(
         "label is not null")
 
 
@@ -178,8 +197,11 @@ def learn(findings: DataFrame, words: list[str],
     rows = samples[0].unionByName(samples[1]).select(
         F.col("label").cast("double").alias("label"), array_to_vector("values").alias("features"),
         "weight")
+    # Every split may use every feature: that a secret's name is beside it must not be left
+    # out by chance. The trees differ by the rows that each one draws.
     return RandomForestClassifier(numTrees=training.trees, maxDepth=training.depth,
-                                  weightCol="weight", seed=1).fit(rows)
+                                  featureSubsetStrategy="all", weightCol="weight",
+                                  seed=1).fit(rows)
 
 
 def label_quotas(sizes: dict, most: int) -> dict:
@@ -192,7 +214,7 @@ def label_quotas(sizes: dict, most: int) -> dict:
 def scan(found: DataFrame, words: list[str],
          forest: RandomForestClassificationModel | None) -> DataFrame:
     """``found`` candidates with the forest's ``score`` and ``kept``: a score of at least 0.5,
-    or a secret by its format, whatever the forest learned."""
+    or a provider's format, whatever the forest learned."""
     if forest is None:
         return found.withColumns({"score": F.lit(1.0), "kept": F.lit(True)})
     names = found.columns
@@ -200,7 +222,8 @@ def scan(found: DataFrame, words: list[str],
                         array_to_vector(features(words)).alias("features"))
     rows = forest.transform(rows).select(
         "candidate_.*", vector_to_array("probability")[1].alias("score"))
-    return rows.withColumn("kept", (F.col("score") >= 0.5) | secret_by_format())
+    return rows.withColumn("kept", (F.col("score") >= 0.5)
+                           | F.col("candidate").rlike(KNOWN_SECRET))
 
 
 def op9_secret_scan(docs: DataFrame) -> DataFrame:
