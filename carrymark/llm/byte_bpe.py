@@ -41,6 +41,8 @@ NONE = (1 << 31) - 1
 ID_BITS = 17
 #: Words beyond this are cut where no token can reach over.
 LONG_WORD = 64
+#: Parts beyond this are merged pair by pair wherever the pair occurs, not place by place.
+LONG_PART = 512
 
 
 @lru_cache(maxsize=2)
@@ -58,48 +60,95 @@ def joins(ranks: dict[bytes, int]) -> np.ndarray:
     return table
 
 
+def longest(ranks: dict[bytes, int]) -> dict[bytes, int]:
+    """The length of the longest token by its first two bytes."""
+    lengths: dict[bytes, int] = {}
+    for token in ranks:
+        lengths[token[:2]] = max(lengths.get(token[:2], 0), len(token))
+    return lengths
+
+
+def uncrossed(data: bytes, ranks: dict[bytes, int], lengths: dict[bytes, int]) -> list[bytes]:
+    """``data`` cut wherever none of its substrings that are tokens reaches over.
+
+    Whatever is merged is such a substring, so the parts are encoded independently.
+    """
+    parts, start, reach = [], 0, 0
+    for at in range(len(data)):
+        if at == reach and at:
+            parts.append(data[start:at])
+            start = at
+        for n in range(lengths.get(data[at:at + 2], 1), 1, -1):
+            if at + n <= reach:
+                break
+            if data[at:at + n] in ranks:
+                reach = at + n
+                break
+        reach = max(reach, at + 1)
+    return [*parts, data[start:]]
+
+
 def rank_table(spark: SparkSession, path: str) -> DataFrame:
-    """One row: ids of the 256 bytes, and the rank table of pairs of ids.
+    """One row: ids of the 256 bytes, the rank table of pairs of ids, and which ids are ``alone``.
+
+    A token is alone if it forms a pair of lower rank than its own: such a pair comes before
+    the token's other places, so these cannot all be merged together.
 
     Pair (a, b) is in bucket (a * SPREAD + b) mod BUCKETS; a bucket maps its pairs,
     as a * 2^32 + b, to the id of what they merge to.
     """
     ranks = load_ranks(path)
     buckets: list[list[tuple[int, int]]] = [[] for _ in range(BUCKETS)]
+    alone = np.zeros(max(ranks.values()) + 1, bool)
     for token, rank in ranks.items():
         for k in range(1, len(token)):
             a, b = ranks.get(token[:k]), ranks.get(token[k:])
             if a is not None and b is not None:
                 buckets[(a * SPREAD + b) % BUCKETS].append((a << 32 | b, rank))
+                alone[[a, b]] |= rank < np.array([a, b])
     single = pa.array([[ranks.get(bytes([b])) for b in range(256)]], pa.list_(pa.int32()))
     pairs = pa.array([[b or None for b in buckets]], pa.list_(pa.map_(pa.int64(), pa.int32())))
-    return spark.createDataFrame(pa.table({"single": single, "pairs": pairs}))
+    return spark.createDataFrame(pa.table({"single": single, "pairs": pairs,
+                                           "alone": pa.array([alone.tolist()])}))
+
+
+def id_of(cell: Column) -> Column:
+    return cell.bitwiseAND(F.lit((1 << ID_BITS) - 1).cast("long"))
+
 
+def rank_of(cell: Column) -> Column:
+    return F.shiftright(cell, ID_BITS)
 
-def merged(data: Column, single: Column, pairs: Column) -> Column:
+
+def cell_of(a: Column, b: Column, pairs: Column) -> Column:
+    """Token ``a``'s id and above it the rank of its pair with the next token."""
+    bucket = F.get(pairs, ((a * F.lit(SPREAD).cast("long") + b) % BUCKETS).cast("int"))
+    rank = F.coalesce(bucket[F.shiftleft(a.cast("long"), 32) + b], F.lit(NONE))
+    return F.shiftleft(rank.cast("long"), ID_BITS) + a
+
+
+def cells_of(ids: Column, pairs: Column) -> Column:
+    return let(ids, lambda x: F.transform(x, lambda a, i: cell_of(a, F.get(x, i + 1), pairs)))
+
+
+def merged(data: Column, table: Column) -> Column:
     """Ids of a word, ``data`` its bytes as an array of integers.
 
-    The fold's state is one array of cells, a token's id and above it the rank of its
-    pair with the next token. The smallest cell is the next pair to merge, the first
-    of equal ones; merging changes that cell and its neighbour and drops one.
+    The fold's state is one array of cells. The smallest cell is the next pair to merge,
+    the first of equal ones; merging changes that cell and its neighbour and drops one.
     """
-    def cell(a: Column, b: Column) -> Column:
-        bucket = F.get(pairs, ((a * F.lit(SPREAD).cast("long") + b) % BUCKETS).cast("int"))
-        rank = F.coalesce(bucket[F.shiftleft(a.cast("long"), 32) + b], F.lit(NONE))
-        return F.shiftleft(rank.cast("long"), ID_BITS) + a
-
-    def id_of(x: Column) -> Column:
-        return x.bitwiseAND(F.lit((1 << ID_BITS) - 1).cast("long"))
+    single, pairs = table["single"], table["pairs"]
 
     def step(cells: Column, _: Column) -> Column:
         def merge(least: Column) -> Column:
-            token = F.shiftright(least, ID_BITS)
+            token = rank_of(least)
 
             def at(p: Column) -> Column:
-                here = cell(token, id_of(F.get(cells, p + 1)))
+                here = cell_of(token, id_of(F.get(cells, p + 1)), pairs)
                 return F.concat(
                     F.slice(cells, 1, F.greatest(p - 2, F.lit(0))),
-                    F.when(p > 1, F.array(cell(id_of(F.get(cells, p - 2)), token), here))
+                    F.when(p > 1, F.array(
+                        cell_of(id_of(F.get(cells, p - 2)), token, pairs), here))
                     .otherwise(F.array(here)),
                     F.slice(cells, p + 2, F.size(cells)))
 
@@ -108,12 +157,65 @@ def merged(data: Column, single: Column, pairs: Column) -> Column:
         return let(F.array_min(cells), lambda least: F.when(
             least < (NONE << ID_BITS), merge(least)).otherwise(cells))
 
-    ids = F.transform(data, lambda b: F.get(single, b))
-    start = let(ids, lambda x: F.transform(x, lambda a, i: cell(a, F.get(x, i + 1))))
+    start = cells_of(F.transform(data, lambda b: F.get(single, b)), pairs)
     return F.transform(F.aggregate(F.slice(data, 2, F.size(data)), start, step),
                        lambda x: id_of(x).cast("int"))
 
 
+def merged_together(data: Column, table: Column) -> Column:
+    """As ``merged``, but a step merges the lowest pair in all its places, from the left.
+
+    Pairs that a merge makes rank above it, so the result is that of merging place by place.
+    Only a token that is ``alone`` can form a lower pair, with a neighbour or with itself:
+    the first place where it does is the step's last. A step costs time with the word's
+    length, and there are about as many as different merges: few for repeated letters.
+    """
+    single, pairs = table["single"], table["pairs"]
+
+    def merge(cells: Column, least: Column) -> Column:
+        token = rank_of(least)
+
+        def mark(c: Column, i: Column) -> Column:
+            def lower(a: Column, b: Column) -> Column:
+                return rank_of(cell_of(a, b, pairs)) < token
+
+            before, after = id_of(F.get(cells, i - 1)), id_of(F.get(cells, i + 2))
+            last = F.get(table["alone"], token.cast("int")) & F.coalesce(
+                lower(before, token) | lower(token, after) | lower(token, token), F.lit(False))
+            return F.when(rank_of(c) != token, F.lit("0")).when(last, F.lit("2")).otherwise(
+                F.lit("1"))
+
+        def until_last(marks: Column) -> Column:
+            taken = F.regexp_replace(marks, "([12]).", "$1x")  # x: merged into the one before
+            end = F.instr(taken, "2")
+            return F.when(end == 0, taken).otherwise(F.concat(
+                F.substring(taken, F.lit(1), end + 1),
+                F.translate(F.substring(marks, end + 2, F.length(marks)), "12", "00")))
+
+        places = let(F.array_join(F.transform(cells, mark), ""), until_last)
+        left = F.filter(F.zip_with(
+            cells, F.split(places, "(?<=.)(?=.)"),
+            lambda c, m: F.when(m == "0", id_of(c)).when(m == "x", F.lit(-1).cast("long"))
+            .otherwise(token)), lambda x: x >= 0)
+        return cells_of(left, pairs)
+
+    def step(state: Column, _: Column) -> Column:
+        cells = state["cells"]
+        return F.when(state["done"], state).otherwise(let(F.array_min(cells), lambda least: F.when(
+            least < (NONE << ID_BITS),
+            F.struct(merge(cells, least).alias("cells"), F.lit(False).alias("done")))
+            .otherwise(F.struct(cells.alias("cells"), F.lit(True).alias("done")))))
+
+    ids = F.transform(data, lambda b: F.get(single, b).cast("long"))
+    start = F.struct(cells_of(ids, pairs).alias("cells"), F.lit(False).alias("done"))
+    # Two levels of steps, as many as letters at most: every step copies the state, also when
+    # nothing is left to merge, and the outer fold then skips whole rounds of steps.
+    steps = F.sequence(F.lit(1), F.ceil(F.sqrt(F.size(data))).cast("int"))
+    end = F.aggregate(steps, start, lambda state, _: F.when(state["done"], state).otherwise(
+        F.aggregate(steps, state, step)))
+    return F.transform(end["cells"], lambda x: id_of(x).cast("int"))
+
+
 def gather(starts: np.ndarray, lengths: np.ndarray, chosen: np.ndarray) -> np.ndarray:
     """Places of all elements of the chosen runs, one run after the other."""
     n = lengths[chosen]
@@ -145,9 +247,10 @@ class Block:
     ``known`` words have the first numbers; ``words`` are the others.
     """
 
-    def __init__(self, pattern: regex.Pattern, side_by_side: np.ndarray,
-                 known: dict[bytes, int]):
+    def __init__(self, pattern: regex.Pattern, ranks: dict[bytes, int],
+                 side_by_side: np.ndarray, known: dict[bytes, int]):
         self.pattern, self.side_by_side, self.known = pattern, side_by_side, known
+        self.ranks, self.lengths = ranks, None
         self.words: dict[bytes, int] = {}
         self.after_space: dict[str, int] = {}
         self.alone: dict[str, int] = {}
@@ -160,7 +263,13 @@ class Block:
             return [data]
         values = np.frombuffer(data, np.uint8)
         cuts = np.flatnonzero(~self.side_by_side[values[:-1], values[1:]]) + 1
-        return [data[a:b] for a, b in zip([0, *cuts], [*cuts, len(data)], strict=True)]
+        parts = [data[a:b] for a, b in zip([0, *cuts], [*cuts, len(data)], strict=True)]
+        if max(map(len, parts)) <= LONG_WORD:
+            return parts
+        if self.lengths is None:
+            self.lengths = longest(self.ranks)
+        return [p for part in parts for p in (
+            uncrossed(part, self.ranks, self.lengths) if len(part) > LONG_WORD else [part])]
 
     def _number(self, word: bytes) -> int:
         number = self.known.get(word)
@@ -204,10 +313,11 @@ def sampled_words(docs: DataFrame, ranks: str, pattern: str, texts_in_sample: in
     share = min(1.0, texts_in_sample / max(docs.count(), 1))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        compiled, table = regex.compile(pattern), joins(load_ranks(ranks))
+        compiled, tokens = regex.compile(pattern), load_ranks(ranks)
+        table = joins(tokens)
         for batch in batches:
             for text in texts(batch.column("text")):
-                block = Block(compiled, table, {})
+                block = Block(compiled, tokens, table, {})
                 block.add(text)
                 if words := [w for w in block.words if len(w) <= LONG_WORD]:
                     yield pa.RecordBatch.from_arrays([pa.array(words, pa.binary())],
@@ -238,12 +348,13 @@ def _with_ids(rows: DataFrame, spark: SparkSession, ranks: str, data: str,
               others: list[str]) -> DataFrame:
     """``others`` and ``word_ids_``, the ids of the words in ``data``; null for null."""
     table = rank_table(spark, ranks)
-    single, pairs = table.select("single").scalar(), table.select("pairs").scalar()
-    rows = rows.withColumn("ranks_", F.struct(single.alias("single"), pairs.alias("pairs")))
+    rows = rows.withColumn("ranks_", F.struct(
+        *(table.select(c).scalar().alias(c) for c in table.columns)))
     # Used once, so the optimizer puts the table's value here and no row carries it.
     both = F.when(F.col(data).isNotNull(), F.struct(F.col(data).alias("data"), "ranks_"))
-    return rows.select(*others, let(both, lambda w: F.when(w.isNotNull(), merged(
-        w["data"], w["ranks_"]["single"], w["ranks_"]["pairs"]))).alias("word_ids_"))
+    return rows.select(*others, let(both, lambda w: F.when(
+        F.size(w["data"]) > LONG_PART, merged_together(w["data"], w["ranks_"])).when(
+        w.isNotNull(), merged(w["data"], w["ranks_"]))).alias("word_ids_"))
 
 
 def encode(docs: DataFrame, ranks: str = RANKS, pattern: str = PATTERN,
@@ -255,8 +366,8 @@ def encode(docs: DataFrame, ranks: str = RANKS, pattern: str = PATTERN,
     strings of special tokens are ordinary text. Null and empty texts have no ids;
     an empty table gives no rows. Columns other than text stay, but for these two
     and for names that end in an underscore.
-    A single word that can be cut nowhere, such as one letter repeated, takes time
-    with the square of its length.
+    A single word that can be cut nowhere, such as one letter repeated, takes time with
+    its length times the number of different merges in it.
     """
     others = [f for f in docs.schema if f.name not in ("text", "ids", "id_bytes")
               and not f.name.endswith("_")]
@@ -269,11 +380,12 @@ def encode(docs: DataFrame, ranks: str = RANKS, pattern: str = PATTERN,
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """A block's words, then its texts as numbers of words."""
-        compiled, table = regex.compile(pattern), joins(load_ranks(ranks))
+        compiled, tokens = regex.compile(pattern), load_ranks(ranks)
+        table = joins(tokens)
         numbers = held("known words", key, shared.value.numbers)
         schema = pa.schema([*arrow, pa.field("word_", pa.list_(pa.int32())),
                             pa.field("numbers_", pa.binary())])
-        block, rows, chars = Block(compiled, table, numbers), [], 0
+        block, rows, chars = Block(compiled, tokens, table, numbers), [], 0
 
         def flush() -> Iterator[pa.RecordBatch]:
             words = list(block.words)
@@ -300,7 +412,7 @@ def encode(docs: DataFrame, ranks: str = RANKS, pattern: str = PATTERN,
                 if chars and chars + len(text or "") > BLOCK:
                     rows.append(beside.slice(start, i - start))
                     yield from flush()
-                    block, rows, chars, start = Block(compiled, table, numbers), [], 0, i
+                    block, rows, chars, start = Block(compiled, tokens, table, numbers), [], 0, i
                 block.add(text)
                 chars += len(text or "")
             rows.append(beside.slice(start))
@@ -353,14 +465,17 @@ def decode(encoded: DataFrame, ranks: str = RANKS) -> DataFrame:
     known = load_ranks(ranks)
     pieces = [None] * (max(known.values()) + 1)
     for piece, rank in known.items():
-        pieces[rank] = piece.hex()
+        pieces[rank] = piece
+    # Pieces are joined as strings, which keeps every byte; most are not UTF-8 by themselves.
     table = encoded.sparkSession.createDataFrame(
-        pa.table({"pieces": pa.array([pieces], pa.list_(pa.string()))})).scalar()
+        pa.table({"pieces": pa.array([pieces], pa.list_(pa.binary()))})).select(
+        F.transform("pieces", lambda p: p.cast("string")).alias("pieces")).scalar()
     both = F.struct("ids", "pieces_")
 
     def joined(x: Column) -> Column:
-        return F.unhex(F.array_join(F.transform(x["ids"], lambda i: F.coalesce(
-            F.get(x["pieces_"], i), F.raise_error(F.lit("an id is not in the vocabulary")))), ""))
+        return F.array_join(F.transform(x["ids"], lambda i: F.coalesce(
+            F.get(x["pieces_"], i), F.raise_error(F.lit("an id is not in the vocabulary")))),
+            "").cast("binary")
 
     return encoded.withColumn("pieces_", table).select(
         *(c for c in encoded.columns if c != "data"), let(both, joined).alias("data"))

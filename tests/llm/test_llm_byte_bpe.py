@@ -1,3 +1,4 @@
+import base64
 import hashlib
 
 import numpy as np
@@ -37,6 +38,50 @@ def test_blocks_of_few_texts(spark, monkeypatch):
         assert list(r.ids) == LIBRARY.encode_ordinary(TEXTS[r.doc_id] or "")
 
 
+LONG = ["a" * 100_000, " " * 5_000, "the" * 3_000, "=-" * 2_000 + "=" * 700, "日本" * 900,
+        "abab" * 300 + "ba" * 500, "".join(chr(97 + (i * i * 7 + i // 3) % 26) for i in range(4_000)),
+        "-" * 1_001, "aab" * 701, "x\n" * 600, "É" * 1_500]
+
+
+def test_long_words_that_can_be_cut_nowhere(spark):
+    for r in encoded(spark, LONG, False):
+        assert list(r.ids) == LIBRARY.encode_ordinary(LONG[r.doc_id]), LONG[r.doc_id][:20]
+        assert bytes(r.data) == LONG[r.doc_id].encode()
+
+
+def test_merging_together_equals_place_by_place(spark, monkeypatch):
+    monkeypatch.setattr(byte_bpe, "LONG_WORD", 3)
+    monkeypatch.setattr(byte_bpe, "LONG_PART", 2)
+    for r in encoded(spark, TEXTS, False):
+        assert list(r.ids) == LIBRARY.encode_ordinary(TEXTS[r.doc_id] or "")
+
+
+def test_pairs_below_their_token_come_before_its_other_places(spark, tmp_path):
+    # z + bc is merged right after the first bc, and takes the z away from zz.
+    ranks = {bytes([b]): b for b in range(256)} | {b"bcz": 256, b"bc": 257, b"czz": 258, b"zz": 259}
+    path = tmp_path / "own.tiktoken"
+    path.write_bytes(b"".join(base64.b64encode(t) + b" %d\n" % r for t, r in ranks.items()))
+    own = tiktoken.Encoding("alone", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+    texts = ["bczbcbczz" * 100, "bcbcz" * 200, "zzbczz" * 150]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    table = byte_bpe.rank_table(spark, str(path)).first()
+    assert [i for i, x in enumerate(table.alone) if x] == [257, 259]
+    for r in encode(docs, ranks=str(path)).collect():
+        assert list(r.ids) == own.encode_ordinary(texts[r.doc_id])
+
+
+def test_cuts_that_no_token_crosses():
+    ranks = load_ranks(RANKS)
+    lengths = byte_bpe.longest(ranks)
+    for text in TEXTS[1:] + ["antidisestablishmentarianism" * 5, "日本語" * 40, "zqxjkvb" * 30]:
+        data = (text or "").encode()
+        cuts = [p for p in range(1, len(data)) if not any(
+            data[a:b] in ranks for a in range(max(0, p - 130), p)
+            for b in range(p + 1, min(len(data), a + 130) + 1))]
+        want = [data[a:b] for a, b in zip([0, *cuts], [*cuts, len(data)], strict=True)]
+        assert byte_bpe.uncrossed(data, ranks, lengths) == want
+
+
 def test_documents_of_every_kind(spark):
     rows = byte_bpe.op7_byte_bpe(messy(spark)).collect()
     want = []
