@@ -29,6 +29,8 @@ RESULT = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
 #: that its error is a fifth of that, so all common words are among those it nominates.
 MIN_SHARE = 0.001
 NOMINATED, TRACKED = 2000, 16384
+#: Common words are looked up in buckets by their hash.
+BUCKETS = 256
 
 
 @dataclass(frozen=True)
@@ -157,8 +159,10 @@ def word_references(docs: DataFrame, limits: Limits) -> DataFrame:
     one of their own.
     """
     docs = docs.select(F.coalesce("lang", F.lit("")).alias("lang"), "text")
+    common = F.transform("top", lambda t: t["word"])
     return stored(common_words(docs, limits).select(
-        F.col("lang").alias("lang_"), F.transform("top", lambda t: t["word"]).alias("common_"),
+        F.col("lang").alias("lang_"), common.alias("common_"),
+        bucketed(common).alias("buckets_"),
         _with_rest(F.transform("top", lambda t: t["count"]), F.col("total"))
         .alias("word_shares_")), "word-references")
 
@@ -173,25 +177,33 @@ def class_references(marks: DataFrame) -> DataFrame:
         "class-references")
 
 
-def common_counts(tokens: Column, common: Column) -> Column:
+def bucket_of(word: Column) -> Column:
+    return F.pmod(F.hash(word), F.lit(BUCKETS))
+
+
+def bucketed(common: Column) -> Column:
+    return F.transform(F.sequence(F.lit(0), F.lit(BUCKETS - 1)), lambda b: F.filter(
+        common, lambda w: bucket_of(w) == b))
+
+
+def common_counts(tokens: Column, common: Column, buckets: Column | None = None) -> Column:
     """How often each of the sorted ``common`` words is among the tokens.
 
     Tokens that are common words are sorted, so a word's count is the distance
-    from its first place to the next word's.
+    between its first place from the left and its first from the right.
     """
+    buckets = bucketed(common) if buckets is None else buckets
     # Most words are longer than every common one, which is cheaper to see.
     longest = F.array_max(F.transform(common, F.octet_length))
     present = let(longest, lambda n: F.sort_array(F.filter(tokens, lambda w: (
-        F.octet_length(w) <= n) & F.array_contains(common, w))))
+        F.octet_length(w) <= n) & F.array_contains(F.get(buckets, bucket_of(w)), w))))
 
-    def count(sorted_words: Column) -> Column:
-        places = F.transform(common, lambda c: F.array_position(sorted_words, c))
-        return let(places, lambda at: F.transform(common, lambda c, i: F.when(
-            F.get(at, i) == 0, F.lit(0).cast("long")).otherwise(
-                F.coalesce(F.array_min(F.filter(at, lambda p: p > F.get(at, i))),
-                           F.size(sorted_words) + F.lit(1)) - F.get(at, i)).cast("long")))
+    def count(both: Column) -> Column:
+        return F.transform(common, lambda c: let(
+            F.array_position(both["up"], c), lambda first: F.when(first == 0, F.lit(0).cast("long"))
+            .otherwise(F.size(both["up"]) + F.lit(2) - first - F.array_position(both["down"], c))))
 
-    return let(present, count)
+    return let(let(present, lambda w: F.struct(w.alias("up"), F.reverse(w).alias("down"))), count)
 
 
 def quality(docs: DataFrame, limits: Limits = Limits(),
@@ -214,8 +226,10 @@ def quality(docs: DataFrame, limits: Limits = Limits(),
                                "n_repeat_words": repeated_window_words(F.col("words_"))})
     # One small row for each language; Spark measures it before it broadcasts.
     marks = marks.join(word_references(docs, limits), "lang_", "left")
-    counted = let(F.struct("words_", "common_", "n_words", "word_shares_"), lambda s: distance(
-        _with_rest(common_counts(s["words_"], s["common_"]), s["n_words"]), s["word_shares_"]))
+    counted = let(F.struct(
+        "words_", "common_", "buckets_", "n_words", "word_shares_"), lambda s: distance(_with_rest(
+            common_counts(s["words_"], s["common_"], s["buckets_"]), s["n_words"]),
+            s["word_shares_"]))
     marks = stored(marks.select(
         "doc_", "lang_", "n_chars_", "counts_", "n_words", "word_chars", "n_symbols",
         "n_dup_lines", "n_repeat_words",
