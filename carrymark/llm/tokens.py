@@ -88,10 +88,10 @@ class Encoder:
         missing = set(keys).difference(known)
         if not missing:
             return
-        split = {k: word for k in missing if (word := letters_and_marks(k))}
-        plain = [k for k in missing if k not in split]
-        plain += list({w for w in split.values() if w not in known}.difference(plain))
-        known.update(zip(plain, self._plain([text_of(k) for k in plain]), strict=True))
+        split = {k: word for k in missing if k[-1:] in MARKS and (word := letters_and_marks(k))}
+        plain = missing.difference(split)
+        plain.update(w for w in split.values() if w not in known)
+        known.update(zip(plain, self._plain(list(map(text_of, plain))), strict=True))
         marks = [m for m in {k[len(word):] for k, word in split.items()} if m not in self.alone]
         self.alone.update(zip(marks, self._plain(marks), strict=True))
         for key, word in split.items():
@@ -102,44 +102,43 @@ class Encoder:
             return chunks(text)
         return "", lowered(text).replace("\n", " ").split(" ")
 
-    def prepare(self, texts: list[str | None]) -> None:
+    def _prepare(self, parts: Iterable[tuple[str, list[str]]]) -> None:
         """Learn the chunks of several texts in one call of the library, which is much
         faster than to do so text by text."""
         if len(self.after_space) + len(self.alone) > REMEMBERED:
             self.after_space, self.alone = {}, {"": b""}
         firsts, keys = set(), set()
-        for text in filter(None, texts):
-            first, rest = self._parts(text)
+        for first, rest in parts:
             firsts.add(first)
             keys.update(rest)
         self._learn(self.alone, firsts if self.spaces_matter else keys, str)
         if self.spaces_matter:
             self._learn(self.after_space, keys, chunk_text)
 
+    def _joined(self, first: str, keys: list[str]) -> bytes:
+        known = self.after_space if self.spaces_matter else self.alone
+        return self.alone[first] + b"".join(map(known.__getitem__, keys))
+
     def encode(self, text: str | None) -> bytes:
         """The ids of a whole text; none for null and empty texts."""
-        if not text:
-            return b""
-        first, keys = self._parts(text)
-        known = self.after_space if self.spaces_matter else self.alone
-        try:
-            return self.alone[first] + b"".join(map(known.__getitem__, keys))
-        except KeyError:
-            self.prepare([text])
-            return self.encode(text)
+        return next(self.encode_all([text]))
 
     def encode_all(self, texts: Iterable[str | None], size: int = 1 << 21) -> Iterator[bytes]:
-        """The ids of each text, in blocks of texts of about ``size`` characters."""
+        """The ids of each text, in blocks of texts of about ``size`` characters.
+
+        A block's texts are cut into chunks once, which are then learned and looked up.
+        """
+        nothing = ("", [])
         block, held = [], 0
         for text in texts:
-            block.append(text)
+            block.append(self._parts(text) if text else nothing)
             held += len(text or "")
             if held > size:
-                self.prepare(block)
-                yield from map(self.encode, block)
+                self._prepare(block)
+                yield from (self._joined(*parts) for parts in block)
                 block, held = [], 0
-        self.prepare(block)
-        yield from map(self.encode, block)
+        self._prepare(block)
+        yield from (self._joined(*parts) for parts in block)
 
 
 def encoder(path: str) -> Encoder:

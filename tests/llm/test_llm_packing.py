@@ -3,6 +3,7 @@ import zlib
 from itertools import combinations
 
 import numpy as np
+import pytest
 from carrymark.llm import packing
 from carrymark.llm.common import stored
 from carrymark.llm.tokens import BYTE_BPE, WORD_BPE, Encoder
@@ -104,3 +105,15 @@ def test_query(spark):
     assert sum(r.length for r in mine) == tokens[6] and len(mine) == -(-tokens[6] // 1024)
     assert sorted(r.start for r in mine)[1] == tokens[6] % 1024
     assert packing.op5_best_fit_packing(empty(spark)).count() == 0
+
+
+@pytest.mark.parametrize("path", [WORD_BPE, BYTE_BPE])
+def test_new_texts_are_cut_into_chunks_once(path, monkeypatch):
+    encoder, cut_texts = Encoder(path), []
+    parts = encoder._parts
+    monkeypatch.setattr(encoder, "_parts", lambda text: cut_texts.append(text) or parts(text))
+    found = ["Some new words, (and) marks!\nin  two lines", "and once more: words", None, ""]
+    ids = [np.frombuffer(x, "<u4").tolist() for x in encoder.encode_all(found)]
+    assert ids == [whole(path, text) for text in found]
+    assert cut_texts == found[:2]
+    assert encoder.encode(found[0]) and len(cut_texts) == 3
