@@ -103,8 +103,7 @@ class Encoder:
         return "", lowered(text).replace("\n", " ").split(" ")
 
     def _prepare(self, parts: Iterable[tuple[str, list[str]]]) -> None:
-        """Learn the chunks of several texts in one call of the library, which is much
-        faster than to do so text by text."""
+        """Learn the chunks of several texts in one call of the library."""
         if len(self.after_space) + len(self.alone) > REMEMBERED:
             self.after_space, self.alone = {}, {"": b""}
         firsts, keys = set(), set()
@@ -123,10 +122,11 @@ class Encoder:
         """The ids of a whole text; none for null and empty texts."""
         return next(self.encode_all([text]))
 
-    def encode_all(self, texts: Iterable[str | None], size: int = 1 << 21) -> Iterator[bytes]:
+    def encode_all(self, texts: Iterable[str | None], size: int = 1 << 12) -> Iterator[bytes]:
         """The ids of each text, in blocks of texts of about ``size`` characters.
 
         A block's texts are cut into chunks once, which are then learned and looked up.
+        Blocks are small, so that its chunks are still in the processor's cache by then.
         """
         nothing = ("", [])
         block, held = [], 0

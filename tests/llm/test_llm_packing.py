@@ -117,3 +117,10 @@ def test_new_texts_are_cut_into_chunks_once(path, monkeypatch):
     assert ids == [whole(path, text) for text in found]
     assert cut_texts == found[:2]
     assert encoder.encode(found[0]) and len(cut_texts) == 3
+
+
+def test_blocks_of_texts_are_small():
+    read = []
+    texts = (read.append(i) or f"text {i} " + "word " * 1000 for i in range(5))
+    next(ENCODERS[BYTE_BPE].encode_all(texts))
+    assert read == [0]
