@@ -86,6 +86,7 @@ def _latest(catalog: Catalog) -> DataFrame:
 
 def _from_facts(name: str, catalog: Catalog) -> DataFrame:
     """A mart that reads the three snapshot facts instead of the curated snapshots."""
+    catalog = catalog.copy()
     for fact in SNAPSHOT_FACTS:
         catalog.replace(fact, catalog.table(fact))
     return catalog.table(name)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from copy import copy
 from typing import TYPE_CHECKING
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -99,6 +100,13 @@ class Catalog:
         self.given.add(name)
         return self
 
+    def copy(self) -> Catalog:
+        """A catalog of the same tables; what is replaced in one stays in the other."""
+        other = copy(self)
+        other._resolved, other._places = dict(self._resolved), dict(self._places)
+        other.stored, other.given = set(self.stored), set(self.given)
+        return other
+
     def use_stored(self, *names: str, database: str | None = None) -> Catalog:
         """Read the tables that ``save`` left, in an earlier session perhaps.
 

@@ -4,6 +4,7 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from carrymark.queries import all_queries
+from carrymark.sources.sample_inputs import sample_catalog
 from conftest import SMALL
 from verification.compare import difference, open_tables
 
@@ -29,3 +30,10 @@ def test_entry_returns_the_fund_mart(spark):
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_oracle(spark, duck, name):
     assert difference(duck, QUERIES[name](spark, SMALL), ORACLE[name]) is None
+
+
+def test_marts_from_facts_leave_the_catalog_as_it_was(spark):
+    catalog = sample_catalog(spark, SMALL)
+    for name in ("fund_performance_from_facts", "position_performance_from_facts"):
+        all_queries()[name](catalog)
+    assert not catalog.given
