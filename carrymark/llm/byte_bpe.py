@@ -1,8 +1,9 @@
 """Operator 7: byte-level BPE with Spark's higher-order functions.
 
-Texts are dealt in blocks within each task. A block's distinct words go through
-Spark as arrays of bytes, and a fold merges the pair of lowest rank until none is
-left; ranks come from one literal table, a scalar subquery's value. The words' ids
+Texts are dealt in blocks within each task. The words that are new in a block go through
+Spark as arrays of bytes: pairs that are certain to merge are merged at once, then a fold
+merges the pair of lowest rank until none is left; ranks come from one literal table, a
+scalar subquery's value. The words' ids
 are then put together to the texts' ids. No text leaves its task, so a lost task is
 simply run again. Words that are frequent in a sample are folded once beforehand and
 broadcast; that saves work and changes no result, as all others are folded in place.
@@ -13,9 +14,10 @@ from __future__ import annotations
 import base64
 import uuid
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import public_tokenizers
@@ -32,13 +34,17 @@ from carrymark.llm.tokens import chunk_text, chunks
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
 #: Characters of texts in a block; a longer text is a block of its own.
-BLOCK = 1 << 23
+BLOCK = 1 << 21
+#: Chunks and words that a task remembers; after a block with more it begins anew.
+KEPT = 600_000
 WORD_ROWS = 10_000
 TEXT_ROWS = 1_000
-BUCKETS = 1 << 17
-SPREAD = 65_599
-NONE = (1 << 31) - 1
+#: A cell holds, from its lowest bit, a token's id, its place in the word and its pair's rank.
 ID_BITS = 17
+RANK_AT = 2 * ID_BITS
+NONE = (1 << 29) - 1
+NO_PAIR = NONE << RANK_AT
+END = 1 << 16
 #: Words beyond this are cut where no token can reach over.
 LONG_WORD = 64
 #: Parts beyond this are merged pair by pair wherever the pair occurs, not place by place.
@@ -54,9 +60,10 @@ def load_ranks(path: str) -> dict[bytes, int]:
 def joins(ranks: dict[bytes, int]) -> np.ndarray:
     """Which pairs of bytes stand side by side in some token, as a 256 x 256 table."""
     table = np.zeros((256, 256), bool)
-    for token in ranks:
-        data = np.frombuffer(token, np.uint8)
-        table[data[:-1], data[1:]] = True
+    data = np.frombuffer(b"".join(ranks), np.uint8)
+    within = np.ones(max(len(data) - 1, 0), bool)
+    within[np.cumsum([len(token) for token in ranks])[:-1] - 1] = False
+    table[data[:-1][within], data[1:][within]] = True
     return table
 
 
@@ -88,78 +95,151 @@ def uncrossed(data: bytes, ranks: dict[bytes, int], lengths: dict[bytes, int]) -
     return [*parts, data[start:]]
 
 
+def placed(rows: dict[int, dict[int, int]], width: int) -> tuple[np.ndarray, np.ndarray]:
+    """One array for all rows, entry b of row a at ``offsets[a] + b``, and the offsets.
+
+    Rows lie over each other where their entries leave gaps, the longest placed first.
+    Free places hold -1.
+    """
+    size = 1 << (4 * sum(map(len, rows.values()))).bit_length()
+    table, offsets = np.full(size + width, -1, np.int64), np.zeros(width, np.int32)
+    draw = np.random.default_rng(1)
+    for a, row in sorted(rows.items(), key=lambda item: (-len(item[1]), item[0])):
+        columns = np.fromiter(row, np.int64, len(row))
+        for offset in draw.integers(size, size=1_000):
+            if (table[offset + columns] < 0).all():
+                break
+        else:
+            offset = len(table)
+            table = np.append(table, np.full(width, -1, np.int64))
+        table[offset + columns] = np.fromiter(row.values(), np.int64, len(row))
+        offsets[a] = offset
+    return table, offsets
+
+
+def codes(words: list[bytes]) -> pa.ListArray:
+    """Each byte of the words with the byte after it, 256 * byte + next, or 256 * 256 + byte at
+    a word's end."""
+    flat = np.frombuffer(b"".join(words), np.uint8).astype(np.int32)
+    ends = np.cumsum([0, *map(len, words)]).astype(np.int32)
+    values = flat << 8
+    values[:-1] |= flat[1:]
+    last = ends[1:][np.diff(ends) > 0] - 1
+    values[last] = END + flat[last]
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(values))
+
+
 def rank_table(spark: SparkSession, path: str) -> DataFrame:
-    """One row: ids of the 256 bytes, the rank table of pairs of ids, and which ids are ``alone``.
+    """One row of arrays.
 
-    A token is alone if it forms a pair of lower rank than its own: such a pair comes before
-    the token's other places, so these cannot all be merged together.
+    ``pairs`` at ``offsets[a]`` + b is the cell of token a before token b, if they form a pair;
+    a cell of another token, or none, means that they do not. ``alone``: whether a token
+    forms a pair of lower rank than its own: such a pair comes before the token's other
+    places, so these cannot all be merged together.
 
-    Pair (a, b) is in bucket (a * SPREAD + b) mod BUCKETS; a bucket maps its pairs,
-    as a * 2^32 + b, to the id of what they merge to.
+    By codes of two bytes: ``single``, the id of the first; ``early``, the id that they merge
+    to, but not of an ``alone`` token; ``left`` and ``right``, the lowest rank of a token that ends
+    or begins with them. NONE where there is none.
     """
     ranks = load_ranks(path)
-    buckets: list[list[tuple[int, int]]] = [[] for _ in range(BUCKETS)]
-    alone = np.zeros(max(ranks.values()) + 1, bool)
+    width = max(ranks.values()) + 1
+    rows: dict[int, dict[int, int]] = {}
+    alone = np.zeros(width, bool)
+    early, left, right = np.full((3, END + 256), NONE, np.int32)
     for token, rank in ranks.items():
         for k in range(1, len(token)):
             a, b = ranks.get(token[:k]), ranks.get(token[k:])
             if a is not None and b is not None:
-                buckets[(a * SPREAD + b) % BUCKETS].append((a << 32 | b, rank))
+                rows.setdefault(a, {})[b] = rank << RANK_AT | a
                 alone[[a, b]] |= rank < np.array([a, b])
-    single = pa.array([[ranks.get(bytes([b])) for b in range(256)]], pa.list_(pa.int32()))
-    pairs = pa.array([[b or None for b in buckets]], pa.list_(pa.map_(pa.int64(), pa.int32())))
-    return spark.createDataFrame(pa.table({"single": single, "pairs": pairs,
-                                           "alone": pa.array([alone.tolist()])}))
+        if len(token) > 1:
+            head, tail = token[0] << 8 | token[1], token[-2] << 8 | token[-1]
+            right[head], left[tail] = min(right[head], rank), min(left[tail], rank)
+    for token, rank in ranks.items():
+        if len(token) == 2 and not alone[rank] and all(
+                bytes([b]) in ranks for b in token):
+            early[token[0] << 8 | token[1]] = rank
+    byte_ids = [ranks.get(bytes([b])) for b in range(256)]
+    single = [b for b in byte_ids for _ in range(256)] + byte_ids
+    pairs, offsets = placed(rows, width)
+    return spark.createDataFrame(pa.table(
+        {"single": pa.array([single], pa.list_(pa.int32()))} |
+        {name: pa.array([column]) for name, column in (
+            ("early", early), ("left", left), ("right", right), ("pairs", pairs),
+            ("offsets", offsets), ("alone", alone))}))
 
 
 def id_of(cell: Column) -> Column:
     return cell.bitwiseAND(F.lit((1 << ID_BITS) - 1).cast("long"))
 
 
+def place_of(cell: Column) -> Column:
+    return cell.bitwiseAND(F.lit(((1 << ID_BITS) - 1) << ID_BITS).cast("long"))
+
+
 def rank_of(cell: Column) -> Column:
-    return F.shiftright(cell, ID_BITS)
+    return F.shiftright(cell, RANK_AT)
 
 
-def cell_of(a: Column, b: Column, pairs: Column) -> Column:
+def cell_of(a: Column, b: Column, table: Column) -> Column:
     """Token ``a``'s id and above it the rank of its pair with the next token."""
-    bucket = F.get(pairs, ((a * F.lit(SPREAD).cast("long") + b) % BUCKETS).cast("int"))
-    rank = F.coalesce(bucket[F.shiftleft(a.cast("long"), 32) + b], F.lit(NONE))
-    return F.shiftleft(rank.cast("long"), ID_BITS) + a
+    found = F.get(table["pairs"], (F.get(table["offsets"], a.cast("int")) + b).cast("int"))
+    return F.when(id_of(found) == a, found).otherwise(F.lit(NO_PAIR).cast("long") + a)
 
 
-def cells_of(ids: Column, pairs: Column) -> Column:
-    return let(ids, lambda x: F.transform(x, lambda a, i: cell_of(a, F.get(x, i + 1), pairs)))
+def cells_of(ids: Column, table: Column) -> Column:
+    return let(ids, lambda x: F.transform(x, lambda a, i: cell_of(a, F.get(x, i + 1), table)))
 
 
-def merged(data: Column, table: Column) -> Column:
-    """Ids of a word, ``data`` its bytes as an array of integers.
+def sure_tokens(data: Column, table: Column) -> Column:
+    """Ids after those merges of two bytes that are certain whatever the rest does.
 
-    The fold's state is one array of cells. The smallest cell is the next pair to merge,
-    the first of equal ones; merging changes that cell and its neighbour and drops one.
+    What else could take one of the two bytes is a token that ends with the byte before
+    and the first, or begins with the second and the byte after. If all of these rank above
+    the pair, and so do the pairs of what it merges to, then the pair is merged before
+    anything beside it changes: merging it at once gives the same.
     """
-    single, pairs = table["single"], table["pairs"]
+    def sure(code: Column, i: Column) -> Column:
+        """The id that a certain pair merges to, else -1 less the first byte's own id."""
+        pair = F.get(table["early"], code)
+        return F.when(pair < F.least(
+            F.get(table["left"], F.get(data, i - 1)), F.get(table["right"], F.get(data, i + 1)),
+            F.lit(NONE)), pair).otherwise(F.lit(-1) - F.get(table["single"], code))
+
+    def tokens(marks: Column) -> Column:
+        return F.array_remove(F.transform(marks, lambda mark, i: F.when(
+            F.get(marks, i - 1) >= 0, -1).when(mark >= 0, mark).otherwise(F.lit(-1) - mark)), -1)
+
+    return let(F.transform(data, sure), tokens)
+
 
+def merged(data: Column, table: Column) -> Column:
+    """Ids of a word of at most LONG_PART bytes, ``data`` its codes.
+
+    The fold's state is one array of cells, each with its place between rank and id, so that
+    no two are equal. The smallest cell is the next pair to merge, the first of those of
+    equal rank; merging changes that cell and its neighbour and drops one.
+    """
     def step(cells: Column, _: Column) -> Column:
         def merge(least: Column) -> Column:
-            token = rank_of(least)
-
-            def at(p: Column) -> Column:
-                here = cell_of(token, id_of(F.get(cells, p + 1)), pairs)
-                return F.concat(
-                    F.slice(cells, 1, F.greatest(p - 2, F.lit(0))),
-                    F.when(p > 1, F.array(
-                        cell_of(id_of(F.get(cells, p - 2)), token, pairs), here))
-                    .otherwise(F.array(here)),
-                    F.slice(cells, p + 2, F.size(cells)))
+            def each(cell: Column, i: Column) -> Column:
+                return F.when(cell == least, place_of(cell) + cell_of(
+                    rank_of(least), id_of(F.get(cells, i + 2)), table)).when(
+                    F.get(cells, i + 1) == least, place_of(cell) + cell_of(
+                        id_of(cell), rank_of(least), table)).when(
+                    F.get(cells, i - 1) == least, F.lit(-1).cast("long")).otherwise(cell)
 
-            return let(F.array_position(cells, least).cast("int"), at)
+            return F.array_remove(F.transform(cells, each), F.lit(-1).cast("long"))
 
         return let(F.array_min(cells), lambda least: F.when(
-            least < (NONE << ID_BITS), merge(least)).otherwise(cells))
+            least < F.lit(NO_PAIR).cast("long"), merge(least)).otherwise(cells))
 
-    start = cells_of(F.transform(data, lambda b: F.get(single, b)), pairs)
-    return F.transform(F.aggregate(F.slice(data, 2, F.size(data)), start, step),
-                       lambda x: id_of(x).cast("int"))
+    def fold(ids: Column) -> Column:
+        start = F.transform(ids, lambda a, i: cell_of(
+            a.cast("long"), F.get(ids, i + 1), table) + F.shiftleft(i.cast("long"), ID_BITS))
+        return F.aggregate(ids, start, step)
+
+    return F.transform(let(sure_tokens(data, table), fold), lambda x: id_of(x).cast("int"))
 
 
 def merged_together(data: Column, table: Column) -> Column:
@@ -170,14 +250,12 @@ def merged_together(data: Column, table: Column) -> Column:
     the first place where it does is the step's last. A step costs time with the word's
     length, and there are about as many as different merges: few for repeated letters.
     """
-    single, pairs = table["single"], table["pairs"]
-
     def merge(cells: Column, least: Column) -> Column:
         token = rank_of(least)
 
         def mark(c: Column, i: Column) -> Column:
             def lower(a: Column, b: Column) -> Column:
-                return rank_of(cell_of(a, b, pairs)) < token
+                return rank_of(cell_of(a, b, table)) < token
 
             before, after = id_of(F.get(cells, i - 1)), id_of(F.get(cells, i + 2))
             last = F.get(table["alone"], token.cast("int")) & F.coalesce(
@@ -197,17 +275,17 @@ def merged_together(data: Column, table: Column) -> Column:
             cells, F.split(places, "(?<=.)(?=.)"),
             lambda c, m: F.when(m == "0", id_of(c)).when(m == "x", F.lit(-1).cast("long"))
             .otherwise(token)), lambda x: x >= 0)
-        return cells_of(left, pairs)
+        return cells_of(left, table)
 
     def step(state: Column, _: Column) -> Column:
         cells = state["cells"]
         return F.when(state["done"], state).otherwise(let(F.array_min(cells), lambda least: F.when(
-            least < (NONE << ID_BITS),
+            least < F.lit(NO_PAIR).cast("long"),
             F.struct(merge(cells, least).alias("cells"), F.lit(False).alias("done")))
             .otherwise(F.struct(cells.alias("cells"), F.lit(True).alias("done")))))
 
-    ids = F.transform(data, lambda b: F.get(single, b).cast("long"))
-    start = F.struct(cells_of(ids, pairs).alias("cells"), F.lit(False).alias("done"))
+    ids = F.transform(data, lambda code: F.get(table["single"], code).cast("long"))
+    start = F.struct(cells_of(ids, table).alias("cells"), F.lit(False).alias("done"))
     # Two levels of steps, as many as letters at most: every step copies the state, also when
     # nothing is left to merge, and the outer fold then skips whole rounds of steps.
     steps = F.sequence(F.lit(1), F.ceil(F.sqrt(F.size(data))).cast("int"))
@@ -241,19 +319,31 @@ class Known:
 NOTHING = Known(b"", np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, "<u4"))
 
 
+class Chunks(dict):
+    """Numbers of chunks by key; ``number`` gives that of a key seen for the first time."""
+
+    def __init__(self, number: Callable[[str], int]):
+        self.number = number
+
+    def __missing__(self, key: str) -> int:
+        return self.setdefault(key, self.number(key))
+
+
 class Block:
     """Distinct chunks and words of some texts, and each text as numbers of chunks.
 
-    ``known`` words have the first numbers; ``words`` are the others.
+    ``known`` words have the first numbers; ``words`` are the others, after an empty one
+    that marks the beginning. Chunks and words are kept from one block of texts to the next.
     """
 
     def __init__(self, pattern: regex.Pattern, ranks: dict[bytes, int],
                  side_by_side: np.ndarray, known: dict[bytes, int]):
         self.pattern, self.side_by_side, self.known = pattern, side_by_side, known
         self.ranks, self.lengths = ranks, None
-        self.words: dict[bytes, int] = {}
-        self.after_space: dict[str, int] = {}
-        self.alone: dict[str, int] = {}
+        self.letters_stay = pattern.pattern == PATTERN
+        self.words = {b"": len(known)}
+        self.sent = 0
+        self.after_space, self.alone = Chunks(self._after_space), Chunks(self._chunk)
         self.pieces, self.ends = array("i"), array("i")  # words of the chunks, in a row
         self.texts: list[np.ndarray] = []
 
@@ -284,18 +374,28 @@ class Block:
         self.ends.append(len(self.pieces))
         return len(self.ends) - 1
 
+    def _after_space(self, key: str) -> int:
+        """PATTERN leaves a space and the letters after it together."""
+        if not (self.letters_stay and len(key) < LONG_WORD and key.isascii() and key.isalpha()):
+            return self._chunk(chunk_text(key))
+        self.pieces.append(self._number(b" " + key.encode()))
+        self.ends.append(len(self.pieces))
+        return len(self.ends) - 1
+
     def add(self, text: str | None) -> None:
         """Null and empty texts have no chunk."""
         if not text:
             self.texts.append(np.zeros(0, np.int32))
             return
         first, keys = chunks(text)
-        if first not in self.alone:
-            self.alone[first] = self._chunk(first)
-        known = self.after_space
-        for key in set(keys).difference(known):
-            known[key] = self._chunk(chunk_text(key))
-        self.texts.append(np.array([self.alone[first], *map(known.__getitem__, keys)], np.int32))
+        self.texts.append(np.array(
+            [self.alone[first], *map(self.after_space.__getitem__, keys)], np.int32))
+
+    def new_words(self) -> list[bytes]:
+        """The words since the last call."""
+        new = list(islice(self.words, self.sent, None))
+        self.sent = len(self.words)
+        return new
 
     def word_numbers(self) -> Iterator[np.ndarray]:
         """Each text as numbers of words."""
@@ -315,16 +415,29 @@ def sampled_words(docs: DataFrame, ranks: str, pattern: str, texts_in_sample: in
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compiled, tokens = regex.compile(pattern), load_ranks(ranks)
         table = joins(tokens)
+        block, chars = Block(compiled, tokens, table, {}), 0
+
+        def counted() -> pa.RecordBatch:
+            times = np.zeros(len(block.words), np.int64)
+            for numbers in block.word_numbers():
+                times[np.unique(numbers)] += 1
+            some = [(word, n) for word, n in zip(block.words, times.tolist(), strict=True)
+                    if 0 < len(word) <= LONG_WORD]
+            return pa.RecordBatch.from_arrays(
+                [pa.array([word for word, _ in some], pa.binary()),
+                 pa.array([n for _, n in some], pa.int64())], names=["word", "times"])
+
         for batch in batches:
             for text in texts(batch.column("text")):
-                block = Block(compiled, tokens, table, {})
+                if chars > BLOCK:
+                    yield counted()
+                    block, chars = Block(compiled, tokens, table, {}), 0
                 block.add(text)
-                if words := [w for w in block.words if len(w) <= LONG_WORD]:
-                    yield pa.RecordBatch.from_arrays([pa.array(words, pa.binary())],
-                                                     names=["word"])
+                chars += len(text or "")
+        yield counted()
 
-    words = docs.select("text").sample(share, 1).mapInArrow(run, "word binary")
-    return words.groupBy("word").count().filter("count > 1").orderBy(
+    words = docs.select("text").sample(share, 1).mapInArrow(run, "word binary, times long")
+    return words.groupBy("word").agg(F.sum("times").alias("count")).filter("count > 1").orderBy(
         F.desc("count"), "word").limit(max_known).select("word")
 
 
@@ -332,10 +445,15 @@ def known_words(docs: DataFrame, ranks: str = RANKS, pattern: str = PATTERN,
                 texts_in_sample: int = 10_000, max_known: int = 300_000) -> Known:
     """Ids of frequent words; at most ``max_known`` words of at most LONG_WORD bytes."""
     words = sampled_words(docs, ranks, pattern, texts_in_sample, max_known)
-    data = F.transform(F.sequence(F.lit(1), F.octet_length("word")), lambda i: F.conv(
-        F.hex(F.substring("word", i, F.lit(1))), 16, 10).cast("int"))
-    rows = stored(words, "frequent-words").repartition(32, "word").select(
-        "word", data.alias("data"))
+
+    def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            column = batch.column("word")
+            yield pa.RecordBatch.from_arrays([column, codes(column.to_pylist())],
+                                             names=["word", "data"])
+
+    rows = stored(words, "frequent-words").repartition(32, "word").mapInArrow(
+        coded, "word binary, data array<int>")
     table = _with_ids(rows, docs.sparkSession, ranks, "data", ["word"]).toArrow()
     words = table.column("word").to_pylist()
     ids = table.column("word_ids_").combine_chunks()
@@ -350,7 +468,8 @@ def _with_ids(rows: DataFrame, spark: SparkSession, ranks: str, data: str,
     table = rank_table(spark, ranks)
     rows = rows.withColumn("ranks_", F.struct(
         *(table.select(c).scalar().alias(c) for c in table.columns)))
-    # Used once, so the optimizer puts the table's value here and no row carries it.
+    # Used once, and ``data`` is a plain column, so the optimizer puts the table's value here;
+    # else every row would carry a copy of it.
     both = F.when(F.col(data).isNotNull(), F.struct(F.col(data).alias("data"), "ranks_"))
     return rows.select(*others, let(both, lambda w: F.when(
         F.size(w["data"]) > LONG_PART, merged_together(w["data"], w["ranks_"])).when(
@@ -379,7 +498,7 @@ def encode(docs: DataFrame, ranks: str = RANKS, pattern: str = PATTERN,
     shared, key = spark.sparkContext.broadcast(known), uuid.uuid4().hex
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """A block's words, then its texts as numbers of words."""
+        """The words that are new in a block, then its texts as numbers of words."""
         compiled, tokens = regex.compile(pattern), load_ranks(ranks)
         table = joins(tokens)
         numbers = held("known words", key, shared.value.numbers)
@@ -388,14 +507,11 @@ def encode(docs: DataFrame, ranks: str = RANKS, pattern: str = PATTERN,
         block, rows, chars = Block(compiled, tokens, table, numbers), [], 0
 
         def flush() -> Iterator[pa.RecordBatch]:
-            words = list(block.words)
+            words = block.new_words()
             for a in range(0, len(words), WORD_ROWS):
                 part = words[a:a + WORD_ROWS]
-                flat = np.frombuffer(b"".join(part), np.uint8).astype(np.int32)
-                ends = np.cumsum([0, *map(len, part)]).astype(np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
                 yield pa.RecordBatch.from_arrays(
-                    [*(pa.nulls(len(part), f.type) for f in arrow), lists,
+                    [*(pa.nulls(len(part), f.type) for f in arrow), codes(part),
                      pa.nulls(len(part), pa.binary())], schema=schema)
             each = block.word_numbers()
             for row in rows:
@@ -405,6 +521,7 @@ def encode(docs: DataFrame, ranks: str = RANKS, pattern: str = PATTERN,
                     yield pa.RecordBatch.from_arrays(
                         [*some.columns, pa.nulls(some.num_rows, pa.list_(pa.int32())),
                          pa.array(values, pa.binary())], schema=schema)
+            block.texts.clear()
 
         for batch in batches:
             beside, start = batch.select(names), 0
@@ -412,14 +529,19 @@ def encode(docs: DataFrame, ranks: str = RANKS, pattern: str = PATTERN,
                 if chars and chars + len(text or "") > BLOCK:
                     rows.append(beside.slice(start, i - start))
                     yield from flush()
-                    block, rows, chars, start = Block(compiled, tokens, table, numbers), [], 0, i
+                    rows, chars, start = [], 0, i
+                    if len(block.words) + len(block.ends) > KEPT:
+                        block = Block(compiled, tokens, table, numbers)
                 block.add(text)
                 chars += len(text or "")
             rows.append(beside.slice(start))
         yield from flush()
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The ids of each text, from those of known words and of the words before it."""
+        """The ids of each text, from those of known words and of the words before it.
+
+        An empty word comes first of those that a task begins anew with.
+        """
         first = (shared.value.lengths, shared.value.ids)
         parts, table = [first], None
         for batch in batches:
@@ -430,16 +552,17 @@ def encode(docs: DataFrame, ranks: str = RANKS, pattern: str = PATTERN,
                     continue
                 run = batch.slice(a, b - a)
                 if is_word[a]:
-                    if table is not None:
-                        parts, table = [first], None
                     lists = run.column("word_ids_")
-                    parts.append((np.diff(lists.offsets.to_numpy()).astype(np.int64),
-                                  lists.flatten().to_numpy().astype("<u4")))
+                    lengths = np.diff(lists.offsets.to_numpy()).astype(np.int64)
+                    if not lengths[0]:
+                        parts = [first]
+                    parts.append((lengths, lists.flatten().to_numpy().astype("<u4")))
+                    table = None
                     continue
                 if table is None:
-                    lengths = np.concatenate([p[0] for p in parts])
-                    table = np.cumsum(lengths) - lengths, lengths, np.concatenate(
-                        [p[1] for p in parts])
+                    parts = [tuple(map(np.concatenate, zip(*parts, strict=True)))]
+                    lengths, flat = parts[0]
+                    table = np.cumsum(lengths) - lengths, lengths, flat
                 starts, lengths, flat = table
                 ids = [flat[gather(starts, lengths, np.frombuffer(n.as_py(), np.int32))]
                        for n in run.column("numbers_")]

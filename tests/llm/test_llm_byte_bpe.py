@@ -100,3 +100,64 @@ def test_empty_table_and_foreign_ids(spark):
     bad = spark.createDataFrame([([1, 10**7],)], "ids array<int>")
     with pytest.raises(Exception, match="not in the vocabulary"):
         decode(bad).collect()
+
+
+def test_words_are_sent_once_while_they_are_kept(spark, monkeypatch):
+    sent, with_ids = [], byte_bpe._with_ids
+
+    def watched(rows, *args):
+        sent.append(rows.filter("size(word_) > 0").count())
+        return with_ids(rows, *args)
+
+    monkeypatch.setattr(byte_bpe, "_with_ids", watched)
+    monkeypatch.setattr(byte_bpe, "BLOCK", 10)
+    texts = ["one two three", "two three four", "", "one two three", None, "four  five"] * 3
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    for kept in (1_000, 4):
+        monkeypatch.setattr(byte_bpe, "KEPT", kept)
+        for r in encode(docs).collect():
+            assert list(r.ids) == LIBRARY.encode_ordinary(texts[r.doc_id] or "")
+    # one, two, _two, _three, _four, four, _five and a space; with four kept, more often
+    assert sent[0] == 8 < sent[1]
+
+
+def test_no_row_of_known_words_carries_the_ranks(spark, monkeypatch):
+    plans, with_ids = [], byte_bpe._with_ids
+
+    def watched(*args):
+        found = with_ids(*args)
+        plans.append(found._jdf.queryExecution().optimizedPlan().toString())
+        return found
+
+    monkeypatch.setattr(byte_bpe, "_with_ids", watched)
+    texts = ["some words are there", "some words are here", "é some"]
+    known = known_words(spark.createDataFrame([(t,) for t in texts], "text string"))
+    for word, number in known.numbers().items():
+        a, n = known.lengths[:number].sum(), known.lengths[number]
+        assert known.ids[a:a + n].tolist() == LIBRARY.encode_ordinary(word.decode())
+    assert sorted(known.numbers()) == [b" are", b" words", b"some"]
+    assert " AS ranks_#" not in plans[0]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_certain_merges_change_no_ids(spark, tmp_path, seed):
+    # Ranks in any order, so that many tokens form pairs below their own rank.
+    draw = np.random.default_rng(seed)
+    tokens = {bytes([b]) for b in range(256)}
+    letters = [b"a", b"b", b"c", b"d"]
+    for _ in range(40):
+        some = sorted(t for t in tokens if set(t) <= set(b"abcd"))
+        tokens.add(some[draw.integers(len(some))] + some[draw.integers(len(some))])
+    longer = [t for t in tokens if len(t) > 1]
+    draw.shuffle(longer)
+    ranks = {bytes([b]): b for b in range(256)} | {t: 256 + i for i, t in enumerate(longer)}
+    path = tmp_path / "own.tiktoken"
+    path.write_bytes(b"".join(base64.b64encode(t) + b" %d\n" % r for t, r in ranks.items()))
+    own = tiktoken.Encoding(f"own{seed}", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+    texts = ["".join(letters[i].decode() for i in draw.integers(4, size=n))
+             for n in draw.integers(1, 40, size=400)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in encode(docs, ranks=str(path)).collect():
+        # The library takes a word that is a token as it is, whatever its merges give.
+        if texts[r.doc_id].encode() not in ranks:
+            assert list(r.ids) == own.encode_ordinary(texts[r.doc_id]), texts[r.doc_id]
