@@ -36,7 +36,7 @@ PATTERN = public_tokenizers.PATTERN
 #: Characters of texts in a block; a longer text is a block of its own.
 BLOCK = 1 << 21
 #: Chunks and words that a task remembers; after a block with more it begins anew.
-KEPT = 600_000
+KEPT = 300_000
 WORD_ROWS = 10_000
 TEXT_ROWS = 1_000
 #: A cell holds, from its lowest bit, a token's id, its place in the word and its pair's rank.
