@@ -329,11 +329,11 @@ class Chunks(dict):
         return self.setdefault(key, self.number(key))
 
 
-class Block:
-    """Distinct chunks and words of some texts, and each text as numbers of chunks.
+class Words:
+    """Numbers of distinct words, and chunks as such numbers in a row.
 
     ``known`` words have the first numbers; ``words`` are the others, after an empty one
-    that marks the beginning. Chunks and words are kept from one block of texts to the next.
+    that marks the beginning.
     """
 
     def __init__(self, pattern: regex.Pattern, ranks: dict[bytes, int],
@@ -343,9 +343,7 @@ class Block:
         self.letters_stay = pattern.pattern == PATTERN
         self.words = {b"": len(known)}
         self.sent = 0
-        self.after_space, self.alone = Chunks(self._after_space), Chunks(self._chunk)
-        self.pieces, self.ends = array("i"), array("i")  # words of the chunks, in a row
-        self.texts: list[np.ndarray] = []
+        self.pieces, self.ends = array("i"), array("i")
 
     def _parts(self, word: str) -> list[bytes]:
         data = word.encode()
@@ -367,21 +365,37 @@ class Block:
             number = self.words.setdefault(word, len(self.known) + len(self.words))
         return number
 
-    def _chunk(self, text: str) -> int:
+    def chunk(self, text: str) -> int:
         number = self._number
         self.pieces.extend([number(part) for word in self.pattern.findall(text)
                             for part in self._parts(word)])
         self.ends.append(len(self.pieces))
         return len(self.ends) - 1
 
-    def _after_space(self, key: str) -> int:
+    def after_space(self, key: str) -> int:
         """PATTERN leaves a space and the letters after it together."""
         if not (self.letters_stay and len(key) < LONG_WORD and key.isascii() and key.isalpha()):
-            return self._chunk(chunk_text(key))
+            return self.chunk(chunk_text(key))
         self.pieces.append(self._number(b" " + key.encode()))
         self.ends.append(len(self.pieces))
         return len(self.ends) - 1
 
+    def new(self) -> list[bytes]:
+        """The words since the last call."""
+        new = list(islice(self.words, self.sent, None))
+        self.sent = len(self.words)
+        return new
+
+
+class Block:
+    """Each text as numbers of distinct chunks; these are kept when the texts are cleared."""
+
+    def __init__(self, words: Words):
+        # Words know nothing of what holds them: without a cycle both are freed at once.
+        self.words = words
+        self.after_space, self.alone = Chunks(words.after_space), Chunks(words.chunk)
+        self.texts: list[np.ndarray] = []
+
     def add(self, text: str | None) -> None:
         """Null and empty texts have no chunk."""
         if not text:
@@ -391,15 +405,9 @@ class Block:
         self.texts.append(np.array(
             [self.alone[first], *map(self.after_space.__getitem__, keys)], np.int32))
 
-    def new_words(self) -> list[bytes]:
-        """The words since the last call."""
-        new = list(islice(self.words, self.sent, None))
-        self.sent = len(self.words)
-        return new
-
     def word_numbers(self) -> Iterator[np.ndarray]:
         """Each text as numbers of words."""
-        flat, ends = np.array(self.pieces, np.int32), np.array(self.ends, np.int64)
+        flat, ends = np.array(self.words.pieces, np.int32), np.array(self.words.ends, np.int64)
         lengths = np.diff(ends, prepend=0)
         starts = ends - lengths
         for text in self.texts:
@@ -415,13 +423,13 @@ def sampled_words(docs: DataFrame, ranks: str, pattern: str, texts_in_sample: in
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compiled, tokens = regex.compile(pattern), load_ranks(ranks)
         table = joins(tokens)
-        block, chars = Block(compiled, tokens, table, {}), 0
+        block, chars = Block(Words(compiled, tokens, table, {})), 0
 
         def counted() -> pa.RecordBatch:
-            times = np.zeros(len(block.words), np.int64)
+            times = np.zeros(len(block.words.words), np.int64)
             for numbers in block.word_numbers():
                 times[np.unique(numbers)] += 1
-            some = [(word, n) for word, n in zip(block.words, times.tolist(), strict=True)
+            some = [(word, n) for word, n in zip(block.words.words, times.tolist(), strict=True)
                     if 0 < len(word) <= LONG_WORD]
             return pa.RecordBatch.from_arrays(
                 [pa.array([word for word, _ in some], pa.binary()),
@@ -431,7 +439,7 @@ def sampled_words(docs: DataFrame, ranks: str, pattern: str, texts_in_sample: in
             for text in texts(batch.column("text")):
                 if chars > BLOCK:
                     yield counted()
-                    block, chars = Block(compiled, tokens, table, {}), 0
+                    block, chars = Block(Words(compiled, tokens, table, {})), 0
                 block.add(text)
                 chars += len(text or "")
         yield counted()
@@ -504,10 +512,10 @@ def encode(docs: DataFrame, ranks: str = RANKS, pattern: str = PATTERN,
         numbers = held("known words", key, shared.value.numbers)
         schema = pa.schema([*arrow, pa.field("word_", pa.list_(pa.int32())),
                             pa.field("numbers_", pa.binary())])
-        block, rows, chars = Block(compiled, tokens, table, numbers), [], 0
+        block, rows, chars = Block(Words(compiled, tokens, table, numbers)), [], 0
 
         def flush() -> Iterator[pa.RecordBatch]:
-            words = block.new_words()
+            words = block.words.new()
             for a in range(0, len(words), WORD_ROWS):
                 part = words[a:a + WORD_ROWS]
                 yield pa.RecordBatch.from_arrays(
@@ -530,8 +538,8 @@ def encode(docs: DataFrame, ranks: str = RANKS, pattern: str = PATTERN,
                     rows.append(beside.slice(start, i - start))
                     yield from flush()
                     rows, chars, start = [], 0, i
-                    if len(block.words) + len(block.ends) > KEPT:
-                        block = Block(compiled, tokens, table, numbers)
+                    if len(block.words.words) + len(block.words.ends) > KEPT:
+                        block = Block(Words(compiled, tokens, table, numbers))
                 block.add(text)
                 chars += len(text or "")
             rows.append(beside.slice(start))
