@@ -36,7 +36,7 @@ PATTERN = public_tokenizers.PATTERN
 #: Characters of texts in a block; a longer text is a block of its own.
 BLOCK = 1 << 21
 #: Chunks and words that a task remembers; after a block with more it begins anew.
-KEPT = 300_000
+KEPT = 200_000
 WORD_ROWS = 10_000
 TEXT_ROWS = 1_000
 #: A cell holds, from its lowest bit, a token's id, its place in the word and its pair's rank.
@@ -550,7 +550,8 @@ def encode(docs: DataFrame, ranks: str = RANKS, pattern: str = PATTERN,
 
         An empty word comes first of those that a task begins anew with.
         """
-        first = (shared.value.lengths, shared.value.ids)
+        # A worker that split texts before drops the words' numbers here.
+        first = held("known ids", key, lambda: (shared.value.lengths, shared.value.ids))
         parts, table = [first], None
         for batch in batches:
             is_word = batch.column("numbers_").is_null().to_numpy(zero_copy_only=False)
